@@ -384,7 +384,7 @@ for _name, _ext in [("line_risk_rules", None), ("python_line_rules", ".py"), ("s
 def ignore_seal(spark, sf):
     return (
         line_rules.line_risks(sources(spark, sf), "path")
-        .filter(F.element_at("reasons", 1) == line_rules.SEALED if False else F.array_contains("reasons", "sealed"))
+        .filter(F.array_contains("reasons", line_rules.SEALED))
         .select("path", "line_no")
     )
 

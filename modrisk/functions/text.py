@@ -17,15 +17,20 @@ SPACE_CHARS = (
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
     "\u2028\u2029\u202f\u205f\u3000"
 )
-WORD = r"[\p{L}\p{N}_]"
+# ASCII is listed first only because it is tested faster.
+WORD = r"[0-9A-Z_a-z\p{L}\p{N}]"
 
 S = f"[{SPACE}]"
 W = WORD
 
 
 def whole_word(alternatives: str) -> str:
-    """Pattern for any of ``alternatives`` standing alone as a word."""
-    return f"(?<!{W})(?:{alternatives})(?!{W})"
+    """Pattern for any of ``alternatives`` standing alone as a word.
+
+    The lookahead on first letters skips most positions cheaply.
+    """
+    first = "".join(sorted({word[0] for word in alternatives.split("|")}))
+    return f"(?=[{first}])(?<!{W})(?:{alternatives})(?!{W})"
 
 
 def line_start(pattern: str) -> str:
@@ -44,7 +49,7 @@ def strip(text: Column) -> Column:
 
 def count_char(text: Column, char: str) -> Column:
     """Occurrences of one character, without a regular expression."""
-    return F.length(text) - F.length(F.translate(text, char, ""))
+    return F.length(text) - F.length(F.replace(text, F.lit(char), F.lit("")))
 
 
 def has(text: Column, *needles: str) -> Column:

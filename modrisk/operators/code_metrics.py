@@ -33,7 +33,7 @@ _BLOCK_COMMENT = r"(?s)/\*.*?\*/"
 _VISIBILITY = "(?:public|private|protected)"
 _ARGUMENTS = r"\([^)]*\)"
 PATTERNS = {
-    "non_blank_line": rf"[^{SPACE}][^\n]*",
+    "non_blank_line": rf"(?md)^[{INLINE_SPACE}]*+[^{SPACE}]",
     "python": {
         "comments": [
             rf"(?:\A|\n)[{INLINE_SPACE}]*#",

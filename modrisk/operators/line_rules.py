@@ -39,13 +39,15 @@ DEFAULT_SEALS = ("risk-ignore", "risk: ignore")
 # Headers of the block rules and what excuses a block.
 BROAD_EXCEPT = rf"\Aexcept(?:{S}+\(?{S}*Exception{S}*\)?(?:{S}+as{S}+{W}+)?)?{S}*:"
 WHILE_TRUE = rf"\Awhile{S}*\(?{S}*True{S}*\)?{S}*:"
+HANDLED_HINTS = ["raise", "print", ".error", ".warning", ".exception", ".debug", ".info"]
+LEAVES_LOOP_WORDS = ["break", "return", "raise", "yield", "await"]
 HANDLED = (
     rf"(?:\A|[^\p{{L}}\p{{N}}_])raise(?:\z|[^\p{{L}}\p{{N}}_])"
     rf"|\.(?:error|warning|exception|debug|info){S}*\("
     rf"|(?:\A|[^\p{{L}}\p{{N}}_.])print{S}*\("
 )
 LEAVES_LOOP = (
-    r"(?:\A|[^\p{L}\p{N}_])(?:break|return|raise|yield|await)(?:\z|[^\p{L}\p{N}_])"
+    rf"(?:\A|[^\p{{L}}\p{{N}}_])(?:{'|'.join(LEAVES_LOOP_WORDS)})(?:\z|[^\p{{L}}\p{{N}}_])"
 )
 
 
@@ -64,23 +66,28 @@ def sealed_lines(lines: Column, content: Column, seals=DEFAULT_SEALS) -> Column:
     return F.when(has(content, *seals), marked).otherwise(F.array().cast("array<int>"))
 
 
-def _open_blocks(lines: Column, header: str, excuse: str) -> Column:
+def _open_blocks(lines: Column, start: str, header: str, hints: list[str], excuse: str) -> Column:
     """Line numbers of the headers whose indented block holds no excuse.
 
     One backward pass over the lines. The state is the smallest indent seen
     since the nearest excusing line below; that line is inside a header's block
-    exactly when this minimum is larger than the header's own indent.
+    exactly when this minimum is larger than the header's own indent. ``start``
+    and ``hints`` are plain texts that let most lines skip the patterns.
     """
-    def facts(line: Column, i: Column) -> Column:
-        text = strip(line)
-        opens = text.rlike(header)
-        body = F.when(opens, F.regexp_replace(text, header, "")).otherwise(text)
+    def stripped(line: Column, i: Column) -> Column:
+        indent = F.length(line) - F.length(F.ltrim(line, F.lit("\t \f")))
+        return F.struct((i + 1).alias("no"), indent.alias("indent"), strip(line).alias("text"))
+
+    def facts(row: Column) -> Column:
+        text = row["text"]
+        opens = text.startswith(start) & text.rlike(header)
+        body = F.when(text.startswith(start), F.regexp_replace(text, header, "")).otherwise(text)
         return F.struct(
-            (i + 1).alias("no"),
-            (F.length(line) - F.length(F.ltrim(line, F.lit("\t \f")))).alias("indent"),
+            row["no"].alias("no"),
+            row["indent"].alias("indent"),
             ((text == "") | text.startswith("#")).alias("empty"),
             opens.alias("opens"),
-            body.rlike(excuse).alias("excused"),
+            (has(text, *hints) & body.rlike(excuse)).alias("excused"),
         )
 
     empty_state = F.struct(
@@ -97,19 +104,21 @@ def _open_blocks(lines: Column, header: str, excuse: str) -> Column:
         found = F.when(open_block, F.concat(state["found"], F.array(line["no"]))).otherwise(state["found"])
         return F.when(line["empty"], state).otherwise(F.struct(low.alias("low"), found.alias("found")))
 
-    return F.aggregate(F.reverse(F.transform(lines, facts)), empty_state, step, lambda s: s["found"])
+    return F.aggregate(
+        F.reverse(F.transform(F.transform(lines, stripped), facts)), empty_state, step, lambda s: s["found"]
+    )
 
 
 def silent_excepts(lines: Column, content: Column) -> Column:
     """Broad handlers that neither raise, log nor print (Python files)."""
-    return F.when(content.contains("except"), _open_blocks(lines, BROAD_EXCEPT, HANDLED)).otherwise(
+    return F.when(content.contains("except"), _open_blocks(lines, "except", BROAD_EXCEPT, HANDLED_HINTS, HANDLED)).otherwise(
         F.array().cast("array<int>")
     )
 
 
 def endless_loops(lines: Column, content: Column) -> Column:
     """``while True`` loops with no way out (Python files)."""
-    return F.when(content.contains("while"), _open_blocks(lines, WHILE_TRUE, LEAVES_LOOP)).otherwise(
+    return F.when(content.contains("while"), _open_blocks(lines, "while", WHILE_TRUE, LEAVES_LOOP_WORDS, LEAVES_LOOP)).otherwise(
         F.array().cast("array<int>")
     )
 
@@ -135,43 +144,51 @@ def block_findings(files: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _rules(ext: Column, line: Column, line_no: Column) -> list[tuple[Column, str]]:
-    """(condition, rule name) pairs for one line; names may repeat per language."""
-    text = strip(line)
-    lower = F.lower(text)
-    commas = count_char(text, ",")
-    python = ext == ".py"
-    script = ext.isin(*SCRIPT_EXTENSIONS)
-    other = ~python & ~script
+def _rule_groups() -> list[list[tuple[Column, str]]]:
+    """(condition, rule name) pairs for one prepared line, in groups.
+
+    Names may repeat per language. Each group becomes one projection: a single
+    projection with all the rules would compile to a method too long for the
+    JIT compiler.
+    """
+    line, text, lower = F.col("line"), F.col("_text"), F.col("_lower")
+    python, script, other = (F.col("_kind") == kind for kind in ("python", "script", "other"))
+    line_no = F.col("line_no")
+    many_commas = count_char(text, ",") > MANY_COMMAS
     return [
-        (has(text, "exec(", "eval("), "dynamic_code"),
-        (F.length(line) > LONG_LINE, "long_line"),
-        (has(text, "TODO", "FIXME", "HACK"), "unfinished"),
-        (python & F.array_contains(F.col("_silent"), line_no), "silent_broad_except"),
-        (python & F.array_contains(F.col("_endless"), line_no), "endless_loop"),
-        (python & text.startswith("def ") & (commas > MANY_COMMAS), "many_parameters"),
-        (python & has(text, "if ") & has(text, "and ", "or ") & has(text, ":"), "complex_condition"),
-        (script & has(text, "catch (", "catch{"), "catch_block"),
-        (script & has(text, "while (true)", "while(true)"), "literal_endless_loop"),
-        (script & text.startswith("function ") & (commas > MANY_COMMAS), "many_parameters"),
-        (script & has(text, "if (") & has(text, "&&", "||"), "complex_condition"),
-        (script & has(text, "== ") & ~has(text, "==="), "loose_equality"),
-        (script & has(text, "setTimeout", "setInterval"), "timer"),
-        (other & has(lower, "catch"), "unclear_catch"),
-        (other & has(lower, "while") & has(lower, "true"), "possible_endless_loop"),
-        (other & (commas > MANY_COMMAS) & has(text, "(") & has(text, ")"), "long_argument_list"),
+        [
+            (has(text, "exec(", "eval("), "dynamic_code"),
+            (F.length(line) > LONG_LINE, "long_line"),
+            (has(text, "TODO", "FIXME", "HACK"), "unfinished"),
+        ],
+        [
+            (python & F.array_contains(F.col("_silent"), line_no), "silent_broad_except"),
+            (python & F.array_contains(F.col("_endless"), line_no), "endless_loop"),
+            (python & text.startswith("def ") & many_commas, "many_parameters"),
+            (python & has(text, "if ") & has(text, "and ", "or ") & has(text, ":"), "complex_condition"),
+        ],
+        [
+            (script & has(text, "catch (", "catch{"), "catch_block"),
+            (script & has(text, "while (true)", "while(true)"), "literal_endless_loop"),
+            (script & text.startswith("function ") & many_commas, "many_parameters"),
+        ],
+        [
+            (script & has(text, "if (") & has(text, "&&", "||"), "complex_condition"),
+            (script & has(text, "== ") & ~has(text, "==="), "loose_equality"),
+            (script & has(text, "setTimeout", "setInterval"), "timer"),
+        ],
+        [
+            (other & has(lower, "catch"), "unclear_catch"),
+            (other & has(lower, "while") & has(lower, "true"), "possible_endless_loop"),
+            (other & has(text, "(") & has(text, ")") & many_commas, "long_argument_list"),
+        ],
     ]
 
 
-def scored_lines(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame:
-    """Every line with its score, reasons and level; blank lines have no level.
-
-    A line is sealed as low when a flag stands on it or on one of the two lines
-    below. ``keep`` names the columns of ``files`` to carry along.
-    """
-    content, ext = F.col("content"), F.col("ext")
-    prepared = files.select(
-        *keep, ext.alias("_ext"), content.alias("_content"), lines_of(content).alias("_lines")
+def _scored(files: DataFrame, keep: tuple[str, ...], seals, with_blank: bool) -> DataFrame:
+    source = F.coalesce(F.col("content"), F.lit(""))
+    prepared = files.select(*keep, F.col("ext").alias("_ext"), source.alias("_content")).select(
+        "*", lines_of(F.col("_content")).alias("_lines")
     )
     lines, content, ext = F.col("_lines"), F.col("_content"), F.col("_ext")
     none = F.array().cast("array<int>")
@@ -183,42 +200,94 @@ def scored_lines(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame
         F.when(ext == ".py", silent_excepts(lines, content)).otherwise(none).alias("_silent"),
         F.when(ext == ".py", endless_loops(lines, content)).otherwise(none).alias("_endless"),
     )
+    # The outer form: there is always a line, and the plain form would split
+    # every text a second time just to check that.
     numbered = marked.select(
-        *keep, "_ext", "_sealed", "_silent", "_endless", F.posexplode("_lines").alias("_pos", "_line")
-    )
-    line_no = F.col("_pos") + 1
-    sealed = F.col("_sealed")
-    is_sealed = (F.size(sealed) > 0) & (
-        F.array_contains(sealed, line_no)
-        | F.array_contains(sealed, line_no + 1)
-        | F.array_contains(sealed, line_no + 2)
-    )
-    rules = _rules(ext, F.col("_line"), line_no)
-    points = F.lit(0)
-    for condition, rule in rules:
-        points = points + F.when(condition, WEIGHTS[rule]).otherwise(0)
-    reasons = F.array_compact(F.array(*[F.when(condition, F.lit(rule)) for condition, rule in rules]))
-    scored = numbered.select(
-        *keep,
-        line_no.alias("line_no"),
-        F.col("_line").alias("line"),
-        is_sealed.alias("_is_sealed"),
+        *keep, "_ext", "_sealed", "_silent", "_endless", F.posexplode_outer("_lines").alias("_pos", "_line")
+    ).select(
+        *keep, "_ext", "_sealed", "_silent", "_endless",
+        (F.col("_pos") + 1).alias("line_no"), F.coalesce("_line", F.lit("")).alias("line"),
+    )
+    line_no, sealed = F.col("line_no"), F.col("_sealed")
+    # Every value below that several rules use is computed once, in its own step.
+    state = numbered.select(
+        *keep, "line_no", "line", "_silent", "_endless",
+        strip(F.col("line")).alias("_text"),
+        F.when(F.col("_ext") == ".py", "python")
+        .when(F.col("_ext").isin(*SCRIPT_EXTENSIONS), "script")
+        .otherwise("other").alias("_kind"),
+        (
+            (F.size(sealed) > 0)
+            & (
+                F.array_contains(sealed, line_no)
+                | F.array_contains(sealed, line_no + 1)
+                | F.array_contains(sealed, line_no + 2)
+            )
+        ).alias("_is_sealed"),
+    )
+    if not with_blank:
+        # Length is the only rule a blank line can break.
+        state = state.filter(
+            (F.col("_text") != "") | (F.length("line") > LONG_LINE) | F.col("_is_sealed")
+        )
+    state = state.select("*", F.when(F.col("_kind") == "other", F.lower("_text")).alias("_lower"))
+    points, reasons = F.lit(0), []
+    for g, group in enumerate(_rule_groups()):
+        state = state.select("*", *[condition.alias(f"_g{g}r{i}") for i, (condition, _) in enumerate(group)])
+        worth, why = F.lit(0), []
+        for i, (_, rule) in enumerate(group):
+            hit = F.col(f"_g{g}r{i}")
+            worth = worth + F.when(hit, WEIGHTS[rule]).otherwise(0)
+            why.append(F.when(hit, F.lit(rule)))
+        state = state.select(
+            *[c for c in state.columns if not c.startswith(f"_g{g}r")],
+            worth.alias(f"_p{g}"),
+            F.array_compact(F.array(*why)).alias(f"_w{g}"),
+        )
+        points = points + F.col(f"_p{g}")
+        reasons.append(F.col(f"_w{g}"))
+    is_sealed = F.col("_is_sealed")
+    scored = state.select(
+        *keep, "line_no", "line", "_text", "_is_sealed",
         F.when(~is_sealed, points).otherwise(0).alias("score_x100"),
-        F.when(is_sealed, F.array(F.lit(SEALED))).otherwise(reasons).alias("reasons"),
+        F.when(is_sealed, F.array(F.lit(SEALED))).otherwise(F.concat(*reasons)).alias("reasons"),
     )
     score = F.col("score_x100")
     level = (
-        F.when(F.col("_is_sealed"), "low")
+        F.when(is_sealed, "low")
         .when(score >= HIGH_EDGE, "high")
         .when(score >= MEDIUM_EDGE, "med")
-        .when(strip(F.col("line")) != "", "low")
+        .when(F.col("_text") != "", "low")
     )
     return scored.select(*keep, "line_no", "line", level.alias("level"), "score_x100", "reasons")
 
 
+def scored_lines(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame:
+    """Every line with its score, reasons and level; blank lines have no level.
+
+    A line is sealed as low when a flag stands on it or on one of the two lines
+    below. ``keep`` names the columns of ``files`` to carry along.
+    """
+    return _scored(files, keep, seals, with_blank=True)
+
+
 def line_risks(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame:
     """Risk level, score (hundredths) and reasons of every line that is not blank."""
-    return scored_lines(files, *keep, seals=seals).filter(F.col("level").isNotNull())
+    return _scored(files, keep, seals, with_blank=False)
+
+
+def risky_lines(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame:
+    """The high and medium lines.
+
+    The result of the rules passes through a generator before it is filtered;
+    otherwise the filter would be pushed below the rules, with a second copy of
+    all of them inside.
+    """
+    found = line_risks(files, *keep, seals=seals)
+    fenced = found.select(
+        *keep, "line_no", "line", F.inline_outer(F.array(F.struct("level", "score_x100", "reasons")))
+    )
+    return fenced.filter(F.col("level").isin("high", "med"))
 
 
 def level_counts(risks: DataFrame, *keys: str) -> DataFrame:
@@ -238,9 +307,7 @@ def hotspots(files: DataFrame, *keep: str, around: int = 3, seals=DEFAULT_SEALS)
     with_lines = files.select(
         *files.columns, universal_lines(F.col("content")).alias("_all_lines")
     )
-    risky = line_risks(with_lines, *keep, "_all_lines", seals=seals).filter(
-        F.col("level").isin("high", "med")
-    )
+    risky = risky_lines(with_lines, *keep, "_all_lines", seals=seals)
     code = F.coalesce(F.get(F.col("_all_lines"), F.col("line_no") - 1), F.lit(""))
     return risky.select(
         *keep,
