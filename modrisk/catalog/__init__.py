@@ -26,4 +26,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from modrisk.catalog import corpus, learning, scores, tables  # noqa: F401
+    from modrisk.catalog import corpus, learning, records, scores, tables  # noqa: F401

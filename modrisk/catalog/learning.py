@@ -179,7 +179,7 @@ def labelled_features(spark, sf):
 
 def split_tables(spark, sf):
     """Scaled model tables for training (with folds) and testing."""
-    rows = sampling.stratified_split(labelled_features(spark, sf), "doc_id")
+    rows = sampling.stratified_split(labelled_features(spark, sf).persist(), "doc_id")
     train, test = rows.filter(~F.col("is_test")), rows.filter("is_test")
     scaler = models.PopulationScaler(columns=FEATURES).fit(train)
     folded = sampling.stratified_folds(scaler.transform(train), "doc_id")
