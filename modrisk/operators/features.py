@@ -112,10 +112,12 @@ def correlations(rows: DataFrame, columns: list[str], label: str = LABEL) -> Dat
     parts = []
     for c in columns:
         x = col(c).cast("double")
-        both = F.when(x.isNotNull() & y.isNotNull(), x)
-        # corr divides by zero deviations under ANSI rules only for constants.
-        varies = (F.min(both) < F.max(both)) & (F.min(y) < F.max(y))
-        parts.append(F.struct(F.lit(c).alias("feature"), F.when(varies, F.abs(F.corr(x, y))).alias("score")))
+        both = x.isNotNull() & y.isNotNull()
+        xs, ys = F.when(both, x), F.when(both, y)
+        varies = (F.min(xs) < F.max(xs)) & (F.min(ys) < F.max(ys))
+        # Not F.corr: with a constant column it divides by zero, an error under ANSI rules.
+        r = F.try_divide(F.covar_pop(xs, ys), F.stddev_pop(xs) * F.stddev_pop(ys))
+        parts.append(F.struct(F.lit(c).alias("feature"), F.when(varies, F.abs(r)).alias("score")))
     return (
         rows.agg(F.array(*parts).alias("_rows"))
         .select(F.inline("_rows"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 from modrisk.functions.draws import draw
 from modrisk.functions.ordered import ROWS_PER_RANGE, _values_at, ranked
@@ -71,15 +71,22 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``. ``key`` must be unique.
 
-    Exact: the rows with the smallest draws of each class. The draw at the
-    boundary rank is found by bracketing, so nothing is sorted or shuffled; the
-    result is a comparison on each row. Otherwise: draw below the share.
+    Exact: the rows with the smallest draws of each class. Up to ``small`` rows
+    a window ranks them; beyond, the draw at the boundary rank is found by
+    bracketing, so nothing is sorted or shuffled and the result is a comparison
+    on each row. Not exact: draw below the share.
     """
     u = draw(seed, col(key))
     if not exact:
         return rows.withColumn("is_test", u < F.lit(test_share))
     sizes = class_sizes(rows, label)
     taken = _test_sizes(sizes, test_share)
+    if sum(sizes.values()) <= small:
+        limit = F.lit(0)
+        for c, n in taken.items():
+            limit = F.when(col(label) == c, n).otherwise(limit)
+        order = Win.partitionBy(col(label)).orderBy(u, col(key))
+        return rows.withColumn("is_test", F.row_number().over(order) <= limit)
     drawn = rows.select(
         col(key).alias("_key"), u.alias("_u"), col(label).alias("_y"),
         *[F.when(col(label) == c, u).alias(f"_u{i}") for i, c in enumerate(sizes)],
