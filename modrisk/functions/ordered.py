@@ -19,38 +19,35 @@ MAX_RANGES = 1024
 SKETCH_ACCURACY = 10_000
 
 
-def _key(names: list[str]) -> Column:
-    return F.struct(*names) if names else F.lit(0)
+def _split_points(rows: DataFrame, by: list[str], value: str, rows_per_range: int) -> list:
+    """Per group: its key values and the values its ranges are cut at.
 
-
-def with_ranges(
-    rows: DataFrame, by: list[str], value: str, rows_per_range: int = ROWS_PER_RANGE
-) -> DataFrame:
-    """Add ``_range``: an increasing range number of ``value`` within each group.
-
-    Groups (``by``) must be few, such as models or classes. Small inputs get
-    one range per group and no sketch job.
+    Empty when every group fits one range; then no sketch is taken.
     """
     counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).collect()
     largest = max((r["n"] for r in counts), default=0)
     ranges = min(MAX_RANGES, math.ceil(largest / rows_per_range))
     if ranges <= 1:
-        return rows.withColumn("_range", F.lit(0))
-    marks = [i / ranges for i in range(1, ranges)]
-    splits = (
-        rows.groupBy(*by)
-        .agg(F.percentile_approx(value, F.array(*[F.lit(m) for m in marks]), F.lit(SKETCH_ACCURACY)).alias("s"))
-        .collect()
+        return []
+    marks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    sketched = rows.groupBy(*by).agg(
+        F.percentile_approx(value, marks, F.lit(SKETCH_ACCURACY)).alias("s")
     )
-    chosen = None
-    for row in splits:
-        points = sorted({p for p in row["s"] or [] if p is not None})
+    return [
+        ([r[k] for k in by], sorted({p for p in r["s"] or [] if p is not None})) for r in sketched.collect()
+    ]
+
+
+def _range_number(splits: list, by: list[str], value: str) -> Column:
+    """How many split points of its group lie below a value."""
+    chosen = F.when(F.lit(False), 0)
+    for keys, points in splits:
+        same_group = F.lit(True)
+        for name, key in zip(by, keys):
+            same_group = same_group & F.col(name).eqNullSafe(F.lit(key))
         number = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p < F.col(value)))
-        condition = F.lit(True)
-        for name in by:
-            condition = condition & F.col(name).eqNullSafe(F.lit(row[name]))
-        chosen = F.when(condition, number) if chosen is None else chosen.when(condition, number)
-    return rows.withColumn("_range", chosen.otherwise(0))
+        chosen = chosen.when(same_group, number)
+    return chosen.otherwise(0)
 
 
 def running_totals(
@@ -61,30 +58,45 @@ def running_totals(
     descending: bool = False,
     ties: list[str] | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
+    group_totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add running sums (``sums``: new name -> column) in the order of ``value``.
 
-    ``ties`` orders equal values. The order is total only with unique ties; a
-    window runs per (group, range) and the totals of earlier ranges, at most
+    ``ties`` orders equal values and must make the order total. ``group_totals``
+    adds plain sums per group. Groups must be few, such as models or classes.
+    Groups of up to ``rows_per_range`` rows need one window; larger ones a
+    window per range, to which the totals of earlier ranges, at most
     ``MAX_RANGES`` rows a group, are added from a broadcast table.
     """
-    ranged = with_ranges(rows, by, value, rows_per_range)
+    wholes = group_totals or {}
+    splits = _split_points(rows, by, value, rows_per_range)
     direction = F.desc if descending else F.asc
     order = [direction(value), *(ties or [])]
+    if not splits:
+        inside = Win.partitionBy(*by).orderBy(*order).rowsBetween(Win.unboundedPreceding, 0)
+        return rows.select(
+            "*",
+            *[F.sum(c).over(inside).alias(n) for n, c in sums.items()],
+            *[F.sum(c).over(Win.partitionBy(*by)).alias(n) for n, c in wholes.items()],
+        )
+    ranged = rows.withColumn("_range", _range_number(splits, by, value))
     inside = Win.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Win.unboundedPreceding, 0)
-    totals = ranged.groupBy(*by, "_range").agg(*[F.sum(c).alias(f"_t_{n}") for n, c in sums.items()])
+    per_range = ranged.groupBy(*by, "_range").agg(
+        *[F.sum(c).alias(f"_t_{n}") for n, c in {**sums, **wholes}.items()]
+    )
     before = Win.partitionBy(*by).orderBy(direction("_range")).rowsBetween(Win.unboundedPreceding, -1)
-    offsets = totals.select(
+    offsets = per_range.select(
         *[F.col(k).alias(f"_k_{k}") for k in by],
         F.col("_range").alias("_k_range"),
         *[F.coalesce(F.sum(f"_t_{n}").over(before), F.lit(0)).alias(f"_o_{n}") for n in sums],
+        *[F.sum(f"_t_{n}").over(Win.partitionBy(*by)).alias(n) for n in wholes],
     )
     condition = F.col("_range") == F.col("_k_range")
     for k in by:
         condition = condition & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
     local = ranged.select("*", *[F.sum(c).over(inside).alias(f"_l_{n}") for n, c in sums.items()])
     return local.join(F.broadcast(offsets), condition).select(
-        *rows.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums]
+        *rows.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums], *wholes
     )
 
 

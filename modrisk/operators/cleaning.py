@@ -188,13 +188,15 @@ class MetricCleaner(Estimator, _Readable):
         return integrity_filter(drop_exact_duplicates(rows))
 
     def _fit(self, rows: DataFrame) -> "MetricCleanerModel":
-        """Fits on rows that went through :meth:`prepare`."""
+        """Fits on rows that went through :meth:`prepare`; several passes, so they are cached."""
+        rows = rows.persist()
         numeric = numeric_columns(rows)
         fill = medians(rows, numeric)
         filled = fill_missing(rows, fill)
         measured = [c for c in numeric if c != LABEL]
         bounds = clip_bounds(filled, measured, self.getOrDefault(self.multiplier))
         dropped = constant_columns(clipped(filled, bounds), measured)
+        rows.unpersist()
         return MetricCleanerModel(fill=fill, bounds={k: list(v) for k, v in bounds.items()}, dropped=dropped)
 
 

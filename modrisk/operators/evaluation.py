@@ -85,15 +85,11 @@ def _steps(scored: DataFrame, by: str, rows_per_range: int) -> DataFrame:
     """Per distinct score, from high to low: own and running positives and negatives."""
     per_score = scored.groupBy(by, "score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    ).persist()
+    return running_totals(
+        per_score, [by], "score", {"tp": "pos", "fp": "neg"}, descending=True,
+        rows_per_range=rows_per_range, group_totals={"P": "pos", "N": "neg"},
     )
-    running = running_totals(
-        per_score, [by], "score", {"tp": "pos", "fp": "neg"}, descending=True, rows_per_range=rows_per_range
-    )
-    totals = scored.groupBy(by).agg(
-        F.count_if(F.col("label") == 1).alias("P"), F.count_if(F.col("label") == 0).alias("N")
-    )
-    # One row per model.
-    return running.join(F.broadcast(totals), by)
 
 
 def roc_curve(scored: DataFrame, by: str = "model", rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

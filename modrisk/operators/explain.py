@@ -132,7 +132,7 @@ def heatmap(
     Works on one model. Ranks come from range-partitioned windows.
     """
     rows = distribution_rows(attributions, top)
-    totals = rows.groupBy("row_id").agg(F.sum("contribution").alias("_total"))
+    totals = rows.groupBy("row_id").agg(F.sum("contribution").alias("_total")).persist()
     order = ranked(totals, [], "_total", ["row_id"], "_rank", rows_per_range=rows_per_range)
     n = totals.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     at = F.col("_rank") - 1

@@ -62,6 +62,7 @@ def nearest(
         .filter(F.col("_n") <= k + 1)
         .groupBy("_v")
         .agg(F.array_sort(F.collect_list("_c")).alias("_ids"))
+        .persist()
     )
     size = points.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("_v")).alias("d")).first()
     if not size["n"]:
@@ -82,7 +83,7 @@ def nearest(
 
     celled = points.mapInPandas(
         to_cells, T.StructType([*points.schema.fields, T.StructField("_cell", T.IntegerType()), T.StructField("_d", T.DoubleType())])
-    )
+    ).persist()
     # One row per cell: how far it reaches, and how near its k + 1 best are.
     near = Win.partitionBy("_cell").orderBy("_d")
     reach = celled.groupBy("_cell").agg(
@@ -114,7 +115,7 @@ def nearest(
             )
 
     vectors = wanted.groupBy("_v").agg(F.min("_q").alias("_query"))
-    probes = vectors.mapInPandas(to_probes, "_v array<double>, _query long, _cell int")
+    probes = vectors.mapInPandas(to_probes, "_v array<double>, _query long, _cell int").persist()
     per_cell = np.zeros(count, dtype=int)
     for r in probes.groupBy("_cell").count().collect():
         per_cell[r["_cell"]] = r["count"]

@@ -17,19 +17,19 @@ def file_risk(
     jitter: bool = False,
     model_scores: DataFrame | None = None,
     seals=DEFAULT_SEALS,
-    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """Metrics, line counts, score and band of each file.
 
     Metrics are computed on the file row and travel with its lines, so the one
     shuffle is the roll-up by path, which the map side has already reduced to a
     row per file. ``model_scores(path, model_score)`` is blended in when given.
-    ``carry`` names further columns of ``files`` to keep.
     """
-    about = ["fname", "ext", "lang", *carry, *METRICS]
-    rows = scored_lines(analysis_metrics(files), "path", *about, seals=seals)
-    rolled = rows.groupBy("path").agg(
-        *[F.any_value(c).alias(c) for c in about],
+    # Name, extension and language follow from the path. As grouping keys they
+    # keep the hash aggregate, whose buffers cannot hold strings.
+    names = ["path", "fname", "ext", "lang"]
+    rows = scored_lines(analysis_metrics(files), *names, *METRICS, seals=seals)
+    rolled = rows.groupBy(*names).agg(
+        *[F.any_value(c).alias(c) for c in METRICS],
         F.count_if(F.col("level") == "high").alias("high_lines"),
         F.count_if(F.col("level") == "med").alias("med_lines"),
     )
@@ -39,7 +39,7 @@ def file_risk(
         base = blended(F.col("model_score"), base)
     score = capped(base, F.col("high_lines"), F.col("med_lines"))
     return rolled.select(
-        "path", *about, "high_lines", "med_lines", score.alias("risk_score")
+        *names, *METRICS, "high_lines", "med_lines", score.alias("risk_score")
     ).withColumn("risk_level", band(F.col("risk_score"), "analysis"))
 
 

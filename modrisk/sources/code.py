@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -29,32 +30,53 @@ def _binary(spark: SparkSession, paths: list[str], pattern: str | None, recursiv
     return reader.load(paths)
 
 
+def _plain(path: Column) -> Column:
+    """Path without its scheme, in one spelling."""
+    return F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+
+
+def _with_empty(files: DataFrame) -> DataFrame:
+    """(path, content) rows plus the zero-byte files, which the reader leaves out.
+
+    They are the listed names without a row. The names come from the file
+    listing Spark holds on the driver in any case; comparing them reads no
+    content.
+    """
+    found = files.select(_plain(F.col("path")).alias("path"), "content")
+    names = [(unquote(name),) for name in files.inputFiles()]
+    listed = files.sparkSession.createDataFrame(names, "path string").select(_plain(F.col("path")).alias("path"))
+    empty = listed.join(found.select("path"), "path", "left_anti")
+    return found.unionByName(empty.withColumn("content", F.lit(b"")))
+
+
 def _relative(path: Column, root: str) -> Column:
     """Path below the root; whole path when it lies elsewhere."""
-    plain = F.regexp_replace(path, r"\A[A-Za-z][A-Za-z0-9+.-]*:/*", "/")
+    plain = _plain(path)
     base = "/" + root.split(":", 1)[-1].strip("/") + "/"
     return F.when(plain.startswith(base), F.substring(plain, len(base) + 1, 1 << 30)).otherwise(plain)
 
 
-def read_tree(spark: SparkSession, root: str, on_invalid: str = "drop") -> DataFrame:
+def read_tree(spark: SparkSession, root: str, on_invalid: str = "drop", keep_empty: bool = True) -> DataFrame:
     """Supported source files below a directory, without library and hidden directories.
 
     The listing is filtered by file name before any content is read; the path
-    rules apply to the part below ``root``. Files of zero bytes give no row in
-    the binary reader and so are listed with empty content from their metadata.
+    rules apply to the part below ``root``. ``keep_empty=False`` leaves out
+    zero-byte files and spares the comparison of names that finds them.
     """
     names = "*{" + ",".join(e for group in TREE_FAMILIES.values() for e in group) + "}"
-    files = _binary(spark, [root], names, True).select("path", "length", "content")
+    files = _binary(spark, [root], names, True).select("path", "content")
+    files = _with_empty(files) if keep_empty else files
     shown = files.withColumn("path", _relative(F.col("path"), root))
     kept = shown.filter(~is_skipped(F.concat(F.lit("./"), F.col("path"))) & ~in_hidden_directory(F.col("path")))
-    text = F.coalesce(decoded(F.col("content"), on_invalid), F.lit(""))
+    text = decoded(F.col("content"), on_invalid)
     return supported_only(source_rows(kept.select("path", text.alias("content"))))
 
 
 def read_files(spark: SparkSession, paths: list[str], on_invalid: str = "drop") -> DataFrame:
     """The given files, as far as their extension has metric rules (also .jsx)."""
-    files = _binary(spark, paths, None, False).select("path", decoded(F.col("content"), on_invalid).alias("content"))
-    return supported_only(source_rows(files), LIST_FAMILIES)
+    files = _with_empty(_binary(spark, paths, None, False).select("path", "content"))
+    text = files.select("path", decoded(F.col("content"), on_invalid).alias("content"))
+    return supported_only(source_rows(text), LIST_FAMILIES)
 
 
 def read_archives(spark: SparkSession, paths: list[str] | str) -> DataFrame:

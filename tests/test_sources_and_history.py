@@ -63,7 +63,7 @@ def make_tree(root):
 def test_tree(spark, tmp_path):
     make_tree(tmp_path)
     rows = {r["path"]: r for r in code.read_tree(spark, str(tmp_path)).collect()}
-    assert {"a.py", "sub/b.java", "sub/a.py"} <= set(rows) <= {"a.py", "sub/b.java", "sub/a.py", "empty.c"}
+    assert set(rows) == {"a.py", "sub/b.java", "sub/a.py", "empty.c"} and rows["empty.c"]["content"] == ""
     assert rows["sub/a.py"]["content"] == "bad  bytes" and rows["a.py"]["lang"] == "Python"
     replaced = {r["path"]: r for r in code.read_tree(spark, str(tmp_path), "replace").collect()}
     assert "�" in replaced["sub/a.py"]["content"]
@@ -159,7 +159,7 @@ def test_explorer(spark):
 
 
 def test_review(spark):
-    files = risk.file_risk(corpus(spark), carry=("content",))
+    files = corpus(spark).select("path", "content").join(risk.file_risk(corpus(spark)), "path")
     context = {r["path"]: r for r in review.file_context(files).collect()}
     main = context["src/main.py"]
     assert {(v["metric"], v["severity"]) for v in main["violations"]} == {("cc", "CRITICAL"), ("comment_ratio", "CRITICAL")}
