@@ -663,8 +663,7 @@ _SNIPPET = """CASE WHEN len(ls) > 80 THEN array_to_string(ls[1:80], chr(10)) ||
 )
 def file_context(spark, sf):
     files = sources(spark, sf)
-    scored = files.select("path", "content").join(risk.file_risk(files), "path")
-    return review.file_context(scored).select(
+    return review.file_context(files, risk.file_risk(files)).select(
         "path", "language", F.round("risk_score", 6).alias("risk_score"), "risk_level",
         F.size("violations").alias("violations"), F.size("hotspots").alias("hotspots"), "snippet",
     )

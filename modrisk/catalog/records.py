@@ -86,15 +86,14 @@ def conversation_log(spark, sf):
 
 @query(
     "conversation_messages",
-    """SELECT c.conv_id, c.turns, m.role, row_number() OVER (PARTITION BY c.conv_id ORDER BY m.turn)::INT AS position, m.text
+    """SELECT c.conv_id, c.turns, m.turn, m.role, m.text
        FROM (SELECT conv_id, count(*) AS turns FROM conversations GROUP BY conv_id) c LEFT JOIN conversations m USING (conv_id)""",
 )
 def conversation_messages(spark, sf):
     messages = table(spark, sf, "conversations")
     heads = messages.groupBy("conv_id").agg(F.count(F.lit(1)).alias("turns"))
-    return history.conversations_with_messages(heads, messages, "conv_id", "turn", "turn").select(
-        "conv_id", "turns", "role", "position", "text"
-    )
+    joined = history.conversations_with_messages(heads, messages, "conv_id")
+    return history.message_log(joined, None, "conv_id", "turn", "role").select("conv_id", "turns", "turn", "role", "text")
 
 
 @query(

@@ -19,16 +19,14 @@ MAX_RANGES = 1024
 SKETCH_ACCURACY = 10_000
 
 
-def _split_points(rows: DataFrame, by: list[str], value: str, rows_per_range: int) -> list:
-    """Per group: its key values and the values its ranges are cut at.
+def _largest_group(rows: DataFrame, by: list[str]) -> int:
+    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.max("n")).first()[0] or 0
 
-    Empty when every group fits one range; then no sketch is taken.
-    """
-    counts = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("n")).collect()
-    largest = max((r["n"] for r in counts), default=0)
-    ranges = min(MAX_RANGES, math.ceil(largest / rows_per_range))
-    if ranges <= 1:
-        return []
+
+def _split_points(rows: DataFrame, by: list[str], value: str, wanted: int) -> list:
+    """Per group: its key values and the values its ranges are cut at."""
+    ranges = min(MAX_RANGES, wanted)
     marks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     sketched = rows.groupBy(*by).agg(
         F.percentile_approx(value, marks, F.lit(SKETCH_ACCURACY)).alias("s")
@@ -59,6 +57,7 @@ def running_totals(
     ties: list[str] | None = None,
     rows_per_range: int = ROWS_PER_RANGE,
     group_totals: dict[str, str] | None = None,
+    uniform: bool = False,
 ) -> DataFrame:
     """Add running sums (``sums``: new name -> column) in the order of ``value``.
 
@@ -66,20 +65,26 @@ def running_totals(
     adds plain sums per group. Groups must be few, such as models or classes.
     Groups of up to ``rows_per_range`` rows need one window; larger ones a
     window per range, to which the totals of earlier ranges, at most
-    ``MAX_RANGES`` rows a group, are added from a broadcast table.
+    ``MAX_RANGES`` rows a group, are added from a broadcast table. ``uniform``
+    says that values are evenly spread over 0..1, as draws are: ranges are then
+    cut by arithmetic, without a sketch and as many as the rows need.
     """
     wholes = group_totals or {}
-    splits = _split_points(rows, by, value, rows_per_range)
+    counted = _largest_group(rows, by)
+    even_ranges = math.ceil(counted / rows_per_range)
+    small = even_ranges <= 1
+    splits = [] if small or uniform else _split_points(rows, by, value, even_ranges)
     direction = F.desc if descending else F.asc
     order = [direction(value), *(ties or [])]
-    if not splits:
+    if small:
         inside = Win.partitionBy(*by).orderBy(*order).rowsBetween(Win.unboundedPreceding, 0)
         return rows.select(
             "*",
             *[F.sum(c).over(inside).alias(n) for n, c in sums.items()],
             *[F.sum(c).over(Win.partitionBy(*by)).alias(n) for n, c in wholes.items()],
         )
-    ranged = rows.withColumn("_range", _range_number(splits, by, value))
+    number = F.floor(F.col(value) * F.lit(even_ranges)) if uniform else _range_number(splits, by, value)
+    ranged = rows.withColumn("_range", number.cast("int"))
     inside = Win.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Win.unboundedPreceding, 0)
     per_range = ranged.groupBy(*by, "_range").agg(
         *[F.sum(c).alias(f"_t_{n}") for n, c in {**sums, **wholes}.items()]
@@ -108,10 +113,13 @@ def ranked(
     name: str = "rank",
     descending: bool = False,
     rows_per_range: int = ROWS_PER_RANGE,
+    uniform: bool = False,
 ) -> DataFrame:
     """Row numbers from 1 within each group, spread over ranges of ``value``."""
     ones = rows.withColumn("_one", F.lit(1).cast("long"))
-    return running_totals(ones, by, value, {name: "_one"}, descending, ties, rows_per_range).drop("_one")
+    return running_totals(
+        ones, by, value, {name: "_one"}, descending, ties, rows_per_range, uniform=uniform
+    ).drop("_one")
 
 
 def exact_quantiles(

@@ -67,9 +67,10 @@ def lines_of(text: Column) -> Column:
 
 def universal_lines(text: Column) -> Column:
     """Lines by every line boundary, with no empty last line."""
-    boundary = r"\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\x{2028}\x{2029}]"
-    parts = F.split(text, boundary)
-    return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    boundary = r"(?:\r\n|[\n\x0b\x0c\r\x1c\x1d\x1e\x85\x{2028}\x{2029}])"
+    return F.when(text == "", F.array().cast("array<string>")).otherwise(
+        F.split(F.regexp_replace(text, boundary + r"\z", ""), boundary)
+    )
 
 
 def first_code_block(markdown: Column) -> Column:
@@ -77,9 +78,8 @@ def first_code_block(markdown: Column) -> Column:
     return strip(F.regexp_extract(markdown, rf"(?s)```(?:{W}+)?\n(.*?)```", 1))
 
 
-def snippet(text: Column, max_lines: int = 80) -> Column:
-    """The first lines of a text, with a note on how many more there are."""
-    lines = universal_lines(text)
+def snippet(lines: Column, max_lines: int = 80) -> Column:
+    """The first lines, joined, with a note on how many more there are."""
     more = F.size(lines) - max_lines
     head = F.array_join(F.slice(lines, 1, max_lines), "\n")
     return F.when(

@@ -7,7 +7,7 @@ rest, and deleting rewrites only the tables' remaining rows into a new version.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window as Win, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Numeric metrics kept per file, and score columns kept per model.
 FILE_METRICS = [
@@ -78,7 +78,18 @@ def session_details(sessions: DataFrame, metrics: DataFrame, predictions: DataFr
             F.to_json(F.struct(*[c for c in predictions.columns if c not in ("session_id", "model_name")])).alias("values"),
         )
     )
-    return sessions.join(children, "session_id", "left")
+    return with_children(sessions, children, "session_id")
+
+
+def with_children(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:
+    """Left join of parents and their children, safe for a parent with very many.
+
+    A left join cannot split a crowded key on its right side. The inner join
+    can, and parents without children are few columns found by an anti join.
+    """
+    matched = parents.join(children, key)
+    lonely = without(parents, children, key)
+    return matched.unionByName(lonely, allowMissingColumns=True)
 
 
 # ---- conversations --------------------------------------------------------
@@ -105,14 +116,13 @@ def message_log(
     return rows.orderBy(key, time, tie)
 
 
-def conversations_with_messages(
-    conversations: DataFrame, messages: DataFrame, key: str = "conversation_id", time: str = "timestamp", tie: str = "id"
-) -> DataFrame:
-    """Left join of conversations and their numbered messages."""
-    numbered = messages.withColumn(
-        "position", F.row_number().over(Win.partitionBy(key).orderBy(time, tie))
-    )
-    return conversations.join(numbered, key, "left")
+def conversations_with_messages(conversations: DataFrame, messages: DataFrame, key: str = "conversation_id") -> DataFrame:
+    """Each conversation with its messages as rows; order them with :func:`message_log`.
+
+    The rows carry their time, so reading a conversation in order is a
+    range-partitioned sort and needs no numbering per conversation.
+    """
+    return with_children(conversations, messages, key)
 
 
 def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:

@@ -95,8 +95,8 @@ def dangerous_lines(files: DataFrame, *keep: str) -> DataFrame:
     """
     any_pattern = has(F.col("content"), *[p for p, _, _ in DANGEROUS])
     lines = files.filter(any_pattern).select(
-        *keep, F.posexplode(universal_lines(F.col("content"))).alias("_pos", "_line")
-    )
+        *keep, F.posexplode_outer(universal_lines(F.col("content"))).alias("_pos", "_line")
+    ).filter(has(F.col("_line"), *[p for p, _, _ in DANGEROUS]))
     stripped = lines.select(*keep, (F.col("_pos") + 1).alias("line_no"), strip(F.col("_line")).alias("_text"))
     return (
         stripped.select(*keep, "line_no", F.substring("_text", 1, 120).alias("code"), _first_pattern(F.col("_text")).alias("_hit"))
@@ -105,42 +105,53 @@ def dangerous_lines(files: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _dangerous_of(content: Column) -> Column:
+def _dangerous_of(content: Column, lines: Column) -> Column:
     """Dangerous lines of one file as an array, in line order."""
     def row(line: Column, i: Column) -> Column:
-        text = strip(line)
-        hit = _first_pattern(text)
-        return F.when(
-            hit.isNotNull(),
-            F.struct(
-                (i + 1).alias("line_no"), F.substring(text, 1, 120).alias("code"),
-                hit["pattern"].alias("pattern"), hit["severity"].alias("severity"), hit["reason"].alias("reason"),
-            ),
+        return F.struct((i + 1).alias("line_no"), strip(line).alias("text"))
+
+    def found(row: Column) -> Column:
+        hit = _first_pattern(row["text"])
+        return F.struct(row["line_no"].alias("line_no"), F.substring(row["text"], 1, 120).alias("code"), hit.alias("hit"))
+
+    def flat(row: Column) -> Column:
+        hit = row["hit"]
+        return F.struct(
+            row["line_no"].alias("line_no"), row["code"].alias("code"),
+            hit["pattern"].alias("pattern"), hit["severity"].alias("severity"), hit["reason"].alias("reason"),
         )
 
-    any_pattern = has(content, *[p for p, _, _ in DANGEROUS])
-    return F.when(any_pattern, F.array_compact(F.transform(universal_lines(content), row)))
+    patterns = [p for p, _, _ in DANGEROUS]
+    candidates = F.filter(F.transform(lines, row), lambda r: has(r["text"], *patterns))
+    return F.when(has(content, *patterns), F.transform(F.transform(candidates, found), flat))
 
 
-def file_context(files: DataFrame) -> DataFrame:
-    """Everything about a file on one row; needs content, lang, risk_score and metrics.
+def file_context(files: DataFrame, risks: DataFrame) -> DataFrame:
+    """Everything about a file on one row, from source files and their risks.
 
-    A file is one row on the way in, so its violations and hotspots are arrays
-    of that row and no grouping is needed.
+    Hotspots and snippet are worked out on the file row before the join, so
+    the shuffle carries those instead of whole texts.
     """
-    hotspots = _dangerous_of(F.col("content"))
     none = F.array().cast(
         "array<struct<line_no:int,code:string,pattern:string,severity:string,reason:string>>"
     )
-    return files.select(
+    excerpts = files.select(
+        "path", "lang", "content", universal_lines(F.col("content")).alias("_lines")
+    ).select(
         "path",
         F.coalesce(F.col("lang"), F.lit("Unknown")).alias("language"),
+        F.coalesce(_dangerous_of(F.col("content"), F.col("_lines")), none).alias("hotspots"),
+        snippet(F.col("_lines")).alias("snippet"),
+    )
+    return excerpts.join(risks.drop("lang"), "path").select(
+        "path",
+        "language",
         "risk_score",
         band(F.col("risk_score"), "review").alias("risk_level"),
         "loc", "cc", "funcs", "classes", "comment_ratio",
         violations_of().alias("violations"),
-        F.coalesce(hotspots, none).alias("hotspots"),
-        snippet(F.col("content")).alias("snippet"),
+        "hotspots",
+        "snippet",
     )
 
 

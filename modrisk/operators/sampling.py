@@ -126,7 +126,7 @@ def stratified_folds(
     if not exact:
         return rows.withColumn("fold", F.floor(u * folds).cast("int"))
     ordered = ranked(
-        rows.withColumn("_u", u), [label], "_u", [key], "_rank", rows_per_range=rows_per_range
+        rows.withColumn("_u", u), [label], "_u", [key], "_rank", rows_per_range=rows_per_range, uniform=True
     )
     return ordered.withColumn("fold", F.pmod(F.col("_rank") - 1, F.lit(folds)).cast("int")).drop("_u", "_rank")
 
@@ -196,7 +196,8 @@ def smote(
     minority = rows.filter(col(label) == minority_class)
     missing = large - small if small > k and len(sizes) > 1 else 0
     order = ranked(
-        minority.select(col(key).alias(key), draw(f"{seed}:order", col(key)).alias("_u")), [], "_u", [key], "_rank"
+        minority.select(col(key).alias(key), draw(f"{seed}:order", col(key)).alias("_u")), [], "_u", [key], "_rank",
+        uniform=True,
     )
     seeds = order.select(
         key,

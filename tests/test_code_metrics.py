@@ -123,9 +123,11 @@ def test_attached_metrics_match_computed_ones(spark):
 def test_text_helpers(spark):
     row = spark.createDataFrame([("  x \t", "a\r\nb\x0bc\n")], "a string, b string").select(
         tx.strip(F.col("a")).alias("s"), tx.universal_lines(F.col("b")).alias("l"),
-        tx.snippet(F.lit("1\n2\n3\n4"), 2).alias("sn"), tx.first_code_block(F.lit("t ```py\n x \n``` ```\ny```")).alias("c"),
+        tx.snippet(F.array(*[F.lit(x) for x in "1234"]), 2).alias("sn"), tx.first_code_block(F.lit("t ```py\n x \n``` ```\ny```")).alias("c"),
         tx.first_code_block(F.lit("none")).alias("n"),
+        tx.universal_lines(F.lit("")).alias("e"), tx.universal_lines(F.lit("\n")).alias("nl"),
     ).first()
     assert row["s"] == "x" and row["l"] == ["a", "b", "c"]
+    assert row["e"] == [] and row["nl"] == [""]
     assert row["sn"] == "1\n2\n... (2 more lines)"
     assert row["c"] == "x" and row["n"] == ""

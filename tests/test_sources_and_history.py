@@ -159,8 +159,8 @@ def test_explorer(spark):
 
 
 def test_review(spark):
-    files = corpus(spark).select("path", "content").join(risk.file_risk(corpus(spark)), "path")
-    context = {r["path"]: r for r in review.file_context(files).collect()}
+    files = risk.file_risk(corpus(spark))
+    context = {r["path"]: r for r in review.file_context(corpus(spark), files).collect()}
     main = context["src/main.py"]
     assert {(v["metric"], v["severity"]) for v in main["violations"]} == {("cc", "CRITICAL"), ("comment_ratio", "CRITICAL")}
     assert len(main["hotspots"]) == 30 and main["hotspots"][0]["pattern"] == "eval("
