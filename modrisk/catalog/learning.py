@@ -63,9 +63,9 @@ _IMPORTANCE = """SELECT *, row_number() OVER (PARTITION BY model ORDER BY import
   FROM (SELECT model, feature, avg(abs(contribution)) AS importance FROM a GROUP BY ALL)"""
 
 
-@query("global_importance", f"{ATTR} SELECT model, feature, round(importance, 6) AS importance, rank FROM ({_IMPORTANCE}) WHERE rank <= 4")
+@query("global_importance", f"{ATTR} SELECT model, feature, round(importance, 9) AS importance, rank FROM ({_IMPORTANCE}) WHERE rank <= 4")
 def global_importance(spark, sf):
-    return rounded(explain.global_importance(both(spark, sf), 4), ["importance"])
+    return rounded(explain.global_importance(both(spark, sf), 4), ["importance"], 9)
 
 
 @query(
@@ -109,10 +109,10 @@ def dependency(spark, sf):
     return rounded(explain.dependency(both(spark, sf), "chars", "lines"), ["contribution"])
 
 
-@query("importance_comparison", f"{ATTR} SELECT model, feature, round(importance, 6) AS importance, rank FROM ({_IMPORTANCE}) WHERE rank <= 10")
+@query("importance_comparison", f"{ATTR} SELECT model, feature, round(importance, 9) AS importance, rank FROM ({_IMPORTANCE}) WHERE rank <= 10")
 def importance_comparison(spark, sf):
     parts = [attributions(spark, sf, m) for m in COEFFICIENTS]
-    return rounded(explain.model_comparison(parts), ["importance"])
+    return rounded(explain.model_comparison(parts), ["importance"], 9)
 
 
 @query(

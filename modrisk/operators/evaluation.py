@@ -171,10 +171,13 @@ def detector_effort(scored: DataFrame, loc: str = "loc", by: str = "model") -> D
 
 
 def fold_summary(fold_scores: DataFrame, metrics: list[str], by: str = "model") -> DataFrame:
-    """Mean and population deviation over folds."""
+    """Mean and population deviation over folds; NULL when a fold has no value."""
+    def whole(m: str, value: Column) -> Column:
+        return F.when(F.count(m) == F.count(F.lit(1)), value)
+
     return fold_scores.groupBy(by).agg(
-        *[F.avg(m).alias(f"{m}_mean") for m in metrics],
-        *[F.stddev_pop(m).alias(f"{m}_std") for m in metrics],
+        *[whole(m, F.avg(m)).alias(f"{m}_mean") for m in metrics],
+        *[whole(m, F.stddev_pop(m)).alias(f"{m}_std") for m in metrics],
     )
 
 
