@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import exact_dedup, quality
+from modrisk.llm import exact_dedup, quality, simhash
 from modrisk.llm.shared import LOWER, UPPER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -63,6 +67,7 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   NOT base_failed AND NOT junk AS kept FROM v"""
 
 QUERIES: dict[str, Query] = {
+    "op4_simhash": op4_simhash,
     "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
