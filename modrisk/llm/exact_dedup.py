@@ -71,6 +71,8 @@ def exact_groups(
             F.max("id").alias("keep_id"),
             F.coalesce(F.max_by("row", "id"), F.max("row")).alias("keep_row"),
         )
+        # Written first: a join of two plain exchanges is one that Spark splits where a group is large.
+        groups = written(groups, f"{folder}/groups-{step}")
         final = (F.col("n") == 1) | ~F.col("more")
         split = step_state.join(groups, ["gid", "head", "more"]).select(
             "id", "row", "sha", "n", "keep_id",
