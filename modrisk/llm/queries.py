@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import exact_dedup, quality, simhash
+from modrisk.llm import bpe, exact_dedup, mixing, quality, simhash
 from modrisk.llm.shared import LOWER, UPPER
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,21 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def tokenizer(name: str) -> str:
+    """Place of a public tokenizer file; the package is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.copies(table(spark, sf_dir, "documents"))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
@@ -68,6 +83,8 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 
 QUERIES: dict[str, Query] = {
     "op4_simhash": op4_simhash,
+    "op5_bpe": op5_bpe,
+    "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op10_exact_dedup": op10_exact_dedup,
 }
