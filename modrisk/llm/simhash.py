@@ -307,8 +307,8 @@ def near_duplicates(
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input rows that stay, with all their columns: of each component those with its smallest id.
 
-    Rows that repeat that id stay together; ids are expected to be unique. In a component without any id, all rows stay.
+    Ids are expected to be unique; rows that repeat an id go or stay together, and rows without an id all stay.
     """
     found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
+    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")

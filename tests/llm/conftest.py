@@ -1,9 +1,9 @@
-import hashlib
-import re
+import sys
+from pathlib import Path
 
 import pytest
 
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
+sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 
 @pytest.fixture(scope="session")
@@ -27,6 +27,3 @@ def nothing(spark):
 def documents(spark, sf):
     return spark.read.parquet(f"{sf}/documents.parquet")
 
-
-def sha(text: str) -> str:
-    return hashlib.sha256(text.encode()).hexdigest()
