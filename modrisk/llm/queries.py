@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import bpe, exact_dedup, mixing, quality, simhash
-from modrisk.llm.shared import LOWER, UPPER
+from modrisk.llm import bpe, exact_dedup, mixing, quality, secret_scan, simhash, url_filter
+from modrisk.llm.shared import LOWER, UPPER, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages")).drop("pattern")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -39,6 +43,11 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ledger = work_folder(spark, "ledger")
+    return secret_scan.summary(secret_scan.scan(table(spark, sf_dir, "documents"), ledger))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -81,15 +90,62 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
   n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
   NOT base_failed AND NOT junk AS kept FROM v"""
 
+_OP2 = rf"""WITH u AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    CASE WHEN contains(url, '://') THEN url[strpos(url, '://') + 3:] ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(url, '{UPPER}', '{LOWER}') AS low,
+    translate(regexp_extract(rest, '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM u),
+r AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN ('.' || host) LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
+    WHEN ('.' || host) LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule FROM h)
+SELECT page_id, host, path, rule, CASE
+  WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+  WHEN {' OR '.join(f"regexp_matches(low, '{r.pattern}')" for r in url_filter.PATTERN_RULES)} THEN 'block'
+  ELSE 'allow' END AS verdict FROM r"""
+
+
+def _spans_sql(rule: secret_scan.SecretRule, order: int) -> str:
+    """Rows (doc_id, o, kind, base, s, e): running lengths over what a rule splits a text into."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""
+  SELECT doc_id, {order} AS o, '{rule.kind}' AS kind, {rule.base} AS base,
+    list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda x: length(x))), 0) AS s,
+    length(hits[i]) AS n, length(tested[i]) AS t, {rule.least} AS least
+  FROM (
+    SELECT doc_id, string_split_regex(text, '{pattern}') AS gaps, regexp_extract_all(text, '{pattern}') AS hits,
+      regexp_extract_all(text, '{pattern}', {rule.group}) AS tested
+    FROM d WHERE regexp_matches(text, '{pattern}')), range(1, len(hits) + 1) x(i)"""
+
+
+_OP9 = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+f AS ({' UNION ALL '.join(_spans_sql(r, i) for i, r in enumerate(secret_scan.RULES))}),
+g AS (SELECT *, kind || ':' || s::BIGINT || ':' || (s + n)::BIGINT AS span FROM f WHERE t >= least),
+a AS (
+  SELECT doc_id, {', '.join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in secret_scan.RULES if r.base)},
+    string_agg(span, ',' ORDER BY s, o) FILTER (base) AS base, string_agg(span, ',' ORDER BY s, o) AS spans
+  FROM g GROUP BY doc_id)
+SELECT doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in secret_scan.RULES if r.base)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
+
 QUERIES: dict[str, Query] = {
+    "op2_url_filter": op2_url_filter,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
+    "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 SQL: dict[str, str] = {
+    "op2_url_filter": _OP2,
     "op8_quality": _OP8,
+    "op9_secret_scan": _OP9,
     "op10_exact_dedup": _OP10,
 }
