@@ -119,7 +119,7 @@ def default_rules() -> list[Rule]:
     return [
         Rule("word_length", lambda d: not 2 * len(d.words) <= d.word_chars <= 20 * len(d.words)),
         Rule("symbols", lambda d: 100 * d.n_symbols > 25 * len(d.words)),
-        Rule("repeated_lines", lambda d: 100 * d.n_dup_lines > 30 * d.n_lines),
+        Rule("repeated_lines", lambda d: 100 * d.n_dup_lines > 50 * d.n_lines),
         Rule("shouting", lambda d: 100 * d.text.count("!") > 50 * len(d.words)),
         Rule("stuttering", lambda d: 100 * sum(a == b for a, b in zip(d.words, d.words[1:], strict=False)) > 20 * len(d.words)),
         Rule("few_letters", lambda d: 100 * sum(any(c.isalpha() for c in w) for w in d.words) < 60 * len(d.words)),

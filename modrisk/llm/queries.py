@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import bpe, exact_dedup, mixing, quality, secret_scan, simhash, url_filter
+from modrisk.llm import bpe, exact_dedup, mixing, quality, secret_scan, simhash, substring_dedup, url_filter
 from modrisk.llm.shared import LOWER, UPPER, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,11 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages")).drop("pattern")
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -81,7 +86,7 @@ c AS (
 v AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
     word_chars < 2 * n_words OR word_chars > 20 * n_words
-    OR 100 * n_symbols > 25 * n_words OR 100 * n_dup_lines > 30 * n_lines
+    OR 100 * n_symbols > 25 * n_words OR 100 * n_dup_lines > 50 * n_lines
     OR 100 * (length(text) - length(replace(text, '!', ''))) > 50 * n_words
     OR 100 * len(list_filter(range(1, n_words), lambda i: words[i] = words[i + 1])) > 20 * n_words
     OR 100 * len(list_filter(words, lambda x: regexp_matches(x, '\p{{L}}'))) < 60 * n_words AS junk
@@ -135,6 +140,7 @@ SELECT doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in secr
 
 QUERIES: dict[str, Query] = {
     "op2_url_filter": op2_url_filter,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op7_mixing": op7_mixing,
