@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import bpe, exact_dedup, mixing, quality, secret_scan, simhash, substring_dedup, url_filter
+from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, url_filter
 from modrisk.llm.shared import LOWER, UPPER, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_classes(table(spark, sf_dir, "documents"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages")).drop("pattern")
 
@@ -139,6 +143,7 @@ SELECT doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in secr
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
 
 QUERIES: dict[str, Query] = {
+    "op1_line_dedup": op1_line_dedup,
     "op2_url_filter": op2_url_filter,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash": op4_simhash,
