@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, url_filter
+from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_shards, url_filter
 from modrisk.llm.shared import LOWER, UPPER, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
 
 
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    tokens = token_shards.token_table(docs, tokenizer("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return token_shards.write_shards(tokens, work_folder(spark, "shards"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.copies(table(spark, sf_dir, "documents"))
 
@@ -148,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op6_token_shards": op6_token_shards,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
