@@ -28,7 +28,7 @@ WINDOW = 16  # bytes the rolling hash sees
 MASK = 63  # one word end in so many is a cut, about
 LONGEST = 2048  # words of a chunk without a cut, as in a text that repeats itself
 CHUNKS = 10_000  # chunks in a cache generation
-WORDS = 250_000  # words in a cache generation
+WORDS = 400_000  # words in a cache generation
 ROWS_OUT = 256  # rows in a batch that goes back to Spark
 
 _BLANK = np.zeros(256, bool)
