@@ -85,9 +85,3 @@ def snippet(lines: Column, max_lines: int = 80) -> Column:
     return F.when(
         more > 0, F.concat(head, F.lit("\n... ("), more.cast("string"), F.lit(" more lines)"))
     ).otherwise(head)
-
-
-def excerpt(lines: Column, line_no: Column, around: int = 3) -> Column:
-    """The lines around a 1-based line number, joined."""
-    first = F.greatest(line_no - around, F.lit(1))
-    return F.array_join(F.slice(lines, first, line_no + around - first + 1), "\n")

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from modrisk.functions.text import S, W, count_char, excerpt, has, lines_of, strip, universal_lines
+from modrisk.functions.text import S, W, count_char, has, lines_of, strip, universal_lines
 
 # Level edges and rule weights, in hundredths.
 HIGH_EDGE = 55
@@ -185,17 +185,28 @@ def _rule_groups() -> list[list[tuple[Column, str]]]:
     ]
 
 
-def _scored(files: DataFrame, keep: tuple[str, ...], seals, with_blank: bool) -> DataFrame:
+def _scored(files: DataFrame, keep: tuple[str, ...], seals, with_blank: bool, around: int | None = None) -> DataFrame:
+    """With ``around``, a line brings along so many of its neighbours, as the array ``_near``: never the whole file."""
     source = F.coalesce(F.col("content"), F.lit(""))
     prepared = files.select(*keep, F.col("ext").alias("_ext"), source.alias("_content")).select(
         "*", lines_of(F.col("_content")).alias("_lines")
     )
     lines, content, ext = F.col("_lines"), F.col("_content"), F.col("_ext")
+    exploded, brought = lines, []
+    if around is not None:
+        prepared = prepared.select("*", universal_lines(content).alias("_all_lines"))
+        every = F.col("_all_lines")
+
+        def neighbours(line: Column, i: Column) -> Column:
+            near = [F.get(every, i + d) for d in range(-around, around + 1)]
+            return F.struct(line.alias("line"), F.array(*near).alias("near"))
+
+        exploded, brought = F.transform(lines, neighbours), ["_near"]
     none = F.array().cast("array<int>")
     marked = prepared.select(
         *keep,
         ext,
-        lines,
+        exploded.alias("_exploded"),
         sealed_lines(lines, content, seals).alias("_sealed"),
         F.when(ext == ".py", silent_excepts(lines, content)).otherwise(none).alias("_silent"),
         F.when(ext == ".py", endless_loops(lines, content)).otherwise(none).alias("_endless"),
@@ -203,11 +214,15 @@ def _scored(files: DataFrame, keep: tuple[str, ...], seals, with_blank: bool) ->
     # The outer form: there is always a line, and the plain form would split
     # every text a second time just to check that.
     numbered = marked.select(
-        *keep, "_ext", "_sealed", "_silent", "_endless", F.posexplode_outer("_lines").alias("_pos", "_line")
-    ).select(
+        *keep, "_ext", "_sealed", "_silent", "_endless", F.posexplode_outer("_exploded").alias("_pos", "_line")
+    )
+    line = F.col("_line") if around is None else F.col("_line.line")
+    near = [] if around is None else [F.col("_line.near").alias("_near")]
+    numbered = numbered.select(
         *keep, "_ext", "_sealed", "_silent", "_endless",
-        (F.col("_pos") + 1).alias("line_no"), F.coalesce("_line", F.lit("")).alias("line"),
+        (F.col("_pos") + 1).alias("line_no"), F.coalesce(line, F.lit("")).alias("line"), *near,
     )
+    keep = (*keep, *brought)
     line_no, sealed = F.col("line_no"), F.col("_sealed")
     # Every value below that several rules use is computed once, in its own step.
     state = numbered.select(
@@ -276,16 +291,17 @@ def line_risks(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame:
     return _scored(files, keep, seals, with_blank=False)
 
 
-def risky_lines(files: DataFrame, *keep: str, seals=DEFAULT_SEALS) -> DataFrame:
+def risky_lines(files: DataFrame, *keep: str, seals=DEFAULT_SEALS, around: int | None = None) -> DataFrame:
     """The high and medium lines.
 
     The result of the rules passes through a generator before it is filtered;
     otherwise the filter would be pushed below the rules, with a second copy of
     all of them inside.
     """
-    found = line_risks(files, *keep, seals=seals)
+    found = _scored(files, keep, seals, with_blank=False, around=around)
+    near = [] if around is None else ["_near"]
     fenced = found.select(
-        *keep, "line_no", "line", F.inline_outer(F.array(F.struct("level", "score_x100", "reasons")))
+        *keep, *near, "line_no", "line", F.inline_outer(F.array(F.struct("level", "score_x100", "reasons")))
     )
     return fenced.filter(F.col("level").isin("high", "med"))
 
@@ -304,16 +320,14 @@ def hotspots(files: DataFrame, *keep: str, around: int = 3, seals=DEFAULT_SEALS)
     Line numbers come from ``\\n`` splitting, code from splitting at every line
     boundary, so a number past the last such line has no code.
     """
-    with_lines = files.select(
-        *files.columns, universal_lines(F.col("content")).alias("_all_lines")
-    )
-    risky = risky_lines(with_lines, *keep, "_all_lines", seals=seals)
-    code = F.coalesce(F.get(F.col("_all_lines"), F.col("line_no") - 1), F.lit(""))
+    risky = risky_lines(files, *keep, seals=seals, around=around)
+    code = F.coalesce(F.get("_near", F.lit(around)), F.lit(""))
     return risky.select(
         *keep,
         "line_no",
         F.substring(strip(code), 1, 120).alias("code"),
         F.when(F.col("level") == "high", "HIGH").otherwise("MEDIUM").alias("severity"),
         F.array_join("reasons", " | ").alias("reason"),
-        excerpt(F.col("_all_lines"), F.col("line_no"), around).alias("context"),
+        # Neighbours beyond the file's ends are null, and left out.
+        F.array_join("_near", "\n").alias("context"),
     )
