@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1024
 SKETCH_ACCURACY = 10_000
+MAX_ROUNDS = 12
 
 
 def _largest_group(rows: DataFrame, by: list[str]) -> int:
@@ -127,89 +128,90 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of several columns, NULLs skipped.
 
-    Up to ``small`` values a column, one ``percentile`` aggregate does it.
-    Beyond that, each wanted rank is bracketed by a quantile sketch, the values
-    below the bracket are counted, and the bracket is narrowed again until it
-    holds few values: a handful of passes with constant-size results.
+    All ranks of all columns are found together, in a few jobs whatever their number; see ``_values_at``.
     """
     if not columns:
         return {}
     quoted = [f"`{c}`" for c in columns]
     counts = rows.agg(*[F.count(F.col(q)).alias(f"n{i}") for i, q in enumerate(quoted)]).first()
-    answer: dict[str, list[float | None]] = {}
-    direct = [i for i in range(len(columns)) if counts[f"n{i}"] <= small]
-    if direct:
-        wanted = F.array(*[F.lit(p) for p in probabilities])
-        got = rows.agg(
-            *[F.percentile(F.col(quoted[i]).cast("double"), wanted).alias(f"q{i}") for i in direct]
-        ).first()
-        for i in direct:
-            answer[columns[i]] = list(got[f"q{i}"]) if got[f"q{i}"] else [None] * len(probabilities)
-    large = [i for i in range(len(columns)) if i not in direct]
-    if large:
-        ranks: dict[int, set[int]] = {}
-        for i in large:
-            for p in probabilities:
-                at = (counts[f"n{i}"] - 1) * p
-                ranks.setdefault(i, set()).update({math.floor(at), math.ceil(at)})
-        found = _values_at(rows, {quoted[i]: sorted(r) for i, r in ranks.items()}, small)
-        for i in large:
-            values = found[quoted[i]]
-            out = []
-            for p in probabilities:
-                at = (counts[f"n{i}"] - 1) * p
-                lo, hi = math.floor(at), math.ceil(at)
-                out.append(values[lo] if lo == hi else (hi - at) * values[lo] + (at - lo) * values[hi])
-            answer[columns[i]] = out
+    places = {i: [(counts[f"n{i}"] - 1) * p for p in probabilities] for i in range(len(columns)) if counts[f"n{i}"]}
+    wanted = {quoted[i]: sorted({r for at in ats for r in (math.floor(at), math.ceil(at))}) for i, ats in places.items()}
+    found = _values_at(rows, wanted, small)
+    answer: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
+    for i, ats in places.items():
+        values = found[quoted[i]]
+        for k, at in enumerate(ats):
+            lo, hi = math.floor(at), math.ceil(at)
+            answer[columns[i]][k] = values[lo] if lo == hi else (hi - at) * values[lo] + (at - lo) * values[hi]
     return answer
 
 
 def _values_at(rows: DataFrame, wanted: dict[str, list[int]], small: int) -> dict[str, dict[int, float]]:
-    """Values at 0-based ranks of large columns, by narrowing brackets."""
-    brackets = {(c, r): (None, None) for c, ranks in wanted.items() for r in ranks}
+    """Values at 0-based ranks among the values of columns that are not null.
+
+    Each rank has an open interval that its value lies in. A round takes quantile sketches inside all intervals, and counts
+    exactly how many values lie below and at the new edges: two jobs for all ranks. A rank then either is at an edge, or
+    lies strictly between two, or, where a sketch missed, beyond one; every case leaves a smaller interval. When none
+    holds more than ``small`` values, one job counts the values inside by value and picks the wanted ones.
+    """
     found: dict[str, dict[int, float]] = {c: {} for c in wanted}
-    while brackets:
-        keys = list(brackets)
-        inside = []
-        for (column, _), (lo, hi) in zip(keys, brackets.values()):
-            x = F.col(column).cast("double")
-            inside.append((x, x.isNotNull() if lo is None else (x >= lo) & (x <= hi)))
-        sizes = rows.agg(
-            *[F.count_if(F.lit(False) if brackets[k][0] is None else x < brackets[k][0]).alias(f"b{i}")
-              for i, (k, (x, _)) in enumerate(zip(keys, inside))],
-            *[F.count_if(test).alias(f"n{i}") for i, (_, test) in enumerate(inside)],
-        ).first()
-        sketches, exact = [], []
-        for i, (key, (x, test)) in enumerate(zip(keys, inside)):
-            lo, hi = brackets[key]
-            if lo is not None and lo == hi:
-                found[key[0]][key[1]] = lo
-            elif sizes[f"n{i}"] <= small:
-                exact.append((i, key, F.array_sort(F.collect_list(F.when(test, x)))))
+    columns = [c for c in wanted if wanted[c]]
+    if not columns:
+        return found
+    value = {c: F.col(c).cast("double") for c in columns}
+    counts = rows.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
+    # Of each rank: the interval's edges, the number of values up to its lower edge, the number inside.
+    open_ = {(c, r): (None, None, 0, counts[f"n{i}"]) for i, c in enumerate(columns) for r in wanted[c]}
+
+    def inside(key) -> Column:
+        lo, hi, *_ = open_[key]
+        x = value[key[0]]
+        test = x.isNotNull()
+        test = test if lo is None else test & (x > F.lit(lo))
+        return test if hi is None else test & (x < F.lit(hi))
+
+    for turn in range(MAX_ROUNDS + 1):
+        todo = [k for k, (*_, n) in open_.items() if n > small or turn == 0]
+        if not todo:
+            break
+        if turn == MAX_ROUNDS:
+            raise RuntimeError(f"{len(todo)} ranks not found in {MAX_ROUNDS} rounds")
+        sketches = []
+        for i, key in enumerate(todo):
+            *_, below, n = open_[key]
+            share, slack = (key[1] - below + 0.5) / n, 2.0 / SKETCH_ACCURACY + 2.0 / n
+            edges = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
+            x = F.when(inside(key), value[key[0]])
+            sketches.append(F.percentile_approx(x, edges, F.lit(SKETCH_ACCURACY)).alias(f"s{i}"))
+        edges_of = rows.agg(*sketches).first()
+        tests = []
+        for i, key in enumerate(todo):
+            x, (lo, hi) = value[key[0]], edges_of[f"s{i}"]
+            for name, test in (("a", x < F.lit(lo)), ("b", x <= F.lit(lo)), ("c", x < F.lit(hi)), ("d", x <= F.lit(hi))):
+                tests.append(F.count_if(test).alias(f"{name}{i}"))
+        got = rows.agg(*tests).first()
+        for i, key in enumerate(todo):
+            rank, (lo, hi) = key[1], edges_of[f"s{i}"]
+            old_lo, old_hi, below, n = open_.pop(key)
+            under_lo, to_lo, under_hi, to_hi = (got[f"{name}{i}"] for name in "abcd")
+            if under_lo <= rank < to_lo:
+                found[key[0]][rank] = lo
+            elif under_hi <= rank < to_hi:
+                found[key[0]][rank] = hi
+            elif to_lo <= rank < under_hi:
+                open_[key] = (lo, hi, to_lo, under_hi - to_lo)
+            elif rank < under_lo:
+                open_[key] = (old_lo, lo, below, under_lo - below)
             else:
-                share = (key[1] - sizes[f"b{i}"]) / max(sizes[f"n{i}"] - 1, 1)
-                slack = 2.0 / SKETCH_ACCURACY
-                edges = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
-                sketches.append((i, key, F.percentile_approx(F.when(test, x), edges, F.lit(SKETCH_ACCURACY))))
-        # At most ``small`` values are sorted per rank; only one of them comes back.
-        for i, key, values in exact:
-            value = rows.agg(F.get(values, F.lit(key[1] - sizes[f"b{i}"])).alias("v")).first()["v"]
-            found[key[0]][key[1]] = value
-        narrowed = {}
-        if sketches:
-            got = rows.agg(*[s.alias(f"s{i}") for i, _, s in sketches]).first()
-            checks = rows.agg(
-                *[F.count_if(F.col(key[0]).cast("double") < got[f"s{i}"][0]).alias(f"lo{i}") for i, key, _ in sketches],
-                *[F.count_if(F.col(key[0]).cast("double") <= got[f"s{i}"][1]).alias(f"hi{i}") for i, key, _ in sketches],
-            ).first()
-            for i, key, _ in sketches:
-                lo, hi = got[f"s{i}"]
-                old_lo, old_hi = brackets[key]
-                # A sketch that missed is widened on the side it missed.
-                if checks[f"lo{i}"] > key[1]:
-                    lo = old_lo if old_lo is not None else -math.inf
-                if checks[f"hi{i}"] <= key[1]:
-                    hi = old_hi if old_hi is not None else math.inf
-                narrowed[key] = (lo, hi)
-        brackets = narrowed
+                open_[key] = (hi, old_hi, to_hi, below + n - to_hi)
+    if open_:
+        keys = list(open_)
+        hits = [F.when(inside(k), F.struct(F.lit(i).alias("i"), value[k[0]].alias("x"))) for i, k in enumerate(keys)]
+        counted = rows.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.i", "h.x").count()
+        upto = F.sum("count").over(Win.partitionBy("i").orderBy("x").rowsBetween(Win.unboundedPreceding, 0))
+        place = F.element_at(F.array(*[F.lit(k[1] - open_[k][2]).cast("long") for k in keys]), F.col("i") + 1)
+        at = counted.select("i", "x", "count", upto.alias("upto"), place.alias("place"))
+        for r in at.filter("place < upto and upto - count <= place").collect():
+            column, rank = keys[r["i"]]
+            found[column][rank] = r["x"]
     return found
