@@ -1,12 +1,13 @@
 """History tables as Parquet: sessions, metrics, predictions, conversations, messages.
 
 Rows are appended; the current state of a conversation is the newest event per
-id. Session children are partitioned by id, so reading one session prunes the
-rest, and deleting rewrites only the tables' remaining rows into a new version.
+id. Tables are split by a hash of the id, so reading one session prunes the
+rest; deleted ids are noted and left out when reading.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # Numeric metrics kept per file, and score columns kept per model.
@@ -134,30 +135,61 @@ def without(rows: DataFrame, ids: DataFrame, key: str) -> DataFrame:
 
 
 class HistoryStore:
-    """History tables in one folder, addressed by name."""
+    """History tables in one folder, addressed by name.
 
-    PARTITIONS = {
-        "sessions": None, "metrics": "session_id", "predictions": "session_id",
-        "conversations": None, "conversation_messages": "conversation_id",
+    Ids are plain text columns; tables are split by a hash of the id into a fixed number of folders, so reading one id
+    opens one of them. Appends carry their moment. Deleting appends the ids and the moment to a table of their own, and
+    reading leaves out rows of those ids from before: nothing is rewritten, a failed delete changes nothing, and an
+    id can be used again.
+    """
+
+    PARTS = 64
+    KEYS = {
+        "sessions": "session_id", "metrics": "session_id", "predictions": "session_id",
+        "conversations": "conversation_id", "conversation_messages": "conversation_id",
+    }
+    SCHEMAS = {
+        "sessions": "session_id string, source_type string, files_count int, files_list string, status string, timestamp string",
+        "metrics": "session_id string, file_name string, "
+        + ", ".join(f"{c} {'double' if c == 'COMMENT_RATIO' else 'long'}" for c in FILE_METRICS),
+        "predictions": "session_id string, model_name string, " + ", ".join(f"{c} double" for c in MODEL_SCORES),
+        "conversations": "conversation_id string, version int, name string, folder_name string, files_count int, status string, "
+        "total_loc long, avg_complexity double, avg_defect_prob double, high_risk_count int, medium_risk_count int, "
+        "low_risk_count int, timestamp string",
+        "conversation_messages": "conversation_id string, message_type string, content string, timestamp string, id long",
     }
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
 
-    def _versions(self, name: str) -> str:
-        return f"{self.folder}/{name}"
+    def _part(self, ident: Column) -> Column:
+        return F.pmod(F.xxhash64(ident), F.lit(self.PARTS)).cast("int")
 
     def _append(self, name: str, rows: DataFrame) -> None:
-        writer = rows.write.mode("append")
-        if self.PARTITIONS[name]:
-            writer = writer.partitionBy(self.PARTITIONS[name])
-        writer.parquet(self._versions(name))
-
-    def read(self, name: str) -> DataFrame:
-        key = self.PARTITIONS[name]
-        rows = self.spark.read.parquet(self._versions(name))
-        # Partition values come back with an inferred type.
-        return rows.withColumn(key, F.col(key).cast("string")) if key else rows
+        key = self.KEYS[name]
+        stored = rows.withColumn("_at", F.unix_micros(F.current_timestamp())).withColumn("_part", self._part(F.col(key)))
+        stored.write.mode("append").partitionBy("_part").parquet(f"{self.folder}/{name}")
+
+    def _stored(self, path: str, schema: str) -> DataFrame:
+        """A table, or no rows where it was never written."""
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
+
+    def read(self, name: str, ident: str | None = None) -> DataFrame:
+        """The rows of a table that are not deleted; of one id, or of all."""
+        key, schema = self.KEYS[name], self.SCHEMAS[name]
+        rows = self._stored(f"{self.folder}/{name}", f"{schema}, _at long, _part int")
+        gone = self._stored(f"{self.folder}/deleted_{name}", f"{key} string, _until long")
+        if ident is not None:
+            rows = rows.filter((F.col("_part") == self._part(F.lit(ident))) & (F.col(key) == ident))
+            gone = gone.filter(F.col(key) == ident)
+        last = gone.groupBy(key).agg(F.max("_until").alias("_until"))
+        kept = rows.join(last, key, "left").filter(F.col("_until").isNull() | (F.col("_at") > F.col("_until")))
+        return kept.select(*[c.split()[0] for c in schema.split(", ")])
 
     def save_session(self, session_id: str, source_type: str, files: list[str], metrics: DataFrame) -> str:
         row = self.spark.createDataFrame(
@@ -180,7 +212,7 @@ class HistoryStore:
 
     def update_conversation(self, conversation_id: str, **values) -> None:
         """Append the results of an analysis; the conversation becomes completed."""
-        known = self.read("conversations").filter(F.col("conversation_id") == conversation_id)
+        known = self.read("conversations", conversation_id)
         version = (known.agg(F.max("version")).first()[0] or 0) + 1
         self._conversation_event(conversation_id, version, status="completed", **values)
 
@@ -196,6 +228,10 @@ class HistoryStore:
         ).withColumn("timestamp", stamp(F.current_timestamp()))
         self._append("conversations", row)
 
+    def add_messages(self, messages: DataFrame) -> None:
+        """Append many messages (conversation_id, message_type, content, timestamp, id) as one batch of files."""
+        self._append("conversation_messages", messages)
+
     def add_message(self, conversation_id: str, message_type: str, content: str) -> None:
         row = self.spark.createDataFrame(
             [(conversation_id, message_type, content)], "conversation_id string, message_type string, content string"
@@ -208,7 +244,7 @@ class HistoryStore:
     def session(self, session_id: str) -> dict[str, DataFrame]:
         """The session and its children; the id filter prunes partitions."""
         return {
-            name: self.read(name).filter(F.col("session_id") == session_id)
+            name: self.read(name, session_id)
             for name in ("sessions", "metrics", "predictions")
         }
 
@@ -216,7 +252,7 @@ class HistoryStore:
         return newest_first(current_state(self.read("conversations")), tie="conversation_id")
 
     def messages(self, conversation_id: str) -> DataFrame:
-        return message_log(self.read("conversation_messages"), conversation_id)
+        return message_log(self.read("conversation_messages", conversation_id))
 
     def delete_sessions(self, ids: list[str]) -> None:
         self._delete(("predictions", "metrics", "sessions"), "session_id", ids)
@@ -225,24 +261,8 @@ class HistoryStore:
         self._delete(("conversation_messages", "conversations"), "conversation_id", ids)
 
     def _delete(self, names: tuple[str, ...], key: str, ids: list[str]) -> None:
-        """Rewrite the tables without the ids.
-
-        What stays is first checkpointed to the shared checkpoint folder, since
-        a table cannot be overwritten while it is being read.
-        """
-        from modrisk.session import checkpoint_dir
-
-        checkpoint_dir(self.spark)
+        """Note the ids as deleted, children first."""
         gone = self.spark.createDataFrame([(i,) for i in ids], f"{key} string")
         for name in names:
-            try:
-                rows = self.read(name)
-            except Exception as error:  # noqa: BLE001 - a table that was never written
-                if "PATH_NOT_FOUND" in str(error):
-                    continue
-                raise
-            kept = without(rows, gone, key).checkpoint()
-            writer = kept.write.mode("overwrite")
-            if self.PARTITIONS[name]:
-                writer = writer.partitionBy(self.PARTITIONS[name])
-            writer.parquet(self._versions(name))
+            noted = gone.withColumn("_until", F.unix_micros(F.current_timestamp()))
+            noted.write.mode("append").parquet(f"{self.folder}/deleted_{name}")

@@ -128,6 +128,21 @@ def test_history_store(spark, tmp_path):
     assert {r["conversation_id"] for r in store.all_conversations().collect()} == {"c2"}
 
 
+def test_history_ids_come_back_unchanged(spark, tmp_path):
+    store = history.HistoryStore(spark, str(tmp_path / "history"))
+    ids = ["00123456", "1e5", "a/b=c", "2024-01-01", "é "]
+    for i in ids:
+        store.add_message(i, "user", f"to {i}")
+    assert {r["conversation_id"] for r in store.read("conversation_messages").collect()} == set(ids)
+    assert [r["content"] for r in store.messages("00123456").collect()] == ["to 00123456"]
+    assert store.messages("123456").count() == 0
+    store.delete_conversations(["1e5"])
+    assert store.messages("1e5").count() == 0 and store.messages("a/b=c").count() == 1
+    store.add_message("1e5", "user", "again")
+    assert [r["content"] for r in store.messages("1e5").collect()] == ["again"]
+    assert store.all_sessions().count() == 0
+
+
 FILES = [("src/main.py", "if a: eval(1)\n" * 30), ("src/README.md.py", "x = 1"), ("z.go", "// TODO x")]
 
 
