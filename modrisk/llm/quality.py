@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 SAMPLE_ROWS = 500  # texts that cost and selectivity are measured on
 SAMPLE_CHARS = 20_000  # length of the longest of them
+ROWS_AT_ONCE = 256
 WINDOW = 8  # words in a window that counts as repeated
 _BLANKS = re.compile(r"[\x20\x09-\x0D]")
 _SYMBOLS = re.compile(r"[#*$%&|<>]")
@@ -168,7 +169,8 @@ def judge(
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        # A few rows at a time: their word lists take many times the room of the texts.
+        for batch in (whole.slice(at, ROWS_AT_ONCE) for whole in batches for at in range(0, whole.num_rows, ROWS_AT_ONCE)):
             docs = [looked_at(t) for t in batch.column("_text").to_pylist()]
             failed = [base_failed(d) for d in docs]
             by: list[str | None] = [None] * len(docs)
