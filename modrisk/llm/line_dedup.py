@@ -36,6 +36,7 @@ SHINGLE = 10
 BANDS = 6
 ROWS = 3
 THRESHOLD = 0.8
+PLACES = 4  # shingles of one generated row
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -54,10 +55,8 @@ def _shingle(codes: Column, at: Column, size: int) -> Column:
 
 
 def shingles(line: Column, size: int) -> Column:
-    """The set of shingle hashes of a line; a shorter line is one shingle."""
-    codes = _codes(line)
-    last = F.greatest(F.length(line) - F.lit(size), F.lit(0))
-    return F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda at: _shingle(codes, at, size)))
+    """All runs of ``size`` characters of a line that has at least one, repeats included."""
+    return F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
 def _points(n: int) -> list[int]:
@@ -66,20 +65,28 @@ def _points(n: int) -> list[int]:
 
 
 def _band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
-    """(k, bands): an array of bucket names for each line with shingles enough to be near another."""
-    at = lines.select("k", _codes(F.col("line")).alias("codes"), F.explode(F.sequence(F.lit(0), F.length("line") - size)).alias("at"))
-    h = at.select("k", _shingle(F.col("codes"), F.col("at"), size).alias("h"))
-    signature = h.groupBy("k").agg(
-        *[F.min(F.col("h").bitwiseXOR(F.lit(p))).alias(f"s{i}") for i, p in enumerate(_points(bands * rows))]
+    """(sk, bands): an array of bucket names for each line.
+
+    The codes pass through a generator, or else each shingle would encode its line anew. A generated row stands for several
+    places: fewer look-ups of the line's aggregate. Places beyond the last repeat the last, which changes no minimum.
+    """
+    codes = lines.select("k", (F.length("line") - size).alias("last"), F.explode(F.array(_codes(F.col("line")))).alias("codes"))
+    at = codes.select("k", "codes", "last", F.explode(F.sequence(F.lit(0), F.col("last"), F.lit(PLACES))).alias("at"))
+    hashes = at.select(
+        "k", *[_shingle(F.col("codes"), F.least(F.col("at") + j, F.col("last")), size).alias(f"h{j}") for j in range(PLACES)]
     )
+    lowest = [
+        F.min(F.least(*[F.col(f"h{j}").bitwiseXOR(F.lit(p)) for j in range(PLACES)])).alias(f"s{i}")
+        for i, p in enumerate(_points(bands * rows))
+    ]
+    signature = hashes.groupBy("k").agg(*lowest)
     keys = [F.xxhash64(F.lit(b), *[F.col(f"s{b * rows + i}") for i in range(rows)]) for b in range(bands)]
     return signature.select(F.col("k").alias("sk"), F.array(*keys).alias("bands"))
 
 
 def _similar(a: Column, b: Column, size: int, threshold: float) -> Column:
     x, y = shingles(a, size), shingles(b, size)
-    both = F.size(F.array_intersect(x, y))
-    return both >= F.lit(threshold) * (F.size(x) + F.size(y) - both)
+    return F.size(F.array_intersect(x, y)) >= F.lit(threshold) * F.size(F.array_union(x, y))
 
 
 class _Lines:
@@ -99,8 +106,6 @@ class _Lines:
         right = written(right, f"{folder}/right")
         left = pairs.join(text, F.col("u") == F.col("k")).select("u", "v", F.col("line").alias("a"))
         left = written(left, f"{folder}/left")
-        # A cheap bound first: sets of unlike size cannot be similar. Repeats in a line can only make its set smaller, so
-        # the bound is taken from the exact sets, not from lengths.
         return left.join(right, "v").filter(_similar(F.col("a"), F.col("b"), size, threshold)).select("u", "v")
 
 
@@ -111,16 +116,17 @@ def line_classes(
     """One row per line with a word: id, line_no, class_id, class_line (first place of its class), class_size, kept."""
     folder = work_folder(docs.sparkSession, "lines")
     lines = lines_of(docs, id_col, text_col)
-    distinct = lines.groupBy("k").agg(
-        F.min("line").alias("line"), F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "line_no")).alias("first")
+    facts = written(
+        lines.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "line_no")).alias("first")), f"{folder}/facts"
     )
+    # Lines and signatures come from one exchange: both need the same aggregate, and are grouped by k already.
+    distinct = lines.groupBy("k").agg(F.min("line").alias("line"))
     # With s shingles, one that differs makes the similarity (s - 1) / s at most.
     least = int(1 / (1 - threshold) - 1e-9) + shingle
-    keys = _band_keys(distinct.filter(F.length("line") >= least).select("k", "line"), shingle, bands, rows)
+    keys = _band_keys(distinct.filter(F.length("line") >= least), shingle, bands, rows)
     table = _Lines(distinct.join(keys, F.col("k") == F.col("sk"), "left").drop("sk"), folder)
-    links = _links(table, folder, shingle, threshold)
-    group = components(links)
-    known = table.table.select("k", "n", "first")
+    group = components(_links(table, facts, folder, shingle, threshold))
+    known = facts
     member = written(known.join(group, F.col("k") == F.col("node")).select("k", "n", "first", "component"), f"{folder}/member")
     whole = member.groupBy("component").agg(F.sum("n").alias("total"), F.min("first").alias("start"))
     joined = member.join(whole, "component").select(F.col("k").alias("mk"), "total", "start")
@@ -138,11 +144,12 @@ def line_classes(
     )
 
 
-def _links(lines: _Lines, folder: str, size: int, threshold: float) -> DataFrame:
+def _links(lines: _Lines, facts: DataFrame, folder: str, size: int, threshold: float) -> DataFrame:
     """Verified links (u, v) that connect all similar lines sharing a bucket."""
-    rows = lines.table.filter(F.col("bands").isNotNull()).select("k", "n", F.explode("bands").alias("band"))
+    rows = lines.table.filter(F.col("bands").isNotNull()).select("k", F.explode("bands").alias("band"))
     shared = written(rows.groupBy("band").count().filter("count > 1").select("band"), f"{folder}/shared")
-    members = written(rows.join(shared, "band"), f"{folder}/members")
+    met = written(rows.join(shared, "band"), f"{folder}/met")
+    members = written(met.join(facts.select("k", "n"), "k"), f"{folder}/members")
     leader = written(members.groupBy("band").agg(F.max_by("k", F.struct("n", "k")).alias("leader")), f"{folder}/leaders")
     led = members.join(leader, "band")
     pairs = written(led.filter("k <> leader").select(F.col("k").alias("u"), F.col("leader").alias("v")).distinct(), f"{folder}/pairs")
