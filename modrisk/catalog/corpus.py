@@ -446,6 +446,22 @@ def file_risk(spark, sf):
     )
 
 
+@query(
+    "archive_risk",
+    with_file_risk(
+        f"""SELECT archive, path, loc, cc, high_lines, med_lines, round(risk_score, 6) AS risk_score, {_LEVEL} AS risk_level
+            FROM fr, (VALUES ('a.zip'), ('b.zip')) v(archive)"""
+    ),
+)
+def archive_risk(spark, sf):
+    """Every file twice, under equal paths of two archives: the archives stay apart."""
+    files = sources(spark, sf)
+    both = files.withColumn("archive", F.lit("a.zip")).unionByName(files.withColumn("archive", F.lit("b.zip")))
+    return risk.file_risk(both).select(
+        "archive", "path", "loc", "cc", "high_lines", "med_lines", F.round("risk_score", 6).alias("risk_score"), "risk_level"
+    )
+
+
 def risks_of(spark, sf):
     return risk.file_risk(sources(spark, sf))
 

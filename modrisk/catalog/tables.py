@@ -108,10 +108,11 @@ def iqr_clip(spark, sf):
 
 @query(
     "zero_variance",
-    f"""WITH m AS (SELECT * FROM ({_METRICS}) WHERE d = 0.05) SELECT 'd' AS "column" FROM m HAVING count(DISTINCT d) <= 1""",
+    f"WITH m AS (SELECT * REPLACE (0.05 AS d) FROM ({_METRICS})) "
+    + " UNION ALL ".join(f"""SELECT '{c}' AS "column" FROM m HAVING count(DISTINCT "{c}") <= 1""" for c in MEASURES),
 )
 def zero_variance(spark, sf):
-    rows = metrics(spark, sf).filter(F.col("d") == 0.05)
+    rows = metrics(spark, sf).withColumn("d", F.lit(0.05))
     found = cleaning.constant_columns(rows, MEASURES)
     return spark.createDataFrame([(c,) for c in found], "`column` string")
 

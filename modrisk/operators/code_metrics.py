@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modrisk.functions.text import INLINE_SPACE, S, SPACE, W, count_char, line_start, occurrences, whole_word
+from modrisk.operators.languages import file_key, join_files
 
 # Which rules each extension uses. A directory scan reads
 # headers with the C rules and leaves .jsx to the fallback; a list of files
@@ -184,12 +185,12 @@ def analysis_metrics(files: DataFrame) -> DataFrame:
 def attach_metrics(files: DataFrame, metrics: DataFrame) -> DataFrame:
     """Left join of metrics that arrive as their own table, with the defaults."""
     wanted = metrics.select(
-        "path", "LOC", "CYCLOMATIC_COMPLEXITY", "FUNCTION_COUNT", "CLASS_COUNT",
+        *file_key(files, metrics), "LOC", "CYCLOMATIC_COMPLEXITY", "FUNCTION_COUNT", "CLASS_COUNT",
         "DECISION_COUNT", "COMMENT_RATIO",
     )
     non_blank = occurrences(F.col("content"), PATTERNS["non_blank_line"])
     narrow = files.select("*", non_blank.alias("_non_blank")).drop("content")
-    return narrow.join(wanted, "path", "left").select(
+    return join_files(narrow, wanted, "left").select(
         *[c for c in files.columns if c != "content"],
         F.coalesce(F.col("LOC"), F.col("_non_blank")).alias("loc"),
         F.coalesce(F.col("CYCLOMATIC_COMPLEXITY"), F.lit(2)).alias("cc"),

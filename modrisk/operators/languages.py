@@ -105,3 +105,19 @@ def only_sources(files: DataFrame) -> DataFrame:
         & ~name.startswith(".")
         & (known_extension(name) != "")
     )
+
+
+def file_key(*frames) -> list[str]:
+    """The columns that tell files apart: the path, and the archive where all tables have one."""
+    return ["archive", "path"] if all("archive" in f.columns for f in frames) else ["path"]
+
+
+def join_files(left, right, how: str = "inner"):
+    """Join on the file key; a missing archive equals a missing archive. Right columns of the left's names are dropped."""
+    key = file_key(left, right)
+    kept = [c for c in right.columns if c not in left.columns]
+    other = right.select(*[F.col(k).alias(f"_key_{k}") for k in key], *[F.col(f"`{c}`") for c in kept])
+    same = F.lit(True)
+    for k in key:
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
+    return left.join(other, same, how).drop(*[f"_key_{k}" for k in key])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 from modrisk.functions.bands import band
 from modrisk.functions.text import has, snippet, strip, universal_lines
+from modrisk.operators.languages import file_key, join_files
 
 # Metric, warning edge, critical edge, lower-is-worse, name, unit.
 THRESHOLDS = [
@@ -135,16 +136,17 @@ def file_context(files: DataFrame, risks: DataFrame) -> DataFrame:
     none = F.array().cast(
         "array<struct<line_no:int,code:string,pattern:string,severity:string,reason:string>>"
     )
+    key = file_key(files, risks)
     excerpts = files.select(
-        "path", "lang", "content", universal_lines(F.col("content")).alias("_lines")
+        *key, "lang", "content", universal_lines(F.col("content")).alias("_lines")
     ).select(
-        "path",
+        *key,
         F.coalesce(F.col("lang"), F.lit("Unknown")).alias("language"),
         F.coalesce(_dangerous_of(F.col("content"), F.col("_lines")), none).alias("hotspots"),
         snippet(F.col("_lines")).alias("snippet"),
     )
-    return excerpts.join(risks.drop("lang"), "path").select(
-        "path",
+    return join_files(excerpts, risks.drop("lang")).select(
+        *key,
         "language",
         "risk_score",
         band(F.col("risk_score"), "review").alias("risk_level"),

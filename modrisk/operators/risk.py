@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from modrisk.functions.bands import band, band_names
 from modrisk.functions.scores import blended, capped, rule_score
 from modrisk.operators.code_metrics import analysis_metrics
+from modrisk.operators.languages import file_key, join_files
 from modrisk.operators.line_rules import DEFAULT_SEALS, line_risks, scored_lines
 
 METRICS = ["loc", "cc", "funcs", "classes", "decisions", "comment_ratio"]
@@ -21,12 +22,13 @@ def file_risk(
     """Metrics, line counts, score and band of each file.
 
     Metrics are computed on the file row and travel with its lines, so the one
-    shuffle is the roll-up by path, which the map side has already reduced to a
+    shuffle is the roll-up by file, which the map side has already reduced to a
     row per file. ``model_scores(path, model_score)`` is blended in when given.
+    With an ``archive`` column, equal paths of different archives stay apart.
     """
     # Name, extension and language follow from the path. As grouping keys they
     # keep the hash aggregate, whose buffers cannot hold strings.
-    names = ["path", "fname", "ext", "lang"]
+    names = [*file_key(files), "fname", "ext", "lang"]
     rows = scored_lines(analysis_metrics(files), *names, *METRICS, seals=seals)
     rolled = rows.groupBy(*names).agg(
         *[F.any_value(c).alias(c) for c in METRICS],
@@ -35,7 +37,7 @@ def file_risk(
     )
     base = rule_score(jitter)
     if model_scores is not None:
-        rolled = rolled.join(model_scores.select("path", "model_score"), "path", "left")
+        rolled = join_files(rolled, model_scores.select(*file_key(rolled, model_scores), "model_score"), "left")
         base = blended(F.col("model_score"), base)
     score = capped(base, F.col("high_lines"), F.col("med_lines"))
     return rolled.select(

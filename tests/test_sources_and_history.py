@@ -185,6 +185,21 @@ def test_review(spark):
     assert [r["metric"] for r in ordered.collect()] == ["cc", "comment_ratio"]
 
 
+def test_archives_stay_apart(spark):
+    rows = spark.createDataFrame(
+        [("a.zip", "src/m.py", "if a: eval(1)\n" * 30), ("b.zip", "src/m.py", "x = 1"), (None, "src/m.py", "y = 2\nz = 3")],
+        "archive string, path string, content string",
+    )
+    files = source_rows(rows)
+    risks = risk.file_risk(files)
+    assert {r["archive"]: r["loc"] for r in risks.collect()} == {"a.zip": 30, "b.zip": 1, None: 2}
+    context = {r["archive"]: len(r["hotspots"]) for r in review.file_context(files, risks).collect()}
+    assert context == {"a.zip": 30, "b.zip": 0, None: 0}
+    scores = spark.createDataFrame([("a.zip", "src/m.py", 0.9)], "archive string, path string, model_score double")
+    blended = {r["archive"]: r["risk_score"] for r in risk.file_risk(files, model_scores=scores).collect()}
+    assert blended == {"a.zip": pytest.approx(0.7 * 0.9 + 0.3 * 0.5), "b.zip": pytest.approx(0.1), None: pytest.approx(0.1)}
+
+
 def test_packing(spark):
     rows = review.packed_context(corpus(spark), budget=200).orderBy("position").collect()
     assert [r["path"] for r in rows] == ["src/README.md.py"]
