@@ -30,7 +30,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modrisk.llm.components import components
-from modrisk.llm.shared import WORD, whole_text, work_folder, written
+from modrisk.llm.shared import WORD, freed_shuffles, whole_text, work_folder, written
 
 SHINGLE = 10
 BANDS = 6
@@ -96,7 +96,8 @@ class _Lines:
         spark = lines.sparkSession
         self.name = f"lines_{uuid.uuid4().hex}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (lines.write.bucketBy(buckets, "k").option("path", f"{folder}/lines").option("compression", "zstd").saveAsTable(self.name))
+        with freed_shuffles(spark):
+            lines.write.bucketBy(buckets, "k").option("path", f"{folder}/lines").option("compression", "zstd").saveAsTable(self.name)
         self.table = spark.table(self.name)
 
     def verified(self, pairs: DataFrame, folder: str, size: int, threshold: float) -> DataFrame:

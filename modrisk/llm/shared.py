@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -20,12 +22,29 @@ def work_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_FREE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Jobs in here give their shuffle files back when they end; for results that are read from where they were written."""
+    before = spark.conf.get(_FREE, None)
+    if before is not None:  # since Spark 4.1
+        spark.conf.set(_FREE, "true")
+    try:
+        yield
+    finally:
+        if before is not None:
+            spark.conf.set(_FREE, before)
+
+
 def written(frame: DataFrame, path: str, partition_by: list[str] | None = None, codec: str = "snappy") -> DataFrame:
     """Write a table and read it back: cuts the lineage, survives lost executors.
 
     The schema is given on reading, so an empty table comes back empty.
     """
-    frame.write.option("compression", codec).parquet(path, partitionBy=partition_by)
+    with freed_shuffles(frame.sparkSession):
+        frame.write.option("compression", codec).parquet(path, partitionBy=partition_by)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

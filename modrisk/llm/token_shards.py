@@ -28,15 +28,16 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from modrisk.llm.bpe import Cache
-from modrisk.llm.shared import work_folder, written
+from modrisk.llm.shared import freed_shuffles, work_folder, written
 
 LENGTH = 1024
 PER_SHARD = 8192
 KEY = 20240607
-ROUNDS = 6
+ROUNDS = 6  # of the Feistel network
+PASSES = 3  # ranges of shards, written one after the other
 UNITS = 250_000  # units in a cache generation
 _UNSAFE = re.compile(r"\s | \s")
 
@@ -173,21 +174,26 @@ def permuted(index: np.ndarray, total: int, key: int = KEY, rounds: int = ROUNDS
     return out.astype(np.int64)
 
 
-def placed(tokens: DataFrame, key: int = KEY, per_shard: int = PER_SHARD, length: int = LENGTH) -> DataFrame:
-    """The token table with slot, shard and byte offset of each sequence."""
-    counts = tokens.groupBy("stream").count()
-    before = Window.orderBy("stream").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(F.col("stream").alias("s"), F.coalesce(F.sum("count").over(before), F.lit(0)).alias("start"))
-    total = tokens.count()
-    numbered = tokens.join(starts, F.col("stream") == F.col("s")).withColumn("index", F.col("start") + F.col("seq"))
+def placed(
+    tokens: DataFrame, key: int = KEY, per_shard: int = PER_SHARD, length: int = LENGTH, shards: tuple[int, int] | None = None
+) -> DataFrame:
+    """The token table with slot, shard and byte offset of each sequence; of all shards, or of those from .. below."""
+    # One count for each task that wrote the token table; what the rows need of them goes along with the function.
+    counts = {r["stream"]: r["count"] for r in tokens.groupBy("stream").count().collect()}
+    sizes = np.array([counts.get(s, 0) for s in range(max(counts, default=-1) + 1)], np.int64)
+    starts, total = np.cumsum(sizes) - sizes, int(sizes.sum())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = permuted(batch.column(0).to_numpy(zero_copy_only=False), total, key)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns[1:]], names=["slot", *batch.schema.names[1:]])
+            stream, seq = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            slot = permuted(starts[stream] + seq, total, key)
+            shard = slot // per_shard
+            mine = pa.array((shard >= shards[0]) & (shard < shards[1])) if shards else None
+            out = pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns[2:]], names=["slot", *batch.schema.names[2:]])
+            yield out if mine is None else out.filter(mine)
 
     kind = dict(tokens.dtypes)["doc_ids"]
-    slots = numbered.select("index", "n_tokens", "doc_ids", "record").mapInArrow(
+    slots = tokens.select("stream", "seq", "n_tokens", "doc_ids", "record").mapInArrow(
         run, f"slot long, n_tokens int, doc_ids {kind}, record binary"
     )
     return slots.select(
@@ -196,14 +202,24 @@ def placed(tokens: DataFrame, key: int = KEY, per_shard: int = PER_SHARD, length
     )
 
 
-def write_shards(tokens: DataFrame, folder: str, key: int = KEY, per_shard: int = PER_SHARD, length: int = LENGTH) -> DataFrame:
-    """Write ``folder``/shard=N/part-*.txt and give the index: slot, shard, byte_offset, n_tokens, doc_ids, record_sha256."""
-    sequences = placed(tokens, key, per_shard, length)
-    shards = max(1, -(-tokens.count() // per_shard))
-    records = sequences.select("shard", "slot", F.col("record").cast("string").alias("value"))
-    dealt = records.repartition(shards, "shard").sortWithinPartitions("shard", "slot").drop("slot")
-    dealt.write.partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(folder)
-    return sequences.withColumn("record_sha256", F.sha2("record", 256)).drop("record")
+def write_shards(
+    tokens: DataFrame, folder: str, key: int = KEY, per_shard: int = PER_SHARD, length: int = LENGTH, rounds: int = PASSES
+) -> DataFrame:
+    """Write ``folder``/shard=N/part-*.txt and give the index: slot, shard, byte_offset, n_tokens, doc_ids, record_sha256.
+
+    Shards are written in ``rounds`` ranges one after the other, so that only one range's sequences lie in shuffle files at a time.
+    """
+    shards = -(-tokens.count() // per_shard)
+    for r in range(rounds):
+        low, high = shards * r // rounds, shards * (r + 1) // rounds
+        if low == high:
+            continue
+        sequences = placed(tokens, key, per_shard, length, (low, high))
+        records = sequences.select("shard", "slot", F.col("record").cast("string").alias("value"))
+        dealt = records.repartition(high - low, "shard").sortWithinPartitions("shard", "slot").drop("slot")
+        with freed_shuffles(tokens.sparkSession):
+            dealt.write.mode("append").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(folder)
+    return placed(tokens, key, per_shard, length).withColumn("record_sha256", F.sha2("record", 256)).drop("record")
 
 
 def read_from(spark: SparkSession, folder: str, slot: int, per_shard: int = PER_SHARD, length: int = LENGTH) -> Iterator[np.ndarray]:
