@@ -63,7 +63,8 @@ def test_odd_rows(spark, odd, nothing):
     tokens = t.token_table(odd.withColumn("slot", F.lit(3)), PATH, PATTERN, length=32)
     index = t.write_shards(tokens, work_folder(spark, "shards"), length=32).collect()
     assert {d for r in index for d in r["doc_ids"]} == {r["doc_id"] for r in odd.collect()}
-    ends = sum((t.ids_of(r["record"], 32)[: r["n_tokens"]] == t.Encoder(PATH, PATTERN).end).sum() for r in tokens.collect())
+    end = t.Encoder(PATH, PATTERN).end
+    ends = sum((t.ids_of(r["record"], 32)[: r["n_tokens"]] == end).sum() for r in tokens.collect())
     assert ends == odd.count()
     none = t.write_shards(t.token_table(nothing, PATH, PATTERN), work_folder(spark, "shards"))
     assert none.count() == 0
