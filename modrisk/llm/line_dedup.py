@@ -84,11 +84,6 @@ def _band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return signature.select(F.col("k").alias("sk"), F.array(*keys).alias("bands"))
 
 
-def _similar(a: Column, b: Column, size: int, threshold: float) -> Column:
-    x, y = shingles(a, size), shingles(b, size)
-    return F.size(F.array_intersect(x, y)) >= F.lit(threshold) * F.size(F.array_union(x, y))
-
-
 class _Lines:
     """The distinct lines, bucketed by name."""
 
@@ -107,7 +102,10 @@ class _Lines:
         right = written(right, f"{folder}/right")
         left = pairs.join(text, F.col("u") == F.col("k")).select("u", "v", F.col("line").alias("a"))
         left = written(left, f"{folder}/left")
-        return left.join(right, "v").filter(_similar(F.col("a"), F.col("b"), size, threshold)).select("u", "v")
+        # Through a generator: each line's shingles are made once a pair, and used twice.
+        both = F.inline(F.array(F.struct(shingles(F.col("a"), size).alias("x"), shingles(F.col("b"), size).alias("y"))))
+        similar = F.size(F.array_intersect("x", "y")) >= F.lit(threshold) * F.size(F.array_union("x", "y"))
+        return left.join(right, "v").select("u", "v", both).filter(similar).select("u", "v")
 
 
 def line_classes(
