@@ -294,11 +294,13 @@ def near_duplicates(
     prints = written(fingerprints(docs, id_col, text_col, shingle), f"{folder}/prints")
     distinct = written(prints.groupBy("fp").agg(F.min("id").alias("least")), f"{folder}/distinct")
     group = components(fingerprint_links(distinct, bits, node, cap))
+    # Tables between joins: a join of plain exchanges is one that Spark splits where a component or a fingerprint is hot.
     labelled = distinct.join(group, distinct["fp"] == group["node"], "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
-    least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_print = labelled.join(least, "component").select("fp", "component_id")
+    labelled = written(labelled, f"{folder}/labelled")
+    least = written(labelled.groupBy("component").agg(F.min("least").alias("component_id")), f"{folder}/least")
+    by_print = written(labelled.join(least, "component").select("fp", "component_id"), f"{folder}/by_print")
     return prints.join(by_print, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
