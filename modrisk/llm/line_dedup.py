@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import random
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -85,10 +86,11 @@ def _band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 
 class _Lines:
-    """The distinct lines, bucketed by name."""
+    """The distinct lines, bucketed by name; ``cut`` gives a line's shingles."""
 
-    def __init__(self, lines: DataFrame, folder: str):
+    def __init__(self, lines: DataFrame, folder: str, cut: Callable[[Column, int], Column] = shingles):
         spark = lines.sparkSession
+        self.cut = cut
         self.name = f"lines_{uuid.uuid4().hex}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         with freed_shuffles(spark):
@@ -103,7 +105,7 @@ class _Lines:
         left = pairs.join(text, F.col("u") == F.col("k")).select("u", "v", F.col("line").alias("a"))
         left = written(left, f"{folder}/left")
         # Through a generator: each line's shingles are made once a pair, and used twice.
-        both = F.inline(F.array(F.struct(shingles(F.col("a"), size).alias("x"), shingles(F.col("b"), size).alias("y"))))
+        both = F.inline(F.array(F.struct(self.cut(F.col("a"), size).alias("x"), self.cut(F.col("b"), size).alias("y"))))
         similar = F.size(F.array_intersect("x", "y")) >= F.lit(threshold) * F.size(F.array_union("x", "y"))
         return left.join(right, "v").select("u", "v", both).filter(similar).select("u", "v")
 
