@@ -15,8 +15,8 @@
 Distinct lines lie in a table bucketed by their name, so comparing fetches texts without shuffling the table. Hot names
 (a line in a third of all documents) and hot buckets are skewed keys of joins between plain exchanges, which Spark splits.
 
-Defined results: lines without a word are not looked at, and stay. A null text has no lines. Lines with too few shingles
-for the threshold are equal or unlike. A null id ranks before all others. Rows that repeat an id are told apart by nothing:
+Defined results: lines without a word are not looked at, and stay. A null text has no lines. Lines shorter than a
+shingle are equal or unlike. A null id ranks before all others. Rows that repeat an id are told apart by nothing:
 of equal places the line counts once each, and all that stand at the first place stay. An empty table gives an empty
 result. Other columns are ignored. Two different lines with one 64-bit hash would count as equal; among a billion
 distinct lines that is a chance of 3 in 100.
@@ -122,9 +122,8 @@ def line_classes(
     )
     # Lines and signatures come from one exchange: both need the same aggregate, and are grouped by k already.
     distinct = lines.groupBy("k").agg(F.min("line").alias("line"))
-    # With s shingles, one that differs makes the similarity (s - 1) / s at most.
-    least = int(1 / (1 - threshold) - 1e-9) + shingle
-    keys = _band_keys(distinct.filter(F.length("line") >= least), shingle, bands, rows)
+    # Lines with few shingles count too: a set may hold the other, or equal it where shingles repeat.
+    keys = _band_keys(distinct.filter(F.length("line") >= shingle), shingle, bands, rows)
     table = _Lines(distinct.join(keys, F.col("k") == F.col("sk"), "left").drop("sk"), folder)
     group = components(_links(table, facts, folder, shingle, threshold))
     known = facts

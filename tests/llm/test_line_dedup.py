@@ -80,3 +80,11 @@ def test_odd_rows(spark, odd, nothing):
     assert result.count() == odd.filter("length(trim(text)) > 0 and doc_id <> 12 or doc_id is null").count()
     assert line_dedup.line_classes(nothing).count() == 0
     assert line_dedup.without_repeats(nothing).columns == nothing.columns
+
+
+def test_lines_of_few_shingles(spark):
+    docs = [(1, "Read more now"), (2, "Read more now."), (3, "-" * 11), (4, "-" * 40), (5, "-" * 9), (6, "Read more.")]
+    want, near = slow(docs)
+    assert len(near) == 2
+    result = line_dedup.line_classes(spark.createDataFrame(docs, "doc_id long, text string"), bands=40, rows=2)
+    assert rows_of(result) == want
