@@ -52,3 +52,22 @@ def test_empty_table_and_no_rules(spark):
     assert u.judged(empty).count() == 0
     one = spark.createDataFrame([(None, "http://a.net/es/"), (1, None)], "page_id long, url string")
     assert {r["verdict"] for r in u.judged(one, host_rules=[], pattern_rules=[]).collect()} == {"allow"}
+
+
+def test_urls_that_go_on_after_a_pattern(spark):
+    """Whatever token is the rarest, a rule is found where its match ends inside or beside more of the URL."""
+    hits = [
+        "?utm_source=feed", "?page=12&ref=", "/login/", "/wp-admin/", "?print=1", "m.a.org/b/1", "/cart/checkout", ".example.org/de/1.html",
+    ]
+    bases = [h if h[0] not in "?/" else f"a.org{h}" if h[0] == "/" else f"a.org/{h}" for h in hits]
+    bases = [f"b{x}" if x[0] == "." else x for x in bases]
+    urls = [f"http://{x}{tail}" for x in bases for tail in ("", "s", "2", "/", "&x=1", "#x", "?x", "-a", "x/y")]
+    for common in sorted({t for r in u.PATTERN_RULES for t in r.tokens}):
+        rows = [(i, x) for i, x in enumerate([*urls, *[f"http://a.org/{common}"] * 200])]
+        index, always = u.filed(u.PATTERN_RULES, u.token_counts(spark.createDataFrame(rows, "page_id long, url string"), u.PATTERN_RULES))
+        for x in urls:
+            fetched = {*always, *(i for t in set(u.TOKEN.findall(x)) for i in index.get(t, ()))}
+            assert fetched >= {i for i, r in enumerate(u.PATTERN_RULES) if re.search(r.pattern, x)}, (common, x)
+    rows = [(0, "http://a.org/cart/checkouts"), (1, "http://a.org/cart/checkout2")] + [(i, "http://a.org/cart/") for i in range(2, 9)]
+    got = {r["page_id"]: r["verdict"] for r in u.judged(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got == {0: "block", 1: "block"} | dict.fromkeys(range(2, 9), "allow")
