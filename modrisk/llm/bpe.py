@@ -207,7 +207,7 @@ def encoded(
 
 
 def digests(coded: DataFrame) -> DataFrame:
-    """n_tokens, ids_sha256 and decoded_sha256 in place of ids and decoded."""
+    """n_tokens, ids_sha256 and decoded_sha256 in place of ids and decoded; carried columns must have other names."""
     return coded.select(
         *[c for c in coded.columns if c not in ("ids", "decoded")],
         F.size("ids").cast("long").alias("n_tokens"),

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from modrisk.llm.shared import ascii_lower, whole_text, work_folder, written
+from modrisk.llm.shared import ascii_lower, numbered, renamed, whole_text, work_folder, written
 
 WIDTH = 32  # bytes of the first block
 GROWTH = 8  # each block is so many times longer than the one before
@@ -100,13 +100,16 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
     Rows that repeat both id and text are told apart by nothing; one of them stays.
     """
-    kept = exact_groups(docs, id_col, text_col).filter("kept")
+    rows, at = numbered(docs)
+    ident, text = at[id_col], at[text_col]
+    kept = exact_groups(rows, ident, text).filter("kept")
 
     def key(ident, sha):
         return F.concat_ws(":", F.coalesce(ident.cast("string"), F.lit("null")), sha)
 
-    keys = kept.select(key(F.col(id_col), F.col("text_sha256")).alias("_radix_key"))
-    sha = F.sha2(_bytes(normalised(text_col)), 256)
-    marked = docs.withColumn("_radix_key", key(F.col(id_col), sha)).join(keys, "_radix_key", "left_semi")
-    nth = F.row_number().over(Window.partitionBy("_radix_key").orderBy(F.col(text_col).asc_nulls_last()))
-    return marked.withColumn("_radix_nth", nth).filter("_radix_nth = 1").drop("_radix_key", "_radix_nth")
+    keys = kept.select(key(F.col(ident), F.col("text_sha256")).alias("_radix_key"))
+    sha = F.sha2(_bytes(normalised(text)), 256)
+    marked = rows.withColumn("_radix_key", key(F.col(ident), sha)).join(keys, "_radix_key", "left_semi")
+    # Spark keeps one row a key on each side of the exchange (WindowGroupLimit), so repeated rows never meet in one task.
+    nth = F.row_number().over(Window.partitionBy("_radix_key").orderBy(F.col(text).asc_nulls_last()))
+    return renamed(marked.withColumn("_radix_nth", nth).filter("_radix_nth = 1"), docs)

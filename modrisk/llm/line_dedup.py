@@ -31,7 +31,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modrisk.llm.components import components
-from modrisk.llm.shared import WORD, freed_shuffles, whole_text, work_folder, written
+from modrisk.llm.shared import WORD, freed_shuffles, numbered, renamed, whole_text, work_folder, written
 
 SHINGLE = 10
 BANDS = 6
@@ -179,11 +179,11 @@ def _links(lines: _Lines, facts: DataFrame, folder: str, size: int, threshold: f
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The input rows with the lines that do not stay taken out of their texts; ids must be unique. Null texts stay null."""
-    gone = line_classes(docs, id_col, text_col, **options).filter("not kept").groupBy(F.col(id_col).alias("_gone_id")).agg(
+    rows, at = numbered(docs)
+    ident, text = at[id_col], at[text_col]
+    gone = line_classes(rows, ident, text, **options).filter("not kept").groupBy(F.col(ident).alias("_gone_id")).agg(
         F.collect_list("line_no").alias("_gone")
     )
-    left = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left")
-    text = F.array_join(
-        F.filter(F.split(F.col(text_col), "\n"), lambda line, i: ~F.array_contains("_gone", i)), "\n"
-    )
-    return left.withColumn(text_col, F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(text)).select(*docs.columns)
+    left = rows.join(gone, rows[ident].eqNullSafe(gone["_gone_id"]), "left")
+    rest = F.array_join(F.filter(F.split(F.col(text), "\n"), lambda line, i: ~F.array_contains("_gone", i)), "\n")
+    return renamed(left.withColumn(text, F.when(F.col("_gone").isNull(), F.col(text)).otherwise(rest)), docs)

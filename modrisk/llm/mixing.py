@@ -25,7 +25,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from modrisk.llm.shared import WORD, whole_text, work_folder, written
+from modrisk.llm.shared import WORD, numbered, renamed, whole_text, work_folder, written
 
 BLOCK_ROWS = 4096  # documents of a block, about
 SEED = 17
@@ -190,8 +190,8 @@ def mixed(
     target: Target = Target(), block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """The input rows with all their columns, each as often as it is read."""
-    _, plan = _counted(docs, id_col, text_col, source_col, target, block_rows)
-    names = docs.columns
-    counted = docs.join(plan, docs[source_col].eqNullSafe(plan["_source"])).withColumn("_n_copies", _n_copies(id_col))
+    rows, at = numbered(docs)
+    _, plan = _counted(rows, at[id_col], at[text_col], at[source_col], target, block_rows)
+    counted = rows.join(plan, rows[at[source_col]].eqNullSafe(plan["_source"])).withColumn("_n_copies", _n_copies(at[id_col]))
     counted = counted.filter("_n_copies > 0")
-    return counted.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_n_copies"))).select(*names)
+    return renamed(counted.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), "_n_copies"))), docs)

@@ -22,6 +22,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from modrisk.llm.shared import numbered, renamed
+
 SAMPLE_ROWS = 500  # texts that cost and selectivity are measured on
 SAMPLE_CHARS = 20_000  # length of the longest of them
 ROWS_AT_ONCE = 256
@@ -195,3 +197,9 @@ def judge(
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return frame.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, rules: list[Rule] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The input rows that no rule rejects, with all their columns, whatever their names."""
+    rows, at = numbered(docs)
+    return renamed(judge(rows, rules, at[id_col], at[text_col], carry=rows.columns).filter("kept"), docs)

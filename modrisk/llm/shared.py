@@ -48,6 +48,16 @@ def written(frame: DataFrame, path: str, partition_by: list[str] | None = None,
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns named c0, c1, ... so that no column clashes with inner names, and the new name of each old one."""
+    return docs.toDF(*[f"c{i}" for i in range(len(docs.columns))]), {name: f"c{i}" for i, name in enumerate(docs.columns)}
+
+
+def renamed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """Numbered columns of ``rows`` under the names that ``docs`` has."""
+    return rows.select(*[F.col(f"c{i}").alias(name) for i, name in enumerate(docs.columns)])
+
+
 def whole_text(column: str | Column) -> Column:
     """The text as a string; null counts as empty."""
     c = F.col(column) if isinstance(column, str) else column

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from modrisk.llm.components import components
-from modrisk.llm.shared import work_folder, written
+from modrisk.llm.shared import numbered, renamed, work_folder, written
 
 SEED = 42
 SHINGLE = 4
@@ -311,6 +311,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
 
     Ids are expected to be unique; rows that repeat an id go or stay together, and rows without an id all stay.
     """
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = found.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    rows, at = numbered(docs)
+    ident = at[id_col]
+    found = near_duplicates(rows, ident, at[text_col], **options)
+    gone = found.filter(F.col(ident) != F.col("component_id")).select(F.col(ident).alias("_gone")).distinct()
+    return renamed(rows.join(gone, rows[ident] == gone["_gone"], "left_anti"), docs)

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 from itertools import combinations
 
 import public_tokenizers
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
@@ -45,9 +46,30 @@ def test_like_brute_force(spark, sf, documents):
     assert rows == want
 
 
-def test_odd_rows_go_through_all_stages(spark, odd, sf):
-    docs = odd.withColumnRenamed("text_sha256", "source")
+def clashing(docs):
+    """Extra columns whose names the stages use inside."""
+    extra = ["kept", "n_words", "ids", "decoded", "_gone", "_passes", "_radix_key", "fp", "row", "c0", "_text"]
+    names = {c.lower() for c in docs.columns}
+    return docs.withColumns({c: F.lit(i) for i, c in enumerate(extra) if c.lower() not in names})
+
+
+def test_odd_rows_and_clashing_names_go_through_all_stages(spark, odd, sf):
+    docs = clashing(odd.withColumnRenamed("text_sha256", "source"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, docs, sf)
+        assert after.columns == docs.columns, name
+        assert after.count() <= docs.count() * 2
+    prose = " ".join(f"word{i} and" for i in range(40))
+    good = [(i, f"{prose} tail{i % 2}", "x") for i in range(3)] + [(None, prose, None), (4, None, "x"), (4, "", "y")]
+    docs = clashing(spark.createDataFrame(good, "doc_id long, text string, source string"))
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, sf)
+    # 0 and 2 are equal (2 stays); 1 differs in a word and is linked to 2 or not; the row without an id stays.
+    assert {r["doc_id"] for r in docs.collect()} - {1} == {2, None} or {r["doc_id"] for r in docs.collect()} == {1, None}
+
+
+def test_no_rows_go_through_all_stages(spark, nothing, sf):
+    docs = nothing
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
-    assert "ids_sha256" in docs.columns
-    docs.collect()
+    assert docs.count() == 0 and "ids_sha256" in docs.columns
