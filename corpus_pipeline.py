@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from modrisk.llm import bpe, exact_dedup, mixing, near_dedup, quality
+from modrisk.llm import bpe, exact_dedup, mixing, quality, simhash
 from modrisk.llm.queries import tokenizer
 from modrisk.llm.shared import work_folder, written
 
@@ -19,8 +19,7 @@ MIX = mixing.Target(entropy=0.97, repetition=2.0)
 
 def drop_junk(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Quality rules: documents that a rule rejects go."""
-    names = docs.columns
-    return quality.judge(docs, carry=names).filter("kept").select(*names)
+    return quality.keep_good(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,9 +28,9 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Near-dedup: texts whose five-word shingles have a Jaccard similarity of 0.8 or more are linked; of each component the
-    document with the smallest doc_id stays."""
-    return near_dedup.keep_one(docs)
+    """SimHash near-dedup by its contract: four-word shingles, fingerprints linked at 4 or fewer differing bits; of each
+    component the document with the smallest doc_id stays."""
+    return simhash.keep_one(docs, shingle=4, bits=4)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,13 +40,13 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding of every document, each as often as the mix has it."""
-    return bpe.digests(bpe.encoded(docs, tokenizer("word_bpe_49k.json"), carry=["source"]))
+    return bpe.digests(bpe.encoded(docs.select("doc_id", "text", "source"), tokenizer("word_bpe_49k.json"), carry=["source"]))
 
 
 STAGES = [
     ("quality_rules", drop_junk),
     ("exact_dedup", drop_copies),
-    ("near_dedup", drop_near_copies),
+    ("simhash_near_dedup", drop_near_copies),
     ("mixing", mix_sources),
     ("bpe", encode),
 ]
