@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, quality, secret_scan, simhash, substring_dedup, token_shards, url_filter
+from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, periodic_runs, prefix_trie, quality, secret_scan, simhash, substring_dedup, token_shards, url_filter
 from modrisk.llm.shared import LOWER, UPPER, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(prefix_trie.regrown(prefix_trie.paths(table(spark, sf_dir, "conversations"))))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_table(table(spark, sf_dir, "documents"), rewrite=periodic_runs.looped, with_text=False).drop("collapsed")
+
+
 # The characters of a word, for DuckDB's regular expressions.
 _W = r"[^\x20\x09-\x0D]"
 _NORM = f"translate(coalesce(text, ''), '{UPPER}', '{LOWER}')"
@@ -150,6 +158,34 @@ a AS (
 SELECT doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in secret_scan.RULES if r.base)},
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN a USING (doc_id)"""
 
+# CRC-32, bit by bit; DuckDB has no function for it.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, i: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295::BIGINT)"""
+
+_OP11 = f"""WITH own AS (
+  SELECT conv_id, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT conv_id, turns, {_CRC} % 9 AS h FROM own),
+whole AS (
+  SELECT h.conv_id, list_concat(coalesce(f.turns[1:h.h], []), h.turns[h.h + 1:]) AS path
+  FROM h LEFT JOIN own f ON f.conv_id = h.conv_id - h.conv_id % 5),
+part AS (SELECT conv_id, path[1:d] AS path, d, d = len(path) AS ends FROM whole, unnest(range(0, len(path) + 1)) x(d)),
+node AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM part GROUP BY path, d),
+kids AS (SELECT path[1:depth - 1] AS path, depth - 1 AS depth, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1, 2),
+full_node AS (
+  SELECT node.*, coalesce(kids.n, 0) AS n_children,
+    CASE WHEN depth > 0 THEN (n_convs - 1) * octet_length(encode(node.path[depth].t)) ELSE 0 END AS own_saved
+  FROM node LEFT JOIN kids USING (path, depth)),
+up AS (
+  SELECT path[1:a] AS path, a AS depth, n_children = 0 AS leaf, own_saved FROM full_node, unnest(range(0, depth + 1)) x(a)),
+below AS (SELECT path, depth, count(*) FILTER (leaf) AS n_leaves, sum(own_saved)::BIGINT AS saved_tokens FROM up GROUP BY 1, 2)
+SELECT c.conv_id, c.depth, p.conv_id AS parent_conv_id, c.n_convs, c.n_children::BIGINT AS n_children, b.n_leaves, b.saved_tokens, c.ends_sha256
+FROM full_node c JOIN below b USING (path, depth) LEFT JOIN node p ON p.depth = c.depth - 1 AND p.path = c.path[1:c.depth - 1]"""
+
 QUERIES: dict[str, Query] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_url_filter": op2_url_filter,
@@ -161,6 +197,8 @@ QUERIES: dict[str, Query] = {
     "op8_quality": op8_quality,
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 SQL: dict[str, str] = {
@@ -168,4 +206,5 @@ SQL: dict[str, str] = {
     "op8_quality": _OP8,
     "op9_secret_scan": _OP9,
     "op10_exact_dedup": _OP10,
+    "op11_prefix_trie": _OP11,
 }
