@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, periodic_runs, prefix_trie, quality, secret_scan, simhash, substring_dedup, token_shards, url_filter
+from modrisk.llm import bpe, exact_dedup, line_dedup, mixing, periodic_runs, prefix_trie, quality, quality_model, secret_scan, simhash, substring_dedup, token_shards, url_filter
 from modrisk.llm.shared import LOWER, UPPER, work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(prefix_trie.regrown(prefix_trie.paths(table(spark, sf_dir, "conversations"))))
 
 
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic_runs.run_table(table(spark, sf_dir, "documents"), rewrite=periodic_runs.looped, with_text=False).drop("collapsed")
 
@@ -198,6 +202,7 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_exact_dedup": op10_exact_dedup,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_quality_model": op12_quality_model,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
