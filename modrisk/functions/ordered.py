@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 ROWS_PER_RANGE = 1_000_000
@@ -128,90 +129,135 @@ def exact_quantiles(
 ) -> dict[str, list[float | None]]:
     """Exact linearly interpolated quantiles of several columns, NULLs skipped.
 
-    All ranks of all columns are found together, in a few jobs whatever their number; see ``_values_at``.
+    Three jobs whatever the number of columns and probabilities; see :func:`values_at`.
     """
-    if not columns:
-        return {}
-    quoted = [f"`{c}`" for c in columns]
-    counts = rows.agg(*[F.count(F.col(q)).alias(f"n{i}") for i, q in enumerate(quoted)]).first()
-    places = {i: [(counts[f"n{i}"] - 1) * p for p in probabilities] for i in range(len(columns)) if counts[f"n{i}"]}
-    wanted = {quoted[i]: sorted({r for at in ats for r in (math.floor(at), math.ceil(at))}) for i, ats in places.items()}
-    found = _values_at(rows, wanted, small)
-    answer: dict[str, list[float | None]] = {c: [None] * len(probabilities) for c in columns}
-    for i, ats in places.items():
-        values = found[quoted[i]]
-        for k, at in enumerate(ats):
-            lo, hi = math.floor(at), math.ceil(at)
-            answer[columns[i]][k] = values[lo] if lo == hi else (hi - at) * values[lo] + (at - lo) * values[hi]
-    return answer
-
-
-def _values_at(rows: DataFrame, wanted: dict[str, list[int]], small: int) -> dict[str, dict[int, float]]:
-    """Values at 0-based ranks among the values of columns that are not null.
-
-    Each rank has an open interval that its value lies in. A round takes quantile sketches inside all intervals, and counts
-    exactly how many values lie below and at the new edges: two jobs for all ranks. A rank then either is at an edge, or
-    lies strictly between two, or, where a sketch missed, beyond one; every case leaves a smaller interval. When none
-    holds more than ``small`` values, one job counts the values inside by value and picks the wanted ones.
+    def ranks(n: int) -> list[int]:
+        return sorted({r for p in probabilities for r in (math.floor((n - 1) * p), math.ceil((n - 1) * p))}) if n else []
+
+    sizes, found = values_at(rows, {c: probabilities for c in columns}, ranks, small)
+
+    def between(column: str, p: float) -> float | None:
+        if not sizes[column]:
+            return None
+        at, values = (sizes[column] - 1) * p, found[column]
+        lo, hi = values[math.floor(at)], values[math.ceil(at)]
+        return lo if lo == hi else lo + (hi - lo) * (at - math.floor(at))
+
+    return {c: [between(c, p) for p in probabilities] for c in columns}
+
+
+def _edges_around(x: Column, shares: list[float]) -> Column:
+    """Values a little below and above the given shares of a column, from one sketch."""
+    slack = 2.0 / SKETCH_ACCURACY
+    marks = sorted({min(max(s + d, 0.0), 1.0) for s in shares for d in (-slack, slack)})
+    return F.percentile_approx(x, F.array(*[F.lit(m) for m in marks]), F.lit(SKETCH_ACCURACY))
+
+
+def values_at(
+    rows: DataFrame, shares: dict[str, list[float]], ranks, small: int = ROWS_PER_RANGE
+) -> tuple[dict[str, int], dict[str, dict[int, float]]]:
+    """How many values each column has, and its values at the 0-based ranks that ``ranks`` names for that many.
+
+    ``shares`` says about where the ranks lie, as shares of the column. Job one brackets all of them with one sketch a
+    column. Job two deals every value to its place among all edges of its column, by binary search, and counts: a rank
+    then is at an edge, or strictly between two neighbours. Where more than ``small`` values lie between, those two jobs
+    are run again with edges from inside; each time some thousandth of the values is left. Job three counts the values
+    between the last edges by value and picks the wanted ones; it is left out where all ranks are at edges. Results on
+    the driver are bounded by the number of ranks.
     """
-    found: dict[str, dict[int, float]] = {c: {} for c in wanted}
-    columns = [c for c in wanted if wanted[c]]
-    if not columns:
-        return found
-    value = {c: F.col(c).cast("double") for c in columns}
-    counts = rows.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(columns)]).first()
-    # Of each rank: the interval's edges, the number of values up to its lower edge, the number inside.
-    open_ = {(c, r): (None, None, 0, counts[f"n{i}"]) for i, c in enumerate(columns) for r in wanted[c]}
-
-    def inside(key) -> Column:
-        lo, hi, *_ = open_[key]
-        x = value[key[0]]
-        test = x.isNotNull()
-        test = test if lo is None else test & (x > F.lit(lo))
-        return test if hi is None else test & (x < F.lit(hi))
-
-    for turn in range(MAX_ROUNDS + 1):
-        todo = [k for k, (*_, n) in open_.items() if n > small or turn == 0]
-        if not todo:
+    names = list(shares)
+    if not names:
+        return {}, {}
+    x = {c: F.col(f"`{c}`").cast("double") for c in names}
+    first = rows.agg(*[_edges_around(x[c], shares[c]).alias(f"s{i}") for i, c in enumerate(names)]).first()
+    splits = {c: _splits(first[f"s{i}"] or []) for i, c in enumerate(names)}
+    for _ in range(MAX_ROUNDS):
+        counts = _dealt(rows, x, splits)
+        sizes = {c: sum(counts[c].values()) for c in names}
+        found: dict[str, dict[int, float]] = {c: {} for c in names}
+        between: dict[tuple[str, int], list[tuple[int, int]]] = {}  # (column, cell) -> (rank, rank within the cell)
+        for c in names:
+            below, wanted = 0, ranks(sizes[c])
+            for cell, n in sorted(counts[c].items()):
+                for r in (r for r in wanted if below <= r < below + n):
+                    only = _only_value(splits[c], cell)
+                    if only is None:
+                        between.setdefault((c, cell), []).append((r, r - below))
+                    else:
+                        found[c][r] = only
+                below += n
+        crowded = [(c, cell) for c, cell in between if counts[c][cell] > small]
+        if not crowded:
             break
-        if turn == MAX_ROUNDS:
-            raise RuntimeError(f"{len(todo)} ranks not found in {MAX_ROUNDS} rounds")
-        sketches = []
-        for i, key in enumerate(todo):
-            *_, below, n = open_[key]
-            share, slack = (key[1] - below + 0.5) / n, 2.0 / SKETCH_ACCURACY + 2.0 / n
-            edges = F.array(F.lit(max(share - slack, 0.0)), F.lit(min(share + slack, 1.0)))
-            x = F.when(inside(key), value[key[0]])
-            sketches.append(F.percentile_approx(x, edges, F.lit(SKETCH_ACCURACY)).alias(f"s{i}"))
-        edges_of = rows.agg(*sketches).first()
-        tests = []
-        for i, key in enumerate(todo):
-            x, (lo, hi) = value[key[0]], edges_of[f"s{i}"]
-            for name, test in (("a", x < F.lit(lo)), ("b", x <= F.lit(lo)), ("c", x < F.lit(hi)), ("d", x <= F.lit(hi))):
-                tests.append(F.count_if(test).alias(f"{name}{i}"))
-        got = rows.agg(*tests).first()
-        for i, key in enumerate(todo):
-            rank, (lo, hi) = key[1], edges_of[f"s{i}"]
-            old_lo, old_hi, below, n = open_.pop(key)
-            under_lo, to_lo, under_hi, to_hi = (got[f"{name}{i}"] for name in "abcd")
-            if under_lo <= rank < to_lo:
-                found[key[0]][rank] = lo
-            elif under_hi <= rank < to_hi:
-                found[key[0]][rank] = hi
-            elif to_lo <= rank < under_hi:
-                open_[key] = (lo, hi, to_lo, under_hi - to_lo)
-            elif rank < under_lo:
-                open_[key] = (old_lo, lo, below, under_lo - below)
-            else:
-                open_[key] = (hi, old_hi, to_hi, below + n - to_hi)
-    if open_:
-        keys = list(open_)
-        hits = [F.when(inside(k), F.struct(F.lit(i).alias("i"), value[k[0]].alias("x"))) for i, k in enumerate(keys)]
-        counted = rows.select(F.explode(F.array_compact(F.array(*hits))).alias("h")).groupBy("h.i", "h.x").count()
-        upto = F.sum("count").over(Win.partitionBy("i").orderBy("x").rowsBetween(Win.unboundedPreceding, 0))
-        place = F.element_at(F.array(*[F.lit(k[1] - open_[k][2]).cast("long") for k in keys]), F.col("i") + 1)
-        at = counted.select("i", "x", "count", upto.alias("upto"), place.alias("place"))
-        for r in at.filter("place < upto and upto - count <= place").collect():
-            column, rank = keys[r["i"]]
-            found[column][rank] = r["x"]
-    return found
+        inside = []
+        for k, (c, cell) in enumerate(crowded):
+            held = (x[c] >= F.lit(splits[c][cell])) & (x[c] < F.lit(splits[c][cell + 1]))
+            places = [(place + 0.5) / counts[c][cell] for _, place in between[c, cell]]
+            inside.append(_edges_around(F.when(held, x[c]), places).alias(f"s{k}"))
+        more = rows.agg(*inside).first()
+        for k, (c, _) in enumerate(crowded):
+            splits[c] = _splits([*splits[c], *(more[f"s{k}"] or [])])
+    else:
+        raise RuntimeError(f"ranks not found in {MAX_ROUNDS} rounds")
+    for (c, rank), value in _picked(rows, x, splits, between).items():
+        found[c][rank] = value
+    return sizes, found
+
+
+def _splits(edges: list[float]) -> list[float]:
+    """Lower ends of cells and the last upper end: each edge has a cell of its own, which no other value is in."""
+    finite = [e for e in edges if math.isfinite(e)] or [0.0]
+    inner = {s for e in finite for s in (e + 0.0, math.nextafter(e, math.inf))}
+    return [-math.inf, math.nextafter(-math.inf, 0), *sorted(inner - {math.inf, math.nextafter(-math.inf, 0)}), math.inf]
+
+
+def _only_value(splits: list[float], cell: int) -> float | None:
+    """The value that alone can be in a cell; beyond the last are the cells of infinity and NaN."""
+    if cell >= len(splits) - 1:
+        return math.inf if cell == len(splits) - 1 else math.nan
+    return splits[cell] if splits[cell + 1] == math.nextafter(splits[cell], math.inf) < math.inf else None
+
+
+def _cells(rows: DataFrame, x: dict[str, Column], splits: dict[str, list[float]]) -> DataFrame:
+    """(column, cell, x) of each value that is not null; columns by their place in ``x``."""
+    plain = rows.select(*[x[c].alias(f"x{i}") for i, c in enumerate(x)])
+    ins, outs = [f"x{i}" for i in range(len(x))], [f"b{i}" for i in range(len(x))]
+    placed = Bucketizer(splitsArray=[splits[c] for c in x], inputCols=ins, outputCols=outs, handleInvalid="keep").transform(plain)
+    parts = []
+    for i, (c, v, b) in enumerate(zip(x, ins, outs)):
+        last = len(splits[c])
+        cell = F.when(F.isnan(v), last).when(F.col(v) == math.inf, last - 1).otherwise(F.col(b).cast("int"))
+        parts.append(F.when(F.col(v).isNotNull(), F.struct(F.lit(i).alias("column"), cell.alias("cell"), F.col(v).alias("x"))))
+    return placed.select(F.inline(F.array_compact(F.array(*parts))))
+
+
+def _dealt(rows: DataFrame, x: dict[str, Column], splits: dict[str, list[float]]) -> dict[str, dict[int, int]]:
+    names = list(x)
+    counts: dict[str, dict[int, int]] = {c: {} for c in names}
+    for r in _cells(rows, x, splits).groupBy("column", "cell").count().collect():
+        counts[names[r["column"]]][r["cell"]] = r["count"]
+    return counts
+
+
+def _picked(rows: DataFrame, x: dict[str, Column], splits, between) -> dict[tuple[str, int], float]:
+    """The values at wanted ranks within cells that hold few values."""
+    if not between:
+        return {}
+    names = list(x)
+    asked = [
+        F.struct(F.lit(names.index(c)).alias("c"), F.lit(cell).alias("b"), F.lit(rank).cast("long").alias("rank"), F.lit(place).cast("long").alias("place"))
+        for (c, cell), places in between.items() for rank, place in places
+    ]
+    asked = rows.sparkSession.range(1).select(F.inline(F.array(*asked)))
+    wanted = F.lit(False)
+    for i, c in enumerate(names):
+        cells = [cell for name, cell in between if name == c]
+        if cells:
+            wanted = wanted | ((F.col("column") == i) & F.col("cell").isin(*cells))
+    upto = F.sum("count").over(Win.partitionBy("column", "cell").orderBy("x").rowsBetween(Win.unboundedPreceding, 0))
+    counted = _cells(rows, x, splits).filter(wanted).groupBy("column", "cell", "x").count().withColumn("upto", upto)
+    hit = counted.join(
+        F.broadcast(asked),  # as many rows as ranks are asked for
+        (F.col("column") == F.col("c")) & (F.col("cell") == F.col("b")) & (F.col("place") < F.col("upto")) & (F.col("upto") - F.col("count") <= F.col("place")),
+    )
+    return {(names[r["column"]], r["rank"]): r["x"] for r in hit.select("column", "rank", "x").collect()}

@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 from modrisk.functions.draws import draw
-from modrisk.functions.ordered import ROWS_PER_RANGE, _values_at, ranked
+from modrisk.functions.ordered import ROWS_PER_RANGE, ranked, values_at
 from modrisk.operators.cleaning import LABEL, col
 from modrisk.operators.neighbours import nearest
 
@@ -71,40 +71,33 @@ def stratified_split(
 ) -> DataFrame:
     """Add ``is_test``. ``key`` must be unique.
 
-    Exact: the rows with the smallest draws of each class. Up to ``small`` rows
-    a window ranks them; beyond, the draw at the boundary rank is found by
-    bracketing, so nothing is sorted or shuffled and the result is a comparison
-    on each row. Not exact: draw below the share.
+    Exact: the rows with the smallest draws of each class. The draw at the
+    boundary rank is found by bracketing, so nothing is sorted or shuffled and
+    the result is a comparison on each row. Not exact: draw below the share.
     """
     u = draw(seed, col(key))
     if not exact:
         return rows.withColumn("is_test", u < F.lit(test_share))
     sizes = class_sizes(rows, label)
-    taken = _test_sizes(sizes, test_share)
-    if sum(sizes.values()) <= small:
-        limit = F.lit(0)
-        for c, n in taken.items():
-            limit = F.when(col(label) == c, n).otherwise(limit)
-        order = Win.partitionBy(col(label)).orderBy(u, col(key))
-        return rows.withColumn("is_test", F.row_number().over(order) <= limit)
+    taken = {c: n for c, n in _test_sizes(sizes, test_share).items() if n > 0}
+    if not taken:
+        return rows.withColumn("is_test", F.lit(False))
     drawn = rows.select(
-        col(key).alias("_key"), u.alias("_u"), col(label).alias("_y"),
-        *[F.when(col(label) == c, u).alias(f"_u{i}") for i, c in enumerate(sizes)],
+        col(key).alias("_key"), *[F.when(col(label) == c, u).alias(f"u{i}") for i, c in enumerate(taken)]
     )
-    wanted = {f"_u{i}": [taken[c] - 1] for i, c in enumerate(sizes) if taken[c] > 0}
-    edges = _values_at(drawn, wanted, small) if wanted else {}
+    edges = {}
+    for i, (c, n) in enumerate(taken.items()):
+        _, found = values_at(drawn, {f"u{i}": [(n - 0.5) / sizes[c]]}, lambda size, n=n: [n - 1], small)
+        edges[c] = found[f"u{i}"][n - 1]
+    # Equal draws are rare (one in 2^32); among them the smaller keys go first.
+    facts = drawn.agg(
+        *[F.count_if(F.col(f"u{i}") < edges[c]).alias(f"n{i}") for i, c in enumerate(taken)],
+        *[F.array_sort(F.collect_list(F.when(F.col(f"u{i}") == edges[c], F.col("_key")))).alias(f"k{i}") for i, c in enumerate(taken)],
+    ).first()
     is_test = F.lit(False)
-    for i, c in enumerate(sizes):
-        if taken[c] == 0:
-            continue
-        edge = edges[f"_u{i}"][taken[c] - 1]
-        # Equal draws are rare (one in 2^32); among them the smaller keys go first.
-        same = drawn.filter((F.col("_y") == c) & (F.col("_u") == edge))
-        below = drawn.filter((F.col("_y") == c) & (F.col("_u") < edge)).count()
-        last = same.orderBy("_key").limit(taken[c] - below).agg(F.max("_key").alias("k")).first()["k"]
-        is_test = is_test | (
-            (col(label) == c) & ((u < edge) | ((u == edge) & (col(key) <= F.lit(last))))
-        )
+    for i, (c, n) in enumerate(taken.items()):
+        last = facts[f"k{i}"][n - facts[f"n{i}"] - 1]
+        is_test = is_test | ((col(label) == c) & ((u < edges[c]) | ((u == edges[c]) & (col(key) <= F.lit(last)))))
     return rows.withColumn("is_test", is_test)
 
 

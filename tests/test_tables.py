@@ -42,6 +42,22 @@ def test_exact_quantiles_by_narrowing(spark):
     assert ordered.exact_quantiles(rows, ["a"], probabilities)["a"] == pytest.approx(got["a"])
 
 
+def test_exact_quantiles_of_ties_and_ends(spark):
+    """Equal neighbours give the value itself; infinite values, NaN, neighbouring doubles, one row and none."""
+    two = float(np.nextafter(0.02, 1))
+    data = [(0.02 if i % 2 else 0.0, [-np.inf, 1.0, np.inf, np.nan][i % 4], 0.02 if i % 3 else two, None) for i in range(400)]
+    rows = spark.createDataFrame([tuple(None if v is None else float(v) for v in d) for d in data], "a double, b double, c double, d double")
+    for small in (1, 10**6):
+        got = ordered.exact_quantiles(rows, list("abcd"), [0.0, 0.6, 0.7, 1.0], small)
+        assert got["a"] == [0.0, 0.02, 0.02, 0.02]
+        assert got["b"][0] == -np.inf and got["b"][1] == got["b"][2] == np.inf and np.isnan(got["b"][3])
+        assert got["c"] == [0.02, 0.02, two, two]
+        assert got["d"] == [None] * 4
+    assert ordered.exact_quantiles(rows.limit(1), ["a"], [0.3]) == {"a": [0.0]}
+    assert ordered.exact_quantiles(rows.limit(0), ["a"], [0.3]) == {"a": [None]}
+    assert ordered.exact_quantiles(rows, [], [0.3]) == {}
+
+
 def test_running_totals_over_many_ranges(spark):
     rng = random.Random(4)
     data = [(m, rng.randint(0, 40) / 10, i) for m in "ab" for i in range(300)]
