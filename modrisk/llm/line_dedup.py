@@ -6,10 +6,13 @@
    probability of their Jaccard similarity. Shingles are exploded and aggregated inside one generated loop.
 3. Banding: ``bands`` bands of ``rows`` components; lines that agree in a band meet in its bucket. With 6 bands of 3, a pair
    of similarity 0.8 meets with probability 0.987, one of 0.9 with 0.9996.
-4. Verification: exact Jaccard similarity of the shingle sets. In a bucket, each line is compared with the leader, the most
-   frequent line. Where that leaves a bucket in several components, lines outside the leader's are compared with all
-   lines there of other components. So no link that banding offers is lost, and a large group of similar lines costs
-   one comparison a line and not all pairs.
+4. Verification: exact Jaccard similarity of the shingle sets, always of a line with a leader, never of all lines with all.
+   The leader of a bucket is its most frequent line. What differs from the leader is then dealt anew: two lines that are
+   similar, but not both to their leader, share much of what sets them apart from it. So each line goes to buckets named
+   by MinHashes of the shingles it has and the leader has not (and, after the first comparison, of those it lacks), two
+   components a name; buckets of more than one known component get a leader of their own, and so on until no bucket
+   has two. A bucket shrinks with each round, and lines that differ from their leader in nothing common part at once: a large
+   group of similar lines, or of variants of one template, costs a comparison a line and round.
 5. Union-find: components by distributed star steps. The first line of a component, by document and place, stays.
 
 Distinct lines lie in a table bucketed by their name, so comparing fetches texts without shuffling the table. Hot names
@@ -26,7 +29,6 @@ from __future__ import annotations
 
 import random
 import uuid
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -38,6 +40,7 @@ BANDS = 6
 ROWS = 3
 THRESHOLD = 0.8
 PLACES = 4  # shingles of one generated row
+MARKS = 8  # names of what sets a line apart from its leader
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,28 +89,50 @@ def _band_keys(lines: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
 
 
 class _Lines:
-    """The distinct lines, bucketed by name; ``cut`` gives a line's shingles."""
+    """The distinct lines, bucketed by name."""
 
-    def __init__(self, lines: DataFrame, folder: str, cut: Callable[[Column, int], Column] = shingles):
+    def __init__(self, lines: DataFrame, folder: str):
         spark = lines.sparkSession
-        self.cut = cut
         self.name = f"lines_{uuid.uuid4().hex}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
         with freed_shuffles(spark):
             lines.write.bucketBy(buckets, "k").option("path", f"{folder}/lines").option("compression", "zstd").saveAsTable(self.name)
         self.table = spark.table(self.name)
 
-    def verified(self, pairs: DataFrame, folder: str, size: int, threshold: float) -> DataFrame:
-        """The pairs (u, v) whose lines are similar; v may be a hot key."""
+    def compared(self, pairs: DataFrame, folder: str, size: int, threshold: float, turn: int) -> DataFrame:
+        """(u, v, similar, marks) of pairs; v may be a hot key. ``marks`` name what sets u apart from v."""
         text = self.table.select("k", "line")
         right = pairs.select("v").distinct().join(text, F.col("v") == F.col("k")).select("v", F.col("line").alias("b"))
         right = written(right, f"{folder}/right")
         left = pairs.join(text, F.col("u") == F.col("k")).select("u", "v", F.col("line").alias("a"))
         left = written(left, f"{folder}/left")
-        # Through a generator: each line's shingles are made once a pair, and used twice.
-        both = F.inline(F.array(F.struct(self.cut(F.col("a"), size).alias("x"), self.cut(F.col("b"), size).alias("y"))))
-        similar = F.size(F.array_intersect("x", "y")) >= F.lit(threshold) * F.size(F.array_union("x", "y"))
-        return left.join(right, "v").select("u", "v", both).filter(similar).select("u", "v")
+        # Through generators: what is used more than once is made once a pair.
+        hashed = [F.transform(F.array_distinct(shingles(F.col(c), size)), lambda x: F.xxhash64(x)) for c in "ab"]
+        both = left.join(right, "v").select("u", "v", F.inline(F.array(F.struct(hashed[0].alias("x"), hashed[1].alias("y")))))
+        more = F.struct(F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"), F.size("x").alias("n"))
+        apart = both.select("u", "v", F.inline(F.array(more)))
+        common = F.col("n") - F.size("more")
+        similar = common >= F.lit(threshold) * (F.col("n") + F.size("less"))
+        marks = _marks("more", turn)
+        if turn == 0:
+            marks = F.concat(marks, _marks("less", -1))
+        return written(apart.select("u", "v", similar.alias("similar"), marks.alias("marks")), f"{folder}/compared")
+
+    def drop(self) -> None:
+        """Forgets the table's name; its files stay in the work folder."""
+        self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def _marks(column: str, turn: int) -> Column:
+    """``MARKS`` names for a set of hashes, each from two components of its MinHash; none for an empty set."""
+    draw = random.Random(turn)
+
+    def lowest() -> Column:
+        point = F.lit(draw.getrandbits(64) - 2**63)
+        return F.array_min(F.transform(column, lambda x: x.bitwiseXOR(point)))
+
+    names = [F.xxhash64(F.lit(column), F.lit(i), lowest(), lowest()) for i in range(MARKS)]
+    return F.when(F.size(column) > 0, F.array(*names)).otherwise(F.array().cast("array<bigint>"))
 
 
 def line_classes(
@@ -126,6 +151,7 @@ def line_classes(
     keys = _band_keys(distinct.filter(F.length("line") >= shingle), shingle, bands, rows)
     table = _Lines(distinct.join(keys, F.col("k") == F.col("sk"), "left").drop("sk"), folder)
     group = components(_links(table, facts, folder, shingle, threshold))
+    table.drop()
     known = facts
     member = written(known.join(group, F.col("k") == F.col("node")).select("k", "n", "first", "component"), f"{folder}/member")
     whole = member.groupBy("component").agg(F.sum("n").alias("total"), F.min("first").alias("start"))
@@ -145,36 +171,38 @@ def line_classes(
 
 
 def _links(lines: _Lines, facts: DataFrame, folder: str, size: int, threshold: float) -> DataFrame:
-    """Verified links (u, v) that connect all similar lines sharing a bucket."""
+    """Verified links (u, v) that connect the similar lines of each bucket."""
     rows = lines.table.filter(F.col("bands").isNotNull()).select("k", F.explode("bands").alias("band"))
     shared = written(rows.groupBy("band").count().filter("count > 1").select("band"), f"{folder}/shared")
     met = written(rows.join(shared, "band"), f"{folder}/met")
     members = written(met.join(facts.select("k", "n"), "k"), f"{folder}/members")
     leader = written(members.groupBy("band").agg(F.max_by("k", F.struct("n", "k")).alias("leader")), f"{folder}/leaders")
-    led = members.join(leader, "band")
-    pairs = written(led.filter("k <> leader").select(F.col("k").alias("u"), F.col("leader").alias("v")).distinct(), f"{folder}/pairs")
-    first = written(lines.verified(pairs, f"{folder}/first", size, threshold), f"{folder}/links")
-    # Buckets that the leaders leave in several components; a line without a link is a component of its own.
-    group = written(components(first).select(F.col("node").alias("gk"), "component"), f"{folder}/groups")
-    placed = written(
-        led.join(group, F.col("k") == F.col("gk"), "left").select("band", "k", "leader", F.coalesce("component", "k").alias("c")),
-        f"{folder}/placed",
-    )
-    open_ = written(
-        placed.groupBy("band").agg(
-            F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size"),
-            F.max(F.when(F.col("k") == F.col("leader"), F.col("c"))).alias("lead"),
-        ).filter("low < high and size > 2").select("band", "lead"),
-        f"{folder}/open",
-    )
-    mixed = placed.join(open_, "band")
-    outside = written(mixed.filter("c <> lead").select("band", F.col("k").alias("u"), F.col("c").alias("uc")), f"{folder}/outside")
-    inside = written(mixed.select("band", F.col("k").alias("x"), F.col("c").alias("xc"), "lead", "leader"), f"{folder}/inside")
-    # Both outside: once. With the leader itself: compared before.
-    more = outside.join(inside, "band").filter("uc <> xc and x <> leader and (xc = lead or u < x)")
-    again = written(more.select("u", F.col("x").alias("v")).distinct(), f"{folder}/more")
-    second = written(lines.verified(again, f"{folder}/second", size, threshold), f"{folder}/second-links")
-    return first.unionByName(second)
+    led = members.join(leader, "band").filter("k <> leader")
+    pairs = written(led.select(F.col("k").alias("u"), F.col("leader").alias("v")).distinct(), f"{folder}/pairs")
+    found = lines.compared(pairs, f"{folder}/first", size, threshold, 0)
+    links = found.filter("similar").select("u", "v")
+    # ``home`` is a line that u is known to be linked with, or u itself.
+    home = F.when(F.col("similar"), F.col("v")).otherwise(F.col("u"))
+    dealt = found.select("u", home.alias("home"), F.explode("marks").alias("mark"), "v").select("u", "home", F.xxhash64("v", "mark").alias("bucket"))
+    turn = 0
+    while True:
+        turn += 1
+        at = f"{folder}/round-{turn}"
+        dealt = written(dealt, f"{at}/dealt")
+        open_ = dealt.groupBy("bucket").agg(
+            F.min("home").alias("low"), F.max("home").alias("high"), F.max_by("u", F.struct(F.col("home") == F.col("u"), "u")).alias("v")
+        ).filter("low < high").select("bucket", "v")
+        open_ = written(open_, f"{at}/open")
+        led = written(dealt.join(open_, "bucket").filter("u <> v"), f"{at}/led")
+        pairs = written(led.select("u", "v").distinct(), f"{at}/pairs")
+        if pairs.isEmpty():
+            return links
+        found = lines.compared(pairs, at, size, threshold, turn)
+        links = links.unionByName(found.filter("similar").select("u", "v"))
+        home = F.when(F.col("similar"), F.col("v")).otherwise(F.col("home"))
+        dealt = led.join(found, ["u", "v"]).select("u", home.alias("home"), F.explode("marks").alias("mark"), "bucket").select(
+            "u", "home", F.xxhash64("bucket", "mark").alias("bucket")
+        )
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
