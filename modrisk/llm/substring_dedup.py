@@ -3,19 +3,23 @@
 Every document's words are cut into non-overlapping blocks of ``block`` words; these are indexed. Every rolling window of
 as many words, at every place of every document, probes the index. A window of ``window`` words always holds a whole block
 (2 * block <= window + 1), so two equal windows meet at least once. Hits are extended over the words around them: every
-window of ``window`` words that holds a hit is compared by 128 bits, windows that stand somewhere earlier are marked, and
+window of ``window`` words that holds a hit is looked up whole, windows that stand somewhere earlier are marked, and
 overlapping marks grow together to maximal repeats.
 
-How it runs: documents go to buckets by id, and one shuffle of the texts serves all three passes.
+Words are told apart by 128 bits of XXH3, windows by 96 bits of two polynomials in their words' halves: of 1e13 windows two
+different ones are taken for equal with a chance of one in a thousand.
+
+How it runs: documents go to buckets by id and place of the row, so an id that many rows have is no hot key, and one shuffle of the texts serves all three passes.
 1. A bucket hashes all its rolling windows at once, keeps one record per distinct hash, and sends the records, packed, to
    partitions by hash. There, hashes of two or more places, one of them a block, are hits, and go back to their buckets.
 2. A bucket extends its hits to whole windows, keeps the earliest of each, and sends these to partitions by hash; all but the
    earliest overall are marked.
 3. A bucket removes the words under marked windows.
 Because a bucket sends each hash once, a passage that a third of all documents share arrives once a bucket, not once a
-document; no pairs are formed. A partition's records are bounded by the number of partitions, which follows the words.
+document; no pairs are formed. A partition's records are bounded by the number of partitions, which follows the words; a
+bucket sends at most a record for each of its hashes, so records grow with the words however many partitions there are.
 
-Order is by id, then, for rows that repeat an id, by text, then by place. Defined results: a null text has no words; a
+Order is by id, then, for rows that repeat an id, by their place in the table as read, then by place in the text. Defined results: a null text has no words; a
 null id ranks before all others; a repeated row is a later copy of the first. Texts of under ``window`` words stay as they
 are. An empty table gives an empty result. Other columns are ignored. Ids must be integers.
 """
@@ -24,6 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from modrisk.llm.shared import is_integral, whole_text
@@ -35,9 +40,7 @@ PART_WORDS = 2_000_000  # probe records of a partition, at most about
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
-_rng = np.random.default_rng(7)
-_BYTE = _rng.integers(0, 2**64, size=256, dtype=np.uint64)
-_BASES = [int(x) | 1 for x in _rng.integers(2**62, 2**63, size=3)]
+_BASES = [int(x) | 1 for x in np.random.default_rng(7).integers(2**62, 2**63, size=2)]
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -73,11 +76,10 @@ class Bucket:
     """The documents of a bucket in order, as one row of words."""
 
     def __init__(self, table: pa.Table):
-        ids, texts = table.column("i").to_numpy(), table.column("text").to_pylist()
-        data = [t.encode("utf-8", "replace") for t in texts]
-        self.order = sorted(range(len(data)), key=lambda r: (ids[r], data[r]))
-        data = [data[r] for r in self.order]
-        self.ids = ids[self.order]
+        ids, ties, texts = table.column("i").to_numpy(), table.column("t").to_numpy(), table.column("text").to_pylist()
+        self.order = np.lexsort((ties, ids)).tolist()
+        data = [texts[r].encode("utf-8", "replace") for r in self.order]
+        self.ids, self.ties = ids[self.order], ties[self.order]
         self.data = b"\n".join(data) + b"\n"
         raw = np.frombuffer(self.data, np.uint8)
         blank = _BLANK[raw]
@@ -87,17 +89,21 @@ class Bucket:
         self.starts, self.ends = edge[0::2], edge[1::2]
         doc_bytes = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])]).astype(np.int64)
         self.first = np.searchsorted(self.starts, doc_bytes)  # first word of each document, and the end
-        self.hashes = _sums(_BYTE[raw], _BASES[0], self.starts, self.ends)
+        # A word is known by 128 bits of a good hash, made once for each distinct word.
+        known: dict[bytes, int] = {}
+        number = np.array([known.setdefault(w, len(known)) for w in self.data.split()], np.int64)
+        digests = np.frombuffer(b"".join([bytes(16), *map(xxhash.xxh3_128_digest, known)]), np.uint64).reshape(-1, 2)
+        self.hashes = np.ascontiguousarray(digests[number + 1].T)
         self.doc = np.repeat(np.arange(len(data)), np.diff(self.first))  # of each word
 
     def places(self, n: int, least: int) -> np.ndarray:
         """Where windows of n words start, in documents of ``least`` words or more."""
-        at = np.arange(len(self.hashes))
+        at = np.arange(len(self.starts))
         stop = self.first[1:][self.doc]
         return at[(at + n <= stop) & ((stop - self.first[:-1][self.doc]) >= least)]
 
     def windows(self, at: np.ndarray, n: int, which: int) -> np.ndarray:
-        return _sums(self.hashes, _BASES[which], at, at + n)
+        return _sums(self.hashes[which], _BASES[which], at, at + n)
 
 
 def _planes(values: np.ndarray) -> bytes:
@@ -132,7 +138,7 @@ def _runs(ranked: np.ndarray) -> np.ndarray:
 
 _PROBES = "part int, b long, h binary, p binary, f binary"
 _MARKS = "b long, p binary"
-_EXTENDED = "part int, b long, lo binary, hi binary, p binary, i binary, n binary"
+_EXTENDED = "part int, b long, lo binary, hi binary, p binary, i binary, t binary, n binary"
 
 
 def _probes(parts: int, window: int, block: int):
@@ -141,7 +147,7 @@ def _probes(parts: int, window: int, block: int):
         at = bucket.places(block, window)
         rows = {name: [] for name in ("part", "b", "h", "p", "f")}
         if len(at):
-            h = bucket.windows(at, block, 1)
+            h = bucket.windows(at, block, 0)
             anchor = (at - bucket.first[:-1][bucket.doc[at]]) % block == 0
             order = np.argsort(h, kind="stable")
             run_at = _runs(h[order])
@@ -193,20 +199,20 @@ def _hits(key, probes):
 
 def _extended(parts: int, window: int, block: int):
     def run(key, docs, hits):
-        rows = {name: [] for name in ("part", "b", "lo", "hi", "p", "i", "n")}
+        rows = {name: [] for name in ("part", "b", "lo", "hi", "p", "i", "t", "n")}
         if docs.num_rows and hits.num_rows:
             bucket, b = Bucket(docs), key[0].as_py()
             at = bucket.places(block, window)
-            h = bucket.windows(at, block, 1)
+            h = bucket.windows(at, block, 0)
             known = np.concatenate([_back(x) for x in hits.column("p").to_pylist()])
             # A hash was sent once; all its places in the bucket are hits.
             hit = np.isin(h, np.unique(h[np.searchsorted(at, known)]))
-            near = np.zeros(len(bucket.hashes) + 1, np.int64)
+            near = np.zeros(len(bucket.starts) + 1, np.int64)
             near[at[hit]] = 1
             near = np.concatenate([[0], np.cumsum(near)])
             starts = bucket.places(window, window)
             starts = starts[near[starts + window - block + 1] > near[starts]]
-            lo, hi = bucket.windows(starts, window, 1), bucket.windows(starts, window, 2).astype(np.uint64)
+            lo, hi = bucket.windows(starts, window, 0), bucket.windows(starts, window, 1)
             order = np.lexsort((hi, lo))  # stable: the first of equal windows is the earliest
             l2, h2 = lo[order], hi[order]
             new = np.concatenate([[True], (l2[1:] != l2[:-1]) | (h2[1:] != h2[:-1])]) if len(order) else np.zeros(0, bool)
@@ -221,20 +227,23 @@ def _extended(parts: int, window: int, block: int):
                 rows["hi"].append(hi[some].astype(np.uint32).tobytes())
                 rows["p"].append(_steps(starts[some]))
                 rows["i"].append(_planes(bucket.ids[own].astype(np.int64)))
+                rows["t"].append(_planes(bucket.ties[own].astype(np.int64)))
                 rows["n"].append(_planes(counts.astype(np.uint32)))
-        return pa.table(rows, schema=pa.schema([("part", pa.int32()), ("b", pa.int64()), *[(c, pa.binary()) for c in ("lo", "hi", "p", "i", "n")]]))
+        return pa.table(rows, schema=pa.schema([("part", pa.int32()), ("b", pa.int64()), *[(c, pa.binary()) for c in ("lo", "hi", "p", "i", "t", "n")]]))
 
     return run
 
 
 def _later(key, extended):
-    """Windows that are not the earliest of their words; one id is in one bucket, so ids alone decide."""
+    """Windows that are not the earliest of their words."""
     col = {n: extended.column(n).to_pylist() for n in extended.column_names}
     lo = np.concatenate([np.frombuffer(x, np.uint64) for x in col["lo"]])
     hi = np.concatenate([np.frombuffer(x, np.uint32) for x in col["hi"]])
     places = [_back(x) for x in col["p"]]
-    ids = np.concatenate([np.repeat(_numbers(i, np.int64), _numbers(n, np.uint32)) for i, n in zip(col["i"], col["n"], strict=True)])
-    order = np.lexsort((ids, hi, lo))
+    ids, ties = (
+        np.concatenate([np.repeat(_numbers(i, np.int64), _numbers(n, np.uint32)) for i, n in zip(col[c], col["n"], strict=True)]) for c in "it"
+    )
+    order = np.lexsort((ties, ids, hi, lo))
     same = (lo[order][1:] == lo[order][:-1]) & (hi[order][1:] == hi[order][:-1])
     later = np.zeros(len(lo), bool)
     later[order[1:][same]] = True
@@ -244,9 +253,9 @@ def _later(key, extended):
 def _kept(window: int):
     def run(key, docs, marks):
         bucket = Bucket(docs)
-        n = len(bucket.hashes)
+        n = len(bucket.starts)
         starts = bucket.places(window, window)
-        lo, hi = bucket.windows(starts, window, 1), bucket.windows(starts, window, 2)
+        lo, hi = bucket.windows(starts, window, 0), bucket.windows(starts, window, 1)
         order = np.lexsort((hi, lo))
         again = (lo[order][1:] == lo[order][:-1]) & (hi[order][1:] == hi[order][:-1])
         cover = np.zeros(n + 1, np.int64)
@@ -286,9 +295,8 @@ def without_repeats(
     parts = max(wanted, -(-chars // (4 * part_words)))  # a word and its blank have four characters or more, mostly
     rank = F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63)).cast("long"))
     base = docs.select(
-        F.col(id_col).alias("id"), rank.alias("i"), whole_text(text_col).alias("text"),
-        F.pmod(F.xxhash64(rank), F.lit(buckets)).alias("b"),
-    )
+        F.col(id_col).alias("id"), rank.alias("i"), F.monotonically_increasing_id().alias("t"), whole_text(text_col).alias("text")
+    ).withColumn("b", F.pmod(F.xxhash64("i", "t"), F.lit(buckets)))
     # The same exchange in all three passes: Spark runs it once.
     texts = base.repartition(max(wanted, -(-buckets // 16)), "b")
     probes = texts.groupBy("b").applyInArrow(_probes(parts, window, block), _PROBES)

@@ -11,7 +11,7 @@ from modrisk.llm.queries import op3_substring_dedup
 def slow(docs, window=20):
     """By definition: windows in order, a window is removed if its words were seen before."""
     seen, out = set(), []
-    for i, text in sorted(docs, key=lambda d: (-(2**63) if d[0] is None else d[0], (d[1] or "").encode())):
+    for i, text in sorted(docs, key=lambda d: -(2**63) if d[0] is None else d[0]):  # rows of one id as they stand
         words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
         gone = set()
         for s in range(len(words) - window + 1):
@@ -62,3 +62,23 @@ def test_odd_rows(spark, odd, nothing):
     assert substring_dedup.without_repeats(nothing).count() == 0
     with pytest.raises(ValueError):
         substring_dedup.without_repeats(odd, block=11)
+
+
+def test_words_that_fool_polynomials(spark):
+    """Words of 512 letters a and b in Thue-Morse order, and the same exchanged, are different words."""
+    odd = "".join("ab"[bin(i).count("1") % 2] for i in range(512))
+    even = odd.translate(str.maketrans("ab", "ba"))
+    same = " ".join(f"w{i}" for i in range(19))
+    docs = [(1, f"{same} {odd}"), (2, f"{same} {even}"), (3, f"{even} {same}"), (4, f"{odd} {same}"), (5, f"{same} {odd}")]
+    rows = got(substring_dedup.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert rows == slow(docs)
+    assert [r[2] for r in rows] == [0, 0, 0, 0, 20]
+
+
+def test_rows_of_one_id_are_dealt_to_many_buckets(spark):
+    draw = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(40))
+    docs = [(None if i % 3 else 7, f"{passage} {' '.join(str(draw.random()) for _ in range(30))}") for i in range(90)]
+    docs += docs[:5]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    assert got(substring_dedup.without_repeats(frame, bucket_chars=2000)) == slow(docs)
