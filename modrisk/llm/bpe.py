@@ -1,13 +1,14 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A text is cut into chunks where a rolling hash of the last bytes says so. Such cuts depend on content only, so a passage
-that documents share is cut alike wherever it stands, and a chunk seen before is not encoded again. Each Python worker
-keeps a bounded cache of chunks, and below it one of words, for the chunks that differ in a word or two; nothing is
-shuffled, and a lost executor costs its running tasks.
+that documents share is cut alike wherever it stands. A chunk is encoded as one piece, and a chunk seen before is not
+encoded again: each Python worker keeps a bounded cache of chunks. The tokenizer's own cache of words lies below. Nothing is shuffled, and a
+lost executor costs its running tasks.
 
-Chunk ids are then joined. A join is repaired by encoding the words on both sides of it together: if that agrees with
-what the chunks gave, the join stands; if not, the window grows, until the ids at both ends of the window agree with
-those of the chunks, at the most until both chunks are encoded as one. Joins seen before are cached like chunks.
+Chunk ids are then joined. The words on both sides of a join are encoded together and apart: if both agree with each other and
+with what the chunks gave, the join stands; if not, the window grows, until its first and last words agree with
+the chunks and what lies between replaces theirs, at the most until both chunks are encoded as one. Joins seen before are
+cached like chunks.
 
 Defined results: a null text counts as empty and has no ids and an empty text. Very long texts are held as a whole in one
 task, as they are in Spark. Rows that repeat are returned each; an empty table gives an empty result. Other columns
@@ -18,17 +19,16 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 WINDOW = 16  # bytes the rolling hash sees
-MASK = 63  # one word end in so many is a cut, about
-LONGEST = 2048  # words of a chunk without a cut, as in a text that repeats itself
-CHUNKS = 10_000  # chunks in a cache generation
-WORDS = 400_000  # words in a cache generation
+MASK = 127  # one word end in so many is a cut, about
+LONGEST = 16_384  # bytes of a chunk without a cut, as in a text that repeats itself; it goes on to the next blank
+CHUNKS = 20_000  # chunks in a cache generation
+WORDS = 400_000  # words in the tokenizer's cache
 ROWS_OUT = 256  # rows in a batch that goes back to Spark
 
 _BLANK = np.zeros(256, bool)
@@ -56,9 +56,10 @@ class Cache:
 
 
 def cuts(data: bytes, mask: int = MASK, window: int = WINDOW) -> list[int]:
-    """Places of blanks where a chunk ends: those whose ``window`` bytes before have the wanted hash."""
-    raw = np.frombuffer(data, np.uint8)
-    at = np.flatnonzero(_BLANK[raw])
+    """Places where a word ends and a chunk with it: those whose ``window`` bytes before have the wanted hash."""
+    raw = np.frombuffer(data.rstrip(b" \t\n\r\x0b\x0c"), np.uint8)
+    blank = _BLANK[raw]
+    at = np.flatnonzero(blank[1:] & ~blank[:-1]) + 1
     at = at[at >= window]
     if len(at) == 0:
         return []
@@ -73,96 +74,119 @@ def cuts(data: bytes, mask: int = MASK, window: int = WINDOW) -> list[int]:
     return np.concatenate(found).tolist()
 
 
+def pieces(data: bytes, mask: int = MASK, longest: int = LONGEST) -> list[bytes]:
+    """The chunks of a text; put together they are the text. A chunk starts with the blanks before its first word."""
+    out, start = [], 0
+    for end in [*cuts(data, mask), len(data)]:
+        while end - start > longest:
+            word = data[start + longest : end].split(None, 1)[:1]
+            after = data.find(word[0], start + longest) + len(word[0]) if word else end
+            if after >= end or not data[after:end].strip():
+                break
+            out.append(data[start:after])
+            start = after
+        if end > start:
+            out.append(data[start:end])
+            start = end
+    return out
+
+
+def _tail(chunk: bytes, n: int) -> bytes:
+    """The last n words with the blanks before them; all of it if there are no more."""
+    parts = chunk.rsplit(None, n)
+    return chunk[len(parts[0]) :] if len(parts) > n else chunk
+
+
+def _head(chunk: bytes, n: int) -> bytes:
+    """The first n words with the blanks before them; all of it if there are no more."""
+    parts = chunk.split(None, n)
+    return chunk[: len(chunk) - len(parts[n])].rstrip(b" \t\n\r\x0b\x0c") if len(parts) > n else chunk
+
+
 class Encoder:
-    """Encodes whole texts by chunks; ``load`` gives the tokenizer once a worker."""
+    """Encodes whole texts by chunks."""
 
-    def __init__(self, tokenizer, mask: int = MASK, longest: int = LONGEST, chunks: int = CHUNKS, words: int = WORDS):
+    def __init__(self, tokenizer, mask: int = MASK, longest: int = LONGEST, chunks: int = CHUNKS):
         self.tokenizer, self.mask, self.longest = tokenizer, mask, longest
-        self.chunks, self.words, self.joins = Cache(chunks), Cache(words), Cache(chunks)
-        self.ints = list(range(tokenizer.get_vocab_size(with_added_tokens=True)))  # shared by all cached words
-
-    def plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def of_words(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        get, out, missing = self.words.get, [None] * len(words), []
-        for i, w in enumerate(words):
-            found = out[i] = get(w)
-            if found is None:
-                missing.append(i)
-        if missing:
-            new = list({words[i]: None for i in missing})
-            ints = self.ints
-            encoded = {
-                w: tuple([ints[x] for x in ids])
-                for w, ids in zip(new, self.plain([w.decode("utf-8", "replace") for w in new]), strict=True)
-            }
-            for w, ids in encoded.items():
-                self.words.put(w, ids)
-            for i in missing:
-                out[i] = encoded[words[i]]
-        return out
-
-    def together(self, words: list[bytes]) -> list[int]:
-        return self.plain([b" ".join(words).decode("utf-8", "replace")])[0]
-
-    def joined(self, left: list[bytes], right: list[bytes]) -> tuple[int, int, list[int]]:
-        """(words of the left chunk, words of the right chunk, their ids): what stands at a join in their place."""
-        short = (left[-1], right[0])
-        known = self.joins.get(short)
-        if known is not None:
-            return known
-        n, out = 1, None
-        while out is None:
-            a, b = left[-n:], right[:n]
-            whole = self.together(a + b)
-            first, last = self.of_words(a[:1])[0], self.of_words(b[-1:])[0]
-            apart = list(chain.from_iterable(self.of_words(a + b)))
-            agrees = n > 1 and whole[: len(first)] == list(first) and whole[len(whole) - len(last) :] == list(last)
-            if whole == apart or agrees or n >= max(len(left), len(right)):
-                out = (len(a), len(b), whole)
+        self.chunks, self.joins = Cache(chunks), Cache(chunks)
+
+    def plain(self, texts: list[bytes]) -> list[list[int]]:
+        decoded = [t.decode("utf-8", "replace") for t in texts]
+        return [e.ids for e in self.tokenizer.encode_batch_fast(decoded, add_special_tokens=False)] if texts else []
+
+    def join(self, left: bytes, right: bytes, left_ids: list[int], right_ids: list[int]) -> tuple[int, int, list[int]] | None:
+        """(ids of the left chunk that go, ids of the right chunk that go, what stands in their place); None where the window
+        takes all of the left chunk, so that what stands before it may matter."""
+        n = 2
+        while len(a := _tail(left, n)) < len(left):
+            b = _head(right, n)
+            whole, apart_a, apart_b, first, last = self.plain([a + b, a, b, _head(a, 1), _tail(b, 1)])
+            if left_ids[len(left_ids) - len(apart_a) :] == apart_a and right_ids[: len(apart_b)] == apart_b:
+                ends = whole[: len(first)] == first == apart_a[: len(first)]
+                ends = ends and whole[len(whole) - len(last) :] == last == apart_b[len(apart_b) - len(last) :]
+                if whole == apart_a + apart_b or ends:
+                    return len(apart_a), len(apart_b), whole
             n *= 2
-        if out[0] == out[1] == 1:
-            self.joins.put(short, out)
-        return out
-
-    def chunk(self, data: bytes) -> tuple[list[bytes], np.ndarray]:
-        """(first and last words, ids) of a chunk; encoded only if it is not in the cache."""
-        found = self.chunks.get(data)
-        if found is None:
-            words = data.split()
-            ids = self.of_words(words)
-            found = (words, np.fromiter(chain.from_iterable(ids), np.int32))
-            self.chunks.put(data, (None if len(words) > 256 else words, found[1]))
-        elif found[0] is None:
-            found = (data.split(), found[1])
-        return found
-
-    def encode(self, text: str | None) -> np.ndarray:
-        data = (text or "").encode("utf-8", "replace")
-        parts: list[tuple[list[bytes], np.ndarray]] = []
-        start = 0
-        for end in [*cuts(data, self.mask), len(data)]:
-            piece = data[start:end]
-            start = end
-            words = piece.split()
-            if not words:
-                continue
-            for at in range(0, len(words), self.longest):
-                parts.append(self.chunk(piece if len(words) <= self.longest else b" ".join(words[at : at + self.longest])))
+        return None
+
+    def encode_all(self, texts: list[str | None]) -> list[np.ndarray]:
+        """Ids of each text. New chunks of all texts go to the tokenizer together, then new joins."""
+        cut = [pieces((t or "").encode("utf-8", "replace"), self.mask, self.longest) for t in texts]
+        found: dict[bytes, tuple] = {}
+        for chunk in (c for chunks in cut for c in chunks):
+            if chunk not in found:
+                found[chunk] = self.chunks.get(chunk)
+        new = [c for c, known in found.items() if known is None]
+        for chunk, ids in zip(new, self.plain(new), strict=True):
+            found[chunk] = (np.array(ids, np.int32), _tail(chunk, 1), _head(chunk, 1))
+            self.chunks.put(chunk, found[chunk])
+        stands: dict[tuple[bytes, bytes], tuple | None] = {}
+        for chunks in cut:
+            for left, right in zip(chunks, chunks[1:], strict=False):
+                key = (found[left][1], found[right][2])
+                if key not in stands:
+                    stands[key] = self.joins.get(key)
+        new = [k for k, known in stands.items() if known is None]
+        tried = self.plain([x for a, b in new for x in (a + b, a, b)])
+        for i, key in enumerate(new):
+            whole, a, b = tried[3 * i : 3 * i + 3]
+            stands[key] = (whole == a + b, np.array(a, np.int32), np.array(b, np.int32))
+            self.joins.put(key, stands[key])
+        return [self._joined(chunks, found, stands) for chunks in cut]
+
+    def _joined(self, chunks: list[bytes], found: dict, stands: dict) -> np.ndarray:
         out: list[np.ndarray] = []
-        for i, (words, ids) in enumerate(parts):
-            if i:
-                n_left, n_right, whole = self.joined(parts[i - 1][0], words)
-                left = sum(map(len, self.of_words(parts[i - 1][0][-n_left:])))
-                right = sum(map(len, self.of_words(words[:n_right])))
-                last = out[-1]
-                if left + right != len(whole) or (last[len(last) - left :].tolist() + ids[:right].tolist()) != whole:
-                    out[-1] = last[: max(0, len(last) - left)]
-                    ids = np.concatenate([np.array(whole, np.int32), ids[right:]])
+        done: list[bytes] = []  # what the items of ``out`` encode
+        for chunk in chunks:
+            ids = found[chunk][0]
+            if out:
+                tail = found[done[-1]][1] if done[-1] in found else _tail(done[-1], 1)
+                fits, a, b = stands.get((tail, found[chunk][2])) or (False, None, None)
+                before = out[-1]
+                if not fits or not np.array_equal(before[len(before) - len(a) :], a) or not np.array_equal(ids[: len(b)], b):
+                    self._repaired(out, done, chunk, ids)
+                    continue
             out.append(ids)
+            done.append(chunk)
         return np.concatenate(out) if out else np.zeros(0, np.int32)
 
+    def _repaired(self, out: list[np.ndarray], done: list[bytes], chunk: bytes, ids: np.ndarray) -> None:
+        """Joins a chunk to what stands before it, as far back as it takes; what was looked at is one item from here on."""
+        while True:
+            left, before = done.pop(), out.pop()
+            new = self.join(left, chunk, before.tolist(), ids.tolist())
+            if new is None and done:
+                done[-1] += left
+                out[-1] = np.concatenate([out[-1], before])
+                continue
+            n, m, whole = new or (len(before), len(ids), self.plain([left + chunk])[0])
+            out.append(np.concatenate([before[: len(before) - n], np.array(whole, np.int32), ids[m:]]))
+            done.append(left + chunk)
+            return
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return self.encode_all([text])[0]
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str, mask: int, longest: int, chunks: int, words: int) -> Encoder:
@@ -174,7 +198,9 @@ def _encoder(path: str, mask: int, longest: int, chunks: int, words: int) -> Enc
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return Encoder(tokenizer, mask, longest, chunks, words)
+    if hasattr(tokenizer.model, "_resize_cache"):
+        tokenizer.model._resize_cache(words)
+    return Encoder(tokenizer, mask, longest, chunks)
 
 
 def encoded(
@@ -194,7 +220,7 @@ def encoded(
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(at, ROWS_OUT)
-                ids = [encoder.encode(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
+                ids = encoder.encode_all(batch.column(batch.num_columns - 1).to_pylist())
                 decoded = [encoder.tokenizer.decode(i.tolist(), skip_special_tokens=False) for i in ids]
                 offsets = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids)))

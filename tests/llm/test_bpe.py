@@ -31,7 +31,7 @@ def test_query_like_the_library(spark, sf, documents, plain):
 @pytest.mark.parametrize("mask", [0, 3, 63])
 def test_chunks_and_joins_change_nothing(plain, mask):
     """Odd blanks, combining marks, special tokens and long repeats, with small caches and many cuts."""
-    encoder = bpe.Encoder(Tokenizer.from_file(PATH), mask=mask, longest=8, chunks=20, words=30)
+    encoder = bpe.Encoder(Tokenizer.from_file(PATH), mask=mask, longest=40, chunks=20)
     draw = random.Random(mask)
     bits = ["it's", "don't!!", "école", "́x", "a b", "<|endoftext|>", "x<|startoftext|>y", "　", "ΣΑΣ", "İi", "1234",
             "日本語", "👩‍💻", "...", "‍", "the", "The", "straße"]
@@ -43,30 +43,60 @@ def test_chunks_and_joins_change_nothing(plain, mask):
     assert len(encoder.chunks.new) + len(encoder.chunks.old) <= 40
 
 
-def test_join_that_disagrees_is_repaired(plain):
-    """A tokenizer whose words are not independent: joins must then be encoded together."""
+class Gluing:
+    """A tokenizer whose words are not independent: a b after an a is one token with it, and blanks do not count."""
 
-    class Gluing:
-        def get_vocab_size(self, with_added_tokens=True):
-            return 4
+    def get_vocab_size(self, with_added_tokens=True):
+        return 4
 
-        def encode_batch_fast(self, texts, add_special_tokens=False):
-            # a=0, b=1, but "a b" is one token 2, whatever stands around.
-            return [type("E", (), {"ids": self.ids(t)}) for t in texts]
+    def encode_batch_fast(self, texts, add_special_tokens=False):
+        return [type("E", (), {"ids": self.ids(t)}) for t in texts]
 
-        @staticmethod
-        def ids(text):
-            out = []
-            for w in text.split():
-                if w == "b" and out and out[-1] == 0:
-                    out[-1] = 2
-                else:
-                    out.append({"a": 0, "b": 1}.get(w, 3))
-            return out
+    @staticmethod
+    def ids(text):
+        out = []
+        for w in text.split():
+            if w == "b" and out and out[-1] == 0:
+                out[-1] = 2
+            else:
+                out.append({"a": 0, "b": 1}.get(w, 3))
+        return out
 
-    encoder = bpe.Encoder(Gluing())
-    left, right = [b"c", b"a"], [b"b", b"c"]
-    assert encoder.joined(left, right)[2] == [3, 2, 3]
+
+@pytest.mark.parametrize("mask", [0, 1, 63])
+def test_joins_that_disagree_are_repaired(mask):
+    encoder = bpe.Encoder(Gluing(), mask=mask, longest=20, chunks=10)
+    assert encoder.encode("c a b c").tolist() == [3, 2, 3]
+    draw = random.Random(mask)
+    for _ in range(300):
+        text = " ".join(draw.choice(["a", "b", "c", "ddd", "something"]) for _ in range(draw.randrange(80)))
+        assert encoder.encode(text).tolist() == Gluing.ids(text)
+
+
+@pytest.mark.parametrize("mask", [0, 3, 63])
+def test_byte_level_words_with_their_blanks(mask):
+    """A tokenizer whose words hold the blank before them, and whose runs of blanks hang together."""
+    from tokenizers import models, pre_tokenizers
+
+    alphabet = pre_tokenizers.ByteLevel.alphabet()
+    vocab = {c: i for i, c in enumerate(sorted(alphabet))}
+    merges = [("Ġ", "t"), ("Ġt", "h"), ("Ġth", "e"), ("Ġ", "Ġ"), ("ĠĠ", "ĠĠ"), ("a", "n"), ("an", "d"), ("Ċ", "Ċ")]
+    for a, b in merges:
+        vocab.setdefault(a + b, len(vocab))
+    t = Tokenizer(models.BPE(vocab=vocab, merges=merges))
+    t.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    encoder = bpe.Encoder(t, mask=mask, longest=40, chunks=20)
+    draw = random.Random(mask)
+    for _ in range(200):
+        text = "".join(draw.choice(["the", "and", "then", "é", "日本", "x1"]) + draw.choice([" ", "  ", "    ", "\n", "\n\n", ""]) for _ in range(60))
+        assert encoder.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_are_the_text():
+    text = ("word " * 9000 + "x" * 40_000 + " end").encode()
+    assert b"".join(bpe.pieces(text)) == text
+    assert max(len(p) for p in bpe.pieces(b"word " * 9000)) < bpe.LONGEST + 10
+    assert bpe.pieces(b"") == []
 
 
 def test_odd_rows(spark, odd, nothing, plain):
