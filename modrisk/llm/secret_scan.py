@@ -20,7 +20,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from modrisk.llm.shared import whole_text, work_folder, written
 
@@ -51,24 +51,28 @@ RULES = [
 _PAIR = {"blob": "string", "kind": "string", "version": "int"}
 
 
-def spans(text: Column, rule: SecretRule) -> Column:
-    """Array of (s, e) of the matches that do not fail; null if there is none to look at."""
+def pieces(text: Column, rule: SecretRule) -> Column:
+    """Array of (gap, size, good), one for each match: the characters since the match before, its own, and whether it does not
+    fail; null if there is none. All three lists are made once and zipped, so a text costs its length and its matches."""
     pattern = F.lit(rule.pattern)
-    whole = F.regexp_extract_all(text, pattern, F.lit(0))
-    part = F.regexp_extract_all(text, pattern, F.lit(rule.group))
-    pieces = F.split(text, rule.pattern, -1)
-    rows = F.transform(
-        whole, lambda m, i: F.struct(F.length(F.get(pieces, i)).alias("gap"), F.length(m).alias("size"), F.length(F.get(part, i)).alias("tested"))
+    zipped = F.arrays_zip(
+        F.split(text, rule.pattern, -1).alias("between"), F.regexp_extract_all(text, pattern, F.lit(0)).alias("whole"),
+        F.regexp_extract_all(text, pattern, F.lit(rule.group)).alias("part"),
     )
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<s:int,e:int>>").alias("out"))
+    rows = F.transform(zipped, lambda z: F.struct(
+        F.length(z["between"]).alias("gap"), F.length(z["whole"]).alias("size"), (F.length(z["part"]) >= rule.least).alias("good")
+    ))
+    # What follows the last match is a piece without a match.
+    return F.when(F.regexp_like(text, pattern), F.filter(rows, lambda r: r["size"].isNotNull()))
 
-    def step(state: Column, row: Column) -> Column:
-        start = state["at"] + row["gap"]
-        end = start + row["size"]
-        added = F.concat(state["out"], F.array(F.struct(start.alias("s"), end.alias("e"))))
-        return F.struct(end.alias("at"), F.when(row["tested"] >= rule.least, added).otherwise(state["out"]).alias("out"))
 
-    return F.when(F.regexp_like(text, pattern), F.aggregate(rows, zero, step, lambda state: state["out"]))
+def placed(found: DataFrame) -> DataFrame:
+    """(blob, kind, version, spans) of rows (blob, kind, version, pieces): starts are running sums over a text's pieces."""
+    rows = found.select("blob", "kind", "version", F.posexplode("pieces").alias("i", "p")).select("blob", "kind", "version", "i", "p.*")
+    upto = Window.partitionBy("blob", "kind", "version").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    ends = rows.withColumn("e", F.sum(F.col("gap") + F.col("size")).over(upto).cast("int")).filter("good")
+    span = F.struct((F.col("e") - F.col("size")).alias("s"), F.col("e"))
+    return ends.groupBy("blob", "kind", "version").agg(F.array_sort(F.collect_list(span)).alias("spans"))
 
 
 def _table(spark: SparkSession, path: str, columns: dict[str, str]) -> DataFrame:
@@ -110,17 +114,17 @@ def scan(docs: DataFrame, ledger: str, rules: list[SecretRule] | None = None, id
     blobs = named.groupBy("blob").agg(F.min("text").alias("text")).join(had, "blob", "left").withColumn("had", F.coalesce("had", F.array().cast("array<string>")))
     todo = F.array(*[F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules])
     columns = [
-        F.when(~F.array_contains("had", r.kind), spans(F.col("text"), r)).alias(f"r{i}") for i, r in enumerate(rules)
+        F.when(~F.array_contains("had", r.kind), pieces(F.col("text"), r)).alias(f"r{i}") for i, r in enumerate(rules)
     ]
     results = F.array(*[
-        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.col(f"r{i}").alias("spans")) for i, r in enumerate(rules)
+        F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version"), F.col(f"r{i}").alias("pieces")) for i, r in enumerate(rules)
     ])
     new = blobs.filter(F.size("had") < len(rules)).select("blob", "had", *columns).select(
         "blob", F.filter(todo, lambda t: ~F.array_contains("had", t["kind"])).alias("ran"),
-        F.filter(results, lambda r: F.coalesce(F.size(r["spans"]), F.lit(0)) > 0).alias("found"),
+        F.filter(results, lambda r: F.coalesce(F.size(r["pieces"]), F.lit(0)) > 0).alias("found"),
     )
     new = written(new, f"{work_folder(spark, 'scan')}/new")
-    new.select("blob", F.explode("found").alias("f")).select("blob", "f.*").write.mode("append").parquet(f"{ledger}/found")
+    placed(new.select("blob", F.explode("found").alias("f")).select("blob", "f.*")).write.mode("append").parquet(f"{ledger}/found")
     new.select("blob", F.explode("ran").alias("t")).select("blob", "t.*").write.mode("append").parquet(f"{ledger}/seen")
     order = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.kind), F.lit(i))])
     hits = (

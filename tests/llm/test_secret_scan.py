@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 
@@ -68,3 +69,14 @@ def test_odd_rows(spark, odd, nothing):
     assert s.scan(nothing, work_folder(spark, "ledger")).count() == 0
     with pytest.raises(TypeError):
         s.scan(odd)
+
+
+def test_texts_with_very_many_matches(spark):
+    """A dump of 40,000 credentials is one text like any other: time follows its length."""
+    dump = "\n".join(f"token=abcdef{i} AKIA{'Q' * 16}{i}" for i in range(20_000))
+    frame = spark.createDataFrame([(1, dump), (2, "token=abcdefg")], "doc_id long, text string")
+    began = time.time()
+    got = {r["doc_id"]: r for r in s.summary(s.scan(frame, work_folder(spark, "ledger"))).collect()}
+    assert time.time() - began < 60
+    assert (got[1]["n_assign"], got[1]["n_access"], got[2]["n_assign"]) == (20_000, 20_000, 1)
+    assert got[1]["spans"] == ",".join(slow(dump))
