@@ -14,7 +14,8 @@ lost or repeated leave no partial shard.
 
 Defined results: a null text counts as empty; an empty text gives its end mark only. Rows that repeat are written each. An
 empty table gives no sequence and no shard. Other columns are ignored. The order of sequences before the permutation is
-that of the token table; with the same table and key, shards come out the same to the byte.
+that of the token table; with the same table and key, shards come out the same to the byte. A folder that has shards is
+refused.
 """
 
 from __future__ import annotations
@@ -28,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from modrisk.llm.bpe import Cache
@@ -202,6 +204,15 @@ def placed(
     )
 
 
+def _holds_shards(spark: SparkSession, folder: str) -> bool:
+    try:
+        return not spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder).select("path").isEmpty()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+
+
 def write_shards(
     tokens: DataFrame, folder: str, key: int = KEY, per_shard: int = PER_SHARD, length: int = LENGTH, rounds: int = PASSES
 ) -> DataFrame:
@@ -209,6 +220,8 @@ def write_shards(
 
     Shards are written in ``rounds`` ranges one after the other, so that only one range's sequences lie in shuffle files at a time.
     """
+    if _holds_shards(tokens.sparkSession, folder):
+        raise FileExistsError(f"{folder} has shards already")
     shards = -(-tokens.count() // per_shard)
     for r in range(rounds):
         low, high = shards * r // rounds, shards * (r + 1) // rounds
@@ -216,7 +229,8 @@ def write_shards(
             continue
         sequences = placed(tokens, key, per_shard, length, (low, high))
         records = sequences.select("shard", "slot", F.col("record").cast("string").alias("value"))
-        dealt = records.repartition(high - low, "shard").sortWithinPartitions("shard", "slot").drop("slot")
+        # Each shard is a range of slots and a partition of its own: nothing is sampled, no two shards share a task.
+        dealt = records.repartitionById(high - low, (F.col("shard") - low).cast("int")).sortWithinPartitions("shard", "slot").drop("slot")
         with freed_shuffles(tokens.sparkSession):
             dealt.write.mode("append").partitionBy("shard").option("lineSep", "\n").option("compression", "none").text(folder)
     return placed(tokens, key, per_shard, length).withColumn("record_sha256", F.sha2("record", 256)).drop("record")

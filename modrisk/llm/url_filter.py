@@ -106,11 +106,16 @@ def filed(rules: list[PatternRule], counts: dict[str, int]) -> tuple[dict[str, l
     return index, always
 
 
+def _compiled(pattern: str) -> re.Pattern:
+    """Digits and words are ASCII, and $ is the very end, also where a line feed comes last."""
+    return re.compile(re.sub(r"(\\.|\[[^\]]*\])|\$", lambda m: m[1] or r"\Z", pattern), re.ASCII)
+
+
 def _matched(rules: list[PatternRule], index: dict[str, list[int]], always: list[int]):
     low = str.maketrans(UPPER, LOWER)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        compiled = [re.compile(r.pattern) for r in rules]
+        compiled = [_compiled(r.pattern) for r in rules]
         for batch in batches:
             found: list[str | None] = []
             ruled = batch.column(batch.schema.names.index("rule")).is_valid().to_pylist()

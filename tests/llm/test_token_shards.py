@@ -1,4 +1,5 @@
 import random
+from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
@@ -36,6 +37,15 @@ def test_round_trip(spark, documents, length, per_shard):
     tokens = t.token_table(some, PATH, PATTERN, length=length)
     folder = work_folder(spark, "shards")
     index = sorted(t.write_shards(tokens, folder, per_shard=per_shard, length=length).collect())
+    with pytest.raises(FileExistsError):
+        t.write_shards(tokens, folder, per_shard=per_shard, length=length)
+    # Slots by brute force: sequences numbered stream by stream, then permuted.
+    numbered = sorted((r["stream"], r["seq"], bytes(r["record"])) for r in tokens.collect())
+    slots = t.permuted(np.arange(len(numbered)), len(numbered)).tolist()
+    want = {slot: sha256(n[2]).hexdigest() for slot, n in zip(slots, numbered, strict=True)}
+    assert {r["slot"]: r["record_sha256"] for r in index} == want
+    files = spark.read.format("binaryFile").load(folder).select("shard").collect()
+    assert sorted(r["shard"] for r in files) == list(range(-(-len(index) // per_shard)))
     assert [r["slot"] for r in index] == list(range(len(index)))
     read = list(t.read_from(spark, folder, 0, per_shard, length))
     assert len(read) == len(index)

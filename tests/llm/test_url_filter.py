@@ -17,7 +17,7 @@ def slow(url, hosts, patterns):
     if best:
         return host, path, best.rule, best.verdict
     low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in url or "")
-    return host, path, None, "block" if any(re.search(p.pattern, low) for p in patterns) else "allow"
+    return host, path, None, "block" if any(re.search(p.pattern.replace("$", r"\Z"), low, re.ASCII) for p in patterns) else "allow"
 
 
 def urls():
@@ -26,6 +26,7 @@ def urls():
     paths = ["", "/", "/en/", "/en", "/es/1", "/fr/2?x=/en/", "/login", "/a/wp-admin/b", "/de/12.html", "/it/33/", "/cart/checkout", "#/fr/"]
     tails = ["", "?utm_source=feed", "?page=2&ref=x", "?print=1#top", "#frag", "?UTM_SOURCE=FEED"]
     out = [f"{draw.choice(['http', 'https', 'HTTP'])}://{h}{p}{t}" for h in hosts for p in paths for t in tails]
+    out += ["http://a.org/x?page=٣&ref=1", "http://b.example.org/de/1.html\n", "http://a.org/login\n", "http://m.a.org/b/٣"]
     return out + [None, "", "no scheme/en/", "a://b://c/en/", "://net/es/", "x" * 100_000 + "://net/fr/a"] + out[:5]
 
 
