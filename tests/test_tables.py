@@ -145,6 +145,30 @@ def test_nearest_matches_brute_force_with_copies(spark, cell_rows):
     assert got == brute(points, points, 4)
 
 
+def test_nearest_with_crowded_cells_and_nulls(spark):
+    """Fewer pivots than cells are wanted: cells are dealt in chunks. Grid points tie; null vectors take no part."""
+    points = [(i, [float(i % 7), float(i // 7 % 6), float(i // 42 % 2)]) for i in range(300)]
+    frame = spark.createDataFrame([*points, (900, None), (901, None)], "id long, vector array<double>")
+    got: dict = {}
+    for r in neighbours.nearest(frame, frame, 3, cell_rows=16, coarse=4).orderBy("id", "rank").collect():
+        got.setdefault(r["id"], []).append((r["neighbour"], round(r["distance"], 9)))
+    assert got == brute(points, points, 3)
+    assert neighbours.nearest(frame, frame.limit(0), 3).count() == 0
+
+
+@pytest.mark.parametrize("spread", [1e-6, 1.0, 1e6])
+def test_closest_over_fine_cells(spread):
+    draw = np.random.default_rng(1)
+    held = draw.normal(size=(3000, 5)) * spread + 1000
+    asking = np.concatenate([held[:40], draw.normal(size=(40, 5)) * spread + 1000])
+    query, ident, apart = neighbours.closest(asking, held, [np.array([i]) for i in range(3000)], 6, np.full(80, np.inf))
+    exact = np.sqrt(((asking[:, None, :] - held[None, :, :]) ** 2).sum(axis=2))
+    for i in range(80):
+        best = np.lexsort((np.arange(3000), exact[i]))[:6]
+        assert ident[query == i].tolist() == best.tolist()
+        assert apart[query == i].tolist() == exact[i][best].tolist()
+
+
 def test_smote_balances_and_stays_on_segments(spark):
     rng = random.Random(9)
     data = [(i, [rng.random(), rng.random()], int(i < 12)) for i in range(80)]
