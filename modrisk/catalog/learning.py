@@ -210,8 +210,8 @@ query("train_mlp")(_scores_of(models.NETWORK))
 @query("train_all")
 def train_all(spark, sf):
     train, test = split_tables(spark, sf)
-    trainer = models.Trainer(folds=5, settings={models.FOREST: {"trees": 50}})
-    trainer.train_all(train, test, [models.LOGISTIC, models.FOREST])
+    trainer = models.Trainer(folds=5)
+    trainer.train_all(train, test)
     return evaluation.leaderboard(trainer.metrics(spark))
 
 
@@ -222,7 +222,8 @@ def score_documents(spark, sf):
     scaler = models.PopulationScaler(columns=FEATURES).fit(labelled)
     train = models.compacted(models.model_table(scaler.transform(labelled), FEATURES))
     fitted = models.estimator(models.LOGISTIC, train, models.DEFAULTS[models.LOGISTIC]).fit(train)
-    everything = scaler.transform(document_features(spark, sf)).withColumn("LABEL", F.lit(0))
+    # Scoring looks at no label; the model table only wants the column.
+    everything = scaler.transform(document_features(spark, sf)).withColumn("LABEL", F.lit(None).cast("int"))
     return models.new_scores(fitted, models.model_table(everything, FEATURES, keep=["doc_id"]), "doc_id")
 
 
@@ -236,13 +237,13 @@ def cross_validate(spark, sf):
 @query("grid_search")
 def grid_search(spark, sf):
     train, _ = split_tables(spark, sf)
-    return models.search(models.LOGISTIC, train, models.grid_candidates(models.LOGISTIC))[1]
+    return models.search(models.LOGISTIC, train, models.grid_candidates(models.LOGISTIC), parallelism=8)[1]
 
 
 @query("random_search")
 def random_search(spark, sf):
     train, _ = split_tables(spark, sf)
-    return models.search(models.LOGISTIC, train, models.random_candidates(models.LOGISTIC, 5))[1]
+    return models.search(models.LOGISTIC, train, models.random_candidates(models.LOGISTIC), parallelism=8)[1]
 
 
 @query("native_importance")
@@ -256,14 +257,14 @@ def feature_selection(spark, sf):
     rows = metrics(spark, sf).drop("k", "l_orderkey", "l_partkey")
     columns = [c for c in rows.columns if c != "LABEL"]
     return features.union_of_tops(
-        features.mutual_information(rows, columns), features.forest_importance(rows, columns, trees=20), 3
+        features.mutual_information(rows, columns), features.forest_importance(rows, columns)
     )
 
 
 @query("engineered_features")
 def engineered_features(spark, sf):
     rows = metrics(spark, sf).drop("k", "l_orderkey", "l_partkey")
-    return features.FeatureEngineer(keep=4, trees=20).fit(rows).transform(rows)
+    return features.FeatureEngineer().fit(rows).transform(rows)
 
 
 @query("preprocess_report")
@@ -272,23 +273,58 @@ def preprocess_report(spark, sf):
         F.col("chars").alias("v"), F.col("lines").alias("loc"), F.col("commas").alias("branchCount"),
         F.col("capitals").alias("v(g)"), F.col("longest").alias("n"), F.col("LABEL").alias("defects"),
     )
-    steps = Preprocessor(keep=6, trees=20)
+    steps = Preprocessor()
     steps.fit_transform(raw)
     return steps.report
 
 
 @query("permutation_attribution")
 def permutation_attribution(spark, sf):
-    train, test = split_tables(spark, sf)
-    fitted = models.random_forest(trees=20, depth=5).fit(train)
-    rows = labelled_features(spark, sf)
-    base = explain.background(rows, FEATURES, "doc_id", 20)
-    return explain.permutation_attribution(fitted, rows, "doc_id", FEATURES, base, "forest", permutations=4)
+    """Every document under a forest trained on the labelled ones."""
+    train, _ = split_tables(spark, sf)
+    fitted = models.random_forest(trees=50, depth=5).fit(train)
+    base = explain.background(labelled_features(spark, sf), FEATURES, "doc_id", explain.PERMUTATION_BACKGROUND)
+    return explain.permutation_attribution(fitted, document_features(spark, sf), "doc_id", FEATURES, base, "forest")
+
+
+GROUNDS = [[200.0 * i, 3.0 + i, 5.0 * i, 4.0 * (i % 5), 90.0 * i] for i in range(20)]
+ORDERS = explain.permutation_orders(len(FEATURES), 10)
+
+
+def _formula_sql(x: list[str]) -> str:
+    return f"1 / (1 + exp(-(0.0004 * ({x[0]}) - 0.05 * ({x[1]}) + 0.0002 * ({x[2]}) * ({x[3]}) - 0.0003 * ({x[4]}))))"
+
+
+def _formula(x):
+    at = [F.get(x, F.lit(i)) for i in range(len(FEATURES))]
+    z = 0.0004 * at[0] - 0.05 * at[1] + 0.0002 * at[2] * at[3] - 0.0003 * at[4]
+    return 1.0 / (1.0 + F.exp(-z))
+
+
+_SWITCHED = ", ".join(f"CASE WHEN list_position(o.ord, {i}) <= s THEN f.{c} ELSE g.x[{i + 1}] END AS x{i}" for i, c in enumerate(FEATURES))
+_PERMUTED = f"""WITH f AS ({_FEATURES_SQL}),
+o AS (SELECT * FROM (VALUES {', '.join(f'({i}, {o})' for i, o in enumerate(ORDERS))}) t(id, ord)),
+g AS (SELECT * FROM (VALUES {', '.join(f'({i}, {g})' for i, g in enumerate(GROUNDS))}) t(id, x)),
+v AS (SELECT doc_id, o.id AS o, o.ord, g.id AS g, s, {_SWITCHED} FROM f, o, g, range(0, {len(FEATURES) + 1}) r(s)),
+p AS (SELECT doc_id, o, ord, g, s, {_formula_sql([f'x{i}' for i in range(len(FEATURES))])} AS p FROM v),
+d AS (SELECT doc_id, ord[s] AS i, p - lag(p) OVER (PARTITION BY doc_id, o, g ORDER BY s) AS d FROM p),
+c AS (SELECT doc_id, i, avg(d) AS contribution FROM d WHERE d IS NOT NULL GROUP BY doc_id, i)
+SELECT doc_id AS row_id, 'formula' AS model, n.feature, CASE n.i {' '.join(f'WHEN {i} THEN f.{c}' for i, c in enumerate(FEATURES))} END AS value,
+  round(contribution, 8) AS contribution
+FROM c JOIN f USING (doc_id) JOIN (VALUES {', '.join(f"({i}, '{c}')" for i, c in enumerate(FEATURES))}) n(i, feature) USING (i)"""
+
+
+@query("formula_attribution", _PERMUTED)
+def formula_attribution(spark, sf):
+    """Every document under a fixed formula: all variants can be enumerated in SQL."""
+    found = explain.permutation_attribution(
+        models.Formula(_formula), document_features(spark, sf), "doc_id", FEATURES, GROUNDS, "formula", permutations=len(ORDERS)
+    )
+    return rounded(found, ["contribution"], 8)
 
 
 @query("local_surrogate")
 def local_surrogate(spark, sf):
     train, _ = split_tables(spark, sf)
     fitted = models.random_forest(trees=20, depth=5).fit(train)
-    rows = labelled_features(spark, sf)
-    return explain.local_surrogate(fitted, rows, "doc_id", FEATURES, rows)
+    return explain.local_surrogate(fitted, document_features(spark, sf), "doc_id", FEATURES, labelled_features(spark, sf))

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from modrisk.catalog import query
 from modrisk.catalog.views import table
 from modrisk.operators import cleaning, features, neighbours, sampling
+from modrisk.functions import scores
 from modrisk.operators.cleaning import col
+from modrisk.sources import tabular
 
 MEASURES = ["loc", "v(g)", "v", "d", "lOComment", "branchCount"]
 
@@ -367,3 +369,70 @@ def smote(spark, sf):
 )
 def adasyn(spark, sf):
     return _summed(sampling.adasyn(vectors(spark, sf), "vec_id", "vector"))
+
+
+# ---- metric tables as text -------------------------------------------------
+
+_TYPED = ["k", *MEASURES]
+_READ = f"WITH m AS ({_METRICS}) SELECT " + ", ".join(f'"{c}"::DOUBLE AS "{c}"' for c in _TYPED) + ', "LABEL" FROM m'
+
+
+def _as_text(spark, sf, missing):
+    """The metrics as lines of text; ``missing`` gives the text of a missing value."""
+    rows = metrics(spark, sf)
+    cells = [F.coalesce(col(c).cast("string"), missing) for c in _TYPED]
+    label = F.when(F.col("LABEL") == 1, "TRUE").otherwise("no")
+    return rows.select(F.concat_ws(",", *cells, label).alias("value"))
+
+
+@query("arff_rows", _READ)
+def arff_rows(spark, sf):
+    """The metrics rendered as lines of an ARFF file, between comments and declarations, and read again."""
+    attributes = tabular.declared(["@RELATION m", *[f"@attribute {c} numeric" for c in _TYPED], "  @attribute 'LABEL' {TRUE,no}", "@data"])
+    lines = _as_text(spark, sf, F.lit("?"))
+    noise = spark.createDataFrame([("% 1,2,3",), ("",), ("@data",), ("   ",)], "value string")
+    return tabular.arff_rows(lines.unionByName(noise), attributes)
+
+
+@query("csv_rows", _READ)
+def csv_rows(spark, sf):
+    """The metrics rendered as CSV lines with all spellings of a missing value, types found, label normalised."""
+    spelled = F.array(*[F.lit(t) for t in [*tabular.MISSING_TEXTS, "N/A", "NaN", " null "]])
+    lines = _as_text(spark, sf, F.get(spelled, F.pmod(F.col("k"), F.size(spelled)).cast("int")))
+    rows = cleaning.normalise_label(tabular.csv_rows(lines, [*_TYPED, "defects"]))
+    return rows.select(*[col(c).cast("double").alias(c) for c in _TYPED], "LABEL")
+
+
+_HALSTEAD = """WITH c AS (SELECT l_orderkey, l_linenumber, l_linenumber + 3 AS n1, l_suppkey % 9 AS n2, l_quantity::BIGINT AS t1, l_partkey % 40 AS t2,
+  l_linenumber % 4 AS args FROM lineitem),
+h AS (SELECT *, (n1 + n2)::DOUBLE AS vocabulary, (t1 + t2)::DOUBLE AS length, (args + 2) * log2(args + 2) AS potential FROM c),
+v AS (SELECT *, length * log2(vocabulary) AS volume, coalesce(potential / nullif(length, 0), 0) AS level FROM h)
+SELECT l_orderkey, l_linenumber, vocabulary, length, round(volume, 4) AS volume, round(level, 6) AS level,
+  round(coalesce(1 / nullif(level, 0), 0), 4) AS difficulty, round(level * volume, 4) AS intelligence,
+  round(coalesce(volume / nullif(level, 0), 0), 2) AS effort, round(coalesce(volume / nullif(level, 0), 0) / 18, 2) AS time FROM v"""
+
+
+@query("halstead", _HALSTEAD)
+def halstead(spark, sf):
+    """Halstead measures from operator and operand counts."""
+    c = F.col
+    measures = scores.halstead(
+        c("l_linenumber") + 3, c("l_suppkey") % 9, c("l_quantity").cast("long"), c("l_partkey") % 40, c("l_linenumber") % 4
+    )
+    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", *[e.alias(n) for n, e in measures.items()])
+    return rounded(rounded(rounded(rows, ["volume", "difficulty", "intelligence"], 4), ["level"]), ["effort", "time"], 2)
+
+
+@query(
+    "blended_risk",
+    """SELECT l_orderkey, l_linenumber, round(CASE WHEN quiet THEN least(risk, 0.1) ELSE risk END, 6) AS risk FROM (
+    SELECT l_orderkey, l_linenumber, l_linenumber % 3 = 0 AS quiet,
+      CASE WHEN l_linenumber = 1 THEN l_discount * 5 ELSE l_tax * 10 * 0.7 + l_discount * 5 * 0.3 END AS risk FROM lineitem)""",
+)
+def blended_risk(spark, sf):
+    """Model scores mixed with rule scores, the rule alone without a model, quiet files capped."""
+    c = F.col
+    model = F.when(c("l_linenumber") != 1, c("l_tax") * 10)
+    high = (c("l_linenumber") % 3 != 0).cast("int")
+    risk = scores.capped(scores.blended(model, c("l_discount") * 5), high, F.lit(0))
+    return rounded(table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", risk.alias("risk")), ["risk"])

@@ -57,56 +57,72 @@ def permutation_attribution(
 ) -> DataFrame:
     """Shapley attribution of any classifier by feature permutations.
 
-    Each row is expanded to (permutation, step, background) variants, scored by
-    one ``transform``. A variant adds its probability to the feature switched
-    on last and takes it from the one switched on next, so one sum per
-    (row, feature) gives the result; sums combine before the shuffle. The
-    expansion factor is fixed by the arguments, not by the data.
+    Along an order, features are switched from a background value to the row's
+    own, one after the other; a feature is credited with the change of the
+    probability. Orders that have switched the same features share their
+    variants: each (set of features, background row) is scored once a row, the
+    row as it is once, and the background rows once altogether. A variant's
+    probability then counts for the features that led to its set and against
+    those that follow, so plain sums a row give the result; they combine before
+    the shuffle. The number of variants is fixed by the arguments, not by the
+    data. ``model`` is anything with ``transform``, a ``models.Formula`` too.
     """
-    rng, n = random.Random(seed), len(columns)
-    orders: list[list[int]] = []
-    while len(orders) < permutations:
-        order = rng.sample(range(n), n)
-        orders += [order, order[::-1]]
-    orders = orders[:permutations]
+    n = len(columns)
+    orders = permutation_orders(n, permutations, seed)
+    credit: dict[frozenset, list[int]] = {}
+    for order in orders:
+        for step in range(n + 1):
+            counts = credit.setdefault(frozenset(order[:step]), [0] * n)
+            if step:
+                counts[order[step - 1]] += 1
+            if step < n:
+                counts[order[step]] -= 1
+    whole, none = frozenset(range(n)), frozenset()
+    sets = sorted((s for s in credit if s not in (whole, none)), key=lambda s: (len(s), sorted(s)))
 
     def literal(values: list[list], kind: str) -> Column:
         return F.array(*[F.array(*[F.lit(v) for v in row]) for row in values]).cast(f"array<array<{kind}>>")
 
+    def probability(frame: DataFrame, *keep: str) -> DataFrame:
+        return model.transform(frame).select(*keep, F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
+
+    spark = rows.sparkSession
+    grounds = spark.createDataFrame([([float(v) for v in b],) for b in base], "x array<double>")
+    ground = probability(grounds.select(array_to_vector("x").alias("features"))).agg(F.avg("_p")).first()[0]
     x = F.array(*[F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in columns])
-    variants = (
-        rows.select(col(key).alias("row_id"), x.alias("_x"))
-        .select("*", F.explode(literal(orders, "int")).alias("_order"))
-        .select("*", F.explode(F.sequence(F.lit(0), F.lit(n))).alias("_step"))
-        .select("*", F.explode(literal(base, "double")).alias("_base"))
+    own = rows.select(col(key).alias("row_id"), x.alias("_x"))
+    if sets:
+        masks = literal([[int(i in s) for i in range(n)] for s in sets], "int")
+        variants = own.select("*", F.posexplode(masks).alias("_set", "_on")).select("*", F.explode(literal(base, "double")).alias("_base"))
+        mixed = F.transform("_x", lambda v, i: F.when(F.get("_on", i) == 1, v).otherwise(F.get("_base", i)))
+        between = variants.select("row_id", "_x", "_set", F.lit(1.0 / len(base)).alias("_share"), array_to_vector(mixed).alias("features"))
+        full = own.select("row_id", "_x", F.lit(len(sets)).alias("_set"), F.lit(1.0).alias("_share"), array_to_vector("_x").alias("features"))
+        between = between.unionByName(full)
+    else:
+        between = own.select("row_id", "_x", F.lit(0).alias("_set"), F.lit(1.0).alias("_share"), array_to_vector("_x").alias("features"))
+    credits = literal([*[credit[s] for s in sets], credit[whole]], "double")
+    scored = probability(between, "row_id", "_x", "_set", "_share").withColumn("_credit", F.get(credits, F.col("_set")))
+    sums = scored.groupBy("row_id").agg(
+        F.any_value("_x").alias("_x"), *[F.sum(F.get("_credit", F.lit(i)) * F.col("_p") * F.col("_share")).alias(f"_s{i}") for i in range(n)]
     )
-    # Position of feature i in the order is 1-based; it is on when position <= step.
-    mixed = F.transform(
-        F.col("_x"),
-        lambda v, i: F.when(F.array_position("_order", i) <= F.col("_step"), v).otherwise(F.get("_base", i)),
-    )
-    scored = model.transform(
-        variants.select("row_id", "_x", "_order", "_step", array_to_vector(mixed).alias("features"))
-    ).select("row_id", "_x", "_order", "_step", F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
-    last = F.struct(F.get("_order", F.col("_step") - 1).alias("f"), F.col("_p").alias("d"))
-    following = F.struct(F.get("_order", F.col("_step")).alias("f"), (-F.col("_p")).alias("d"))
-    pieces = scored.select(
-        "row_id", "_x",
-        F.explode(
-            F.when(F.col("_step") == 0, F.array(following))
-            .when(F.col("_step") == n, F.array(last))
-            .otherwise(F.array(last, following))
-        ).alias("_e"),
-    )
-    names = F.array(*[F.lit(c) for c in columns])
-    return (
-        pieces.groupBy("row_id", F.col("_e.f").alias("_f"))
-        .agg(
-            (F.sum("_e.d") / F.lit(float(len(orders) * len(base)))).alias("contribution"),
-            F.any_value(F.get("_x", F.col("_e.f"))).alias("value"),
+    parts = [
+        F.struct(
+            F.lit(c).alias("feature"), F.get("_x", F.lit(i)).alias("value"),
+            ((F.col(f"_s{i}") + F.lit(float(credit[none][i] * ground))) / F.lit(float(len(orders)))).alias("contribution"),
         )
-        .select("row_id", F.lit(name).alias("model"), F.get(names, F.col("_f")).alias("feature"), "value", "contribution")
-    )
+        for i, c in enumerate(columns)
+    ]
+    return sums.select("row_id", F.lit(name).alias("model"), F.inline(F.array(*parts)))
+
+
+def permutation_orders(n: int, permutations: int, seed: int = 42) -> list[list[int]]:
+    """Seeded orders of n features, each with its reverse."""
+    rng = random.Random(seed)
+    orders: list[list[int]] = []
+    while len(orders) < permutations:
+        order = rng.sample(range(n), n)
+        orders += [order, order[::-1]]
+    return orders[:permutations]
 
 
 def global_importance(attributions: DataFrame, top: int | None = GLOBAL_TOP) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import math
 import random
 import time
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import keyword_only
@@ -19,7 +20,7 @@ from pyspark.ml.classification import (
 )
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReader
@@ -169,6 +170,17 @@ def estimator(name: str, table: DataFrame, params: dict, seed: int = 42):
     return neural_network(width, _hidden(params), params.get("max_iter", 500), seed)
 
 
+class Formula:
+    """A scorer given as an expression of the feature array; stands where a fitted model stands."""
+
+    def __init__(self, probability: Callable[[Column], Column]):
+        self.probability = probability
+
+    def transform(self, rows: DataFrame) -> DataFrame:
+        p = self.probability(vector_to_array("features"))
+        return rows.withColumn("probability", array_to_vector(F.array(F.lit(1.0) - p, p)))
+
+
 def training_rows(name: str, table: DataFrame) -> DataFrame:
     return balanced_by_copies(table) if name == NETWORK else table
 
@@ -354,8 +366,12 @@ def metrics_frame(spark: SparkSession, trained: list[Trained]) -> DataFrame:
 # ---- persistence ----------------------------------------------------------
 
 
+# How characters of a model name appear in its folder name.
+IN_FOLDER_NAMES = str.maketrans({" ": "_", "(": None, ")": None})
+
+
 def safe_name(name: str) -> str:
-    return name.replace(" ", "_").replace("(", "").replace(")", "")
+    return name.translate(IN_FOLDER_NAMES)
 
 
 def save_model(spark: SparkSession, trained: Trained, directory: str) -> str:

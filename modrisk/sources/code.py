@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from urllib.parse import unquote
 
 import pandas as pd
@@ -14,6 +15,9 @@ from modrisk.operators.languages import (
     LANGUAGES, SKIPPED_FRAGMENTS, SKIPPED_SEGMENTS, in_hidden_directory, is_skipped, only_sources, source_rows,
 )
 
+# Stores whose files are read in parts.
+RANGED_SCHEMES = {"file", "hdfs", "s3", "s3a", "gs"}
+MEMBER_BYTES = 8_000_000
 REPLACEMENT = "�"
 
 
@@ -79,35 +83,120 @@ def read_files(spark: SparkSession, paths: list[str], on_invalid: str = "drop")
     return supported_only(source_rows(text), LIST_FAMILIES)
 
 
-def read_archives(spark: SparkSession, paths: list[str] | str) -> DataFrame:
+def _wanted(name: str) -> bool:
+    parts = name.replace("\\", "/").split("/")
+    base = name.split("/")[-1]
+    return (
+        bool(base)
+        and not base.startswith(".")
+        and base.lower().endswith(tuple(LANGUAGES))
+        and not any(p in SKIPPED_SEGMENTS or any(f in p for f in SKIPPED_FRAGMENTS) for p in parts)
+    )
+
+
+class _Parts(io.RawIOBase):
+    """An Arrow file as Python's own; places before its start are an OSError, as Python's readers expect."""
+
+    def __init__(self, file):
+        self.file, self.end = file, file.size()
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.file.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        at = offset + (0, self.file.tell(), self.end)[whence]
+        if at < 0:
+            raise OSError(f"place {at} of a file")
+        return self.file.seek(at)
+
+    def readinto(self, room) -> int:
+        data = self.file.read(len(room))
+        room[: len(data)] = data
+        return len(data)
+
+    def close(self) -> None:
+        self.file.close()
+        super().close()
+
+
+def _opened(path: str) -> io.BufferedReader:
+    """A file that can be read in parts, wherever an Arrow file system reaches."""
+    from pyarrow import fs
+
+    if path.startswith("file:") or ":" not in path:
+        system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    else:
+        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    return io.BufferedReader(_Parts(system.open_input_file(inner)), 1 << 16)
+
+
+def in_parts(path: str) -> bool:
+    """Whether files of this scheme are read in parts; others are read whole by Spark."""
+    scheme = path.split(":", 1)[0].lower() if ":" in path else "file"
+    return scheme in RANGED_SCHEMES
+
+
+def _listed(batches):
+    """(archive, path, at, packed, method) of the wanted members, from the directory at an archive's end."""
+    for batch in batches:
+        for archive in batch["path"]:
+            with _opened(archive) as file, zipfile.ZipFile(file) as opened:
+                rows = [(archive, m.filename, m.header_offset, m.compress_size, m.compress_type) for m in opened.infolist() if _wanted(m.filename)]
+            for start in range(0, len(rows), 10_000):
+                yield pd.DataFrame(rows[start : start + 10_000], columns=["archive", "path", "at", "packed", "method"])
+
+
+def _unpacked(batches):
+    """(archive, path, content) of listed members; each is read on its own."""
+    for batch in batches:
+        for archive, members in batch.groupby("archive", sort=False):
+            with _opened(archive) as file:
+                for m in members.sort_values("at").itertuples():
+                    file.seek(m.at)
+                    header = file.read(30)
+                    name, extra = int.from_bytes(header[26:28], "little"), int.from_bytes(header[28:30], "little")
+                    file.seek(m.at + 30 + name + extra)
+                    data = file.read(m.packed)
+                    if m.method == zipfile.ZIP_DEFLATED:
+                        data = zlib.decompress(data, -zlib.MAX_WBITS)
+                    elif m.method != zipfile.ZIP_STORED:
+                        with zipfile.ZipFile(file) as opened:
+                            data = opened.read(m.path)
+                    yield pd.DataFrame({"archive": [archive], "path": [m.path], "content": [data.decode("utf-8", errors="replace")]})
+
+
+def _whole(batches):
+    for batch in batches:
+        for archive, content in zip(batch["path"], batch["content"]):
+            with zipfile.ZipFile(io.BytesIO(content)) as opened:
+                for name in filter(_wanted, opened.namelist()):
+                    text = opened.read(name).decode("utf-8", errors="replace")
+                    yield pd.DataFrame({"archive": [archive], "path": [name], "content": [text]})
+
+
+def read_archives(spark: SparkSession, paths: list[str] | str, member_bytes: int = MEMBER_BYTES) -> DataFrame:
     """Source files inside ZIP archives, one row each, with invalid bytes replaced.
 
-    One archive is one task's work: its directory is at its end. Members are
-    filtered by name before they are unpacked and given out one by one.
+    An archive's directory is read by itself, and its members are dealt to tasks by some ``member_bytes`` packed bytes each,
+    so neither a row nor a task holds an archive, and archives may be larger than a row can be. That takes a store that
+    both Spark and Arrow reach (RANGED_SCHEMES); elsewhere an archive is one row, of 2 GB at most, and one task.
     """
-    archives = _binary(spark, [paths] if isinstance(paths, str) else paths, None, True).select("path", "content")
-    segments, fragments, endings = set(SKIPPED_SEGMENTS), list(SKIPPED_FRAGMENTS), tuple(LANGUAGES)
-
-    def wanted(name: str) -> bool:
-        parts = name.replace("\\", "/").split("/")
-        base = name.split("/")[-1]
-        return (
-            bool(base)
-            and not base.startswith(".")
-            and base.lower().endswith(endings)
-            and not any(p in segments or any(f in p for f in fragments) for p in parts)
-        )
-
-    def members(batches):
-        for batch in batches:
-            for archive, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as opened:
-                    for name in filter(wanted, opened.namelist()):
-                        text = opened.read(name).decode("utf-8", errors="replace")
-                        yield pd.DataFrame({"archive": [archive], "path": [name], "content": [text]})
-
-    rows = archives.mapInPandas(members, "archive string, path string, content string")
-    return only_sources(source_rows(rows))
+    whole = _binary(spark, [paths] if isinstance(paths, str) else paths, None, True)
+    found = [paths] if isinstance(paths, str) else paths
+    if not all(in_parts(p) for p in found):
+        rows = whole.select("path", "content").mapInPandas(_whole, "archive string, path string, content string")
+        return only_sources(source_rows(rows))
+    members = whole.select("path").mapInPandas(_listed, "archive string, path string, at long, packed long, method int")
+    # Members that stand together stay together; the place of a part is its hash, not its archive.
+    part = F.floor(F.col("at") / F.lit(member_bytes))
+    dealt = members.withColumn("part", part).repartition("archive", "part").drop("part")
+    return only_sources(source_rows(dealt.mapInPandas(_unpacked, "archive string, path string, content string")))
 
 
 def from_rows(rows: DataFrame, path: str = "path", content: str = "content") -> DataFrame:

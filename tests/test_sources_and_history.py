@@ -89,6 +89,50 @@ def test_archive(spark, tmp_path):
     assert rows["p/b.GO"]["lang"] == "Go" and rows["q/a.py"]["content"] == "�"
 
 
+def test_large_archive_is_read_in_parts(spark, tmp_path):
+    """3 GB of nothing (a sparse file) before 300 members: neither a row nor a task could hold it whole."""
+    path = tmp_path / "large one.zip"
+    with path.open("wb") as f:
+        f.truncate(3 * 2**30)
+    with zipfile.ZipFile(path, "a") as z:
+        for i in range(300):
+            kind = [zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2][i % 3]
+            z.writestr(f"d{i % 7}/m{i}.py", f"x = {i}\n" * (i % 50), compress_type=kind)
+        z.writestr("d/readme.md", "no")
+    (tmp_path / "empty.zip").write_bytes(b"PK\x05\x06" + bytes(18))
+    rows = code.read_archives(spark, str(tmp_path), member_bytes=500)
+    got = {r["path"]: r["content"] for r in rows.select("path", "content").collect()}
+    assert got == {f"d{i % 7}/m{i}.py": f"x = {i}\n" * (i % 50) for i in range(300)}
+    assert rows.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_archive_in_a_store_that_only_spark_reads(spark, tmp_path):
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("p/a.py", "x")
+    assert not code.in_parts("viewfs://store/a.zip") and code.in_parts("file:/a.zip") and code.in_parts("/a.zip")
+    rows = code._binary(spark, [str(tmp_path)], None, True).select("path", "content")
+    whole = rows.mapInPandas(code._whole, "archive string, path string, content string").collect()
+    assert [(r["path"], r["content"]) for r in whole] == [("p/a.py", "x")]
+
+
+def test_csv_types_and_missing_texts(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,c,d,defects\n1,1.5,x,N/A,yes\nNA, ?,null,nan,no\n#N/A,-2e3,y z,,TRUE\n")
+    rows = tabular.read_metrics(spark, str(tmp_path / "a.csv"))
+    assert rows.dtypes == [("a", "bigint"), ("b", "double"), ("c", "string"), ("d", "double"), ("LABEL", "int")]
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(
+        [(1, 1.5, "x", None, 1), (None, None, None, None, 0), (None, -2000.0, "y z", None, 1)], key=str
+    )
+    (tmp_path / "b.csv").write_text("a,b\n")
+    assert tabular.read_csv(spark, str(tmp_path / "b.csv")).count() == 0
+
+
+def test_arff_header_only(spark, tmp_path):
+    many = "\n".join(["% comment"] * 700 + [f"@attribute a{i} numeric" for i in range(3)] + ["@DATA", "1,2,3", "@attribute late numeric", "4,5,?"])
+    (tmp_path / "m.arff").write_text(many)
+    rows = tabular.read_arff(spark, str(tmp_path / "m.arff"))
+    assert rows.columns == ["a0", "a1", "a2"] and rows.count() == 2
+
+
 def test_paths_and_languages(spark):
     names = ["a/venv/x.py", "a\\build\\x.py", "a/pip-20/x.py", "a/environment/x.py", "setuptools_x/y.py", "ok/x.py"]
     rows = spark.createDataFrame([(n,) for n in names], "path string")
