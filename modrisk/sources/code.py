@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import io
+import math
 import zipfile
 import zlib
 from urllib.parse import unquote
@@ -10,6 +11,7 @@ from urllib.parse import unquote
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from modrisk.session import checkpoint_dir
 from modrisk.operators.code_metrics import LIST_FAMILIES, TREE_FAMILIES, supported_only
 from modrisk.operators.languages import (
     LANGUAGES, SKIPPED_FRAGMENTS, SKIPPED_SEGMENTS, in_hidden_directory, is_skipped, only_sources, source_rows,
@@ -192,10 +194,13 @@ def read_archives(spark: SparkSession, paths: list[str] | str, member_bytes: int
     if not all(in_parts(p) for p in found):
         rows = whole.select("path", "content").mapInPandas(_whole, "archive string, path string, content string")
         return only_sources(source_rows(rows))
-    members = whole.select("path").mapInPandas(_listed, "archive string, path string, at long, packed long, method int")
-    # Members that stand together stay together; the place of a part is its hash, not its archive.
+    checkpoint_dir(spark)
+    members = whole.select("path").mapInPandas(_listed, "archive string, path string, at long, packed long, method int").checkpoint()
+    # A given number of tasks: rows are names here, and their size says nothing of the work. Members that stand together
+    # stay together.
+    tasks = math.ceil((members.agg(F.sum("packed")).first()[0] or 1) / member_bytes)
     part = F.floor(F.col("at") / F.lit(member_bytes))
-    dealt = members.withColumn("part", part).repartition("archive", "part").drop("part")
+    dealt = members.withColumn("part", part).repartition(max(1, tasks), "archive", "part").drop("part")
     return only_sources(source_rows(dealt.mapInPandas(_unpacked, "archive string, path string, content string")))
 
 
