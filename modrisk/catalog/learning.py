@@ -257,7 +257,7 @@ def feature_selection(spark, sf):
     rows = metrics(spark, sf).drop("k", "l_orderkey", "l_partkey")
     columns = [c for c in rows.columns if c != "LABEL"]
     return features.union_of_tops(
-        features.mutual_information(rows, columns), features.forest_importance(rows, columns)
+        features.mutual_information(rows, columns), features.forest_importance(rows, columns), 10
     )
 
 

@@ -10,8 +10,9 @@ import random
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from multiprocessing.pool import ThreadPool
 
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     LogisticRegression,
@@ -194,14 +195,20 @@ def scored_rows(model, table: DataFrame, name: str, *keep: str) -> DataFrame:
     )
 
 
-def cross_validated(name: str, table: DataFrame, params: dict, folds: int = 5, fold: str = "fold", seed: int = 42) -> DataFrame:
-    """Scores per fold; models are fitted one after another, all folds are evaluated in one pass."""
-    parts = None
-    for f in range(folds):
+def cross_validated(
+    name: str, table: DataFrame, params: dict, folds: int = 5, fold: str = "fold", seed: int = 42, parallelism: int = 5
+) -> DataFrame:
+    """Scores per fold; models are fitted as concurrent jobs, all folds are evaluated in one pass."""
+    def held_out(f: int) -> DataFrame:
         train = table.filter(F.col(fold) != f)
         fitted = estimator(name, train, params, seed).fit(training_rows(name, train))
-        held_out = scored_rows(fitted, table.filter(F.col(fold) == f), name, fold)
-        parts = held_out if parts is None else parts.unionByName(held_out)
+        return scored_rows(fitted, table.filter(F.col(fold) == f), name, fold)
+
+    with ThreadPool(max(1, min(parallelism, folds))) as pool:
+        scored = pool.map(inheritable_thread_target(table.sparkSession)(held_out), range(folds))
+    parts = scored[0]
+    for more in scored[1:]:
+        parts = parts.unionByName(more)
     return evaluation.evaluate(parts.withColumn("unit", F.concat("model", F.lit("#"), fold)), "unit").select(
         F.lit(name).alias("model"), F.substring_index("unit", "#", -1).cast("int").alias("fold"),
         "roc_auc", "f1", "recall", "accuracy", "precision", "avg_precision",
