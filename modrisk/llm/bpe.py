@@ -1,9 +1,12 @@
 """BPE encoding and decoding with content-defined chunk reuse.
 
 A text is cut into chunks where a rolling hash of the last bytes says so. Such cuts depend on content only, so a passage
-that documents share is cut alike wherever it stands. A chunk is encoded as one piece, and a chunk seen before is not
-encoded again: each Python worker keeps a bounded cache of chunks. The tokenizer's own cache of words lies below. Nothing is shuffled, and a
-lost executor costs its running tasks.
+that documents share is cut alike wherever it stands, and a chunk seen before is not encoded again: each Python worker
+keeps a bounded cache of chunks. Nothing is shuffled, and a lost executor costs its running tasks.
+
+A new chunk is encoded as one piece. Where the caller says that a tokenizer's words stand apart (no token and no rule
+reaches over a blank, as with those that drop blanks first), a new chunk is put together from its words, which are cached
+too; every ``TRIED``-th such chunk is also encoded as one, and a difference is an error.
 
 Chunk ids are then joined. The words on both sides of a join are encoded together and apart: if both agree with each other and
 with what the chunks gave, the join stands; if not, the window grows, until its first and last words agree with
@@ -17,8 +20,10 @@ pass through with ``carry``.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +33,9 @@ WINDOW = 16  # bytes the rolling hash sees
 MASK = 127  # one word end in so many is a cut, about
 LONGEST = 16_384  # bytes of a chunk without a cut, as in a text that repeats itself; it goes on to the next blank
 CHUNKS = 20_000  # chunks in a cache generation
-WORDS = 400_000  # words in the tokenizer's cache
+WORDS = 400_000  # words in a cache generation
+TRIED = 64
+AT_ONCE = 512  # strings of a call of the tokenizer
 ROWS_OUT = 256  # rows in a batch that goes back to Spark
 
 _BLANK = np.zeros(256, bool)
@@ -39,7 +46,7 @@ class Cache:
     """At most 2 * size entries: when one generation is full, the one before it goes."""
 
     def __init__(self, size: int):
-        self.size, self.new, self.old = size, {}, {}
+        self.size, self.least, self.new, self.old = size, 0, {}, {}
 
     def get(self, key):
         found = self.new.get(key)
@@ -49,8 +56,15 @@ class Cache:
                 self.put(key, found)
         return found
 
+    def with_room(self, n: int) -> dict:
+        """The newer generation, after making room for n entries that stay together in it."""
+        if len(self.new) + n > self.size:
+            self.old, self.new = self.new, {}
+        self.least = n  # however small the size, these stay together
+        return self.new
+
     def put(self, key, value) -> None:
-        if len(self.new) >= self.size:
+        if len(self.new) >= max(self.size, self.least):
             self.old, self.new = self.new, {}
         self.new[key] = value
 
@@ -106,13 +120,36 @@ def _head(chunk: bytes, n: int) -> bytes:
 class Encoder:
     """Encodes whole texts by chunks."""
 
-    def __init__(self, tokenizer, mask: int = MASK, longest: int = LONGEST, chunks: int = CHUNKS):
-        self.tokenizer, self.mask, self.longest = tokenizer, mask, longest
-        self.chunks, self.joins = Cache(chunks), Cache(chunks)
+    def __init__(
+        self, tokenizer, mask: int = MASK, longest: int = LONGEST, chunks: int = CHUNKS, apart: bool = False, words: int = WORDS
+    ):
+        self.tokenizer, self.mask, self.longest, self.apart = tokenizer, mask, longest, apart
+        self.chunks, self.joins, self.words = Cache(chunks), Cache(chunks), Cache(words)
+        self.made = 0
 
     def plain(self, texts: list[bytes]) -> list[list[int]]:
-        decoded = [t.decode("utf-8", "replace") for t in texts]
-        return [e.ids for e in self.tokenizer.encode_batch_fast(decoded, add_special_tokens=False)] if texts else []
+        out: list[list[int]] = []
+        for at in range(0, len(texts), AT_ONCE):
+            some = [t.decode("utf-8", "replace") for t in texts[at : at + AT_ONCE]]
+            out += [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+        return out
+
+    def new_chunks(self, chunks: list[bytes]) -> Iterator[np.ndarray]:
+        if not self.apart:
+            yield from (np.array(ids, np.int32) for ids in self.plain(chunks))
+            return
+        for at in range(0, len(chunks), AT_ONCE):
+            some = [c.split() for c in chunks[at : at + AT_ONCE]]
+            wanted = set(chain.from_iterable(some))
+            known = self.words.with_room(len(wanted))
+            missing = [w for w in wanted - known.keys() if self.words.get(w) is None]
+            known.update((w, array("i", ids).tobytes()) for w, ids in zip(missing, self.plain(missing), strict=True))
+            for chunk, words in zip(chunks[at : at + AT_ONCE], some, strict=True):
+                ids = np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)
+                self.made += 1
+                if self.made % TRIED == 1 and ids.tolist() != self.plain([chunk])[0]:
+                    raise ValueError("this tokenizer's words do not stand apart")
+                yield ids
 
     def join(self, left: bytes, right: bytes, left_ids: list[int], right_ids: list[int]) -> tuple[int, int, list[int]] | None:
         """(ids of the left chunk that go, ids of the right chunk that go, what stands in their place); None where the window
@@ -137,8 +174,8 @@ class Encoder:
             if chunk not in found:
                 found[chunk] = self.chunks.get(chunk)
         new = [c for c, known in found.items() if known is None]
-        for chunk, ids in zip(new, self.plain(new), strict=True):
-            found[chunk] = (np.array(ids, np.int32), _tail(chunk, 1), _head(chunk, 1))
+        for chunk, ids in zip(new, self.new_chunks(new), strict=True):
+            found[chunk] = (ids, _tail(chunk, 1), _head(chunk, 1))
             self.chunks.put(chunk, found[chunk])
         stands: dict[tuple[bytes, bytes], tuple | None] = {}
         for chunks in cut:
@@ -189,7 +226,7 @@ class Encoder:
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str, mask: int, longest: int, chunks: int, words: int) -> Encoder:
+def _encoder(path: str, mask: int, longest: int, chunks: int, apart: bool, words: int) -> Encoder:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -198,25 +235,23 @@ def _encoder(path: str, mask: int, longest: int, chunks: int, words: int) -> Enc
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    if hasattr(tokenizer.model, "_resize_cache"):
-        tokenizer.model._resize_cache(words)
-    return Encoder(tokenizer, mask, longest, chunks)
+    return Encoder(tokenizer, mask, longest, chunks, apart, words)
 
 
 def encoded(
     docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", carry: list[str] | None = None,
-    mask: int = MASK, longest: int = LONGEST, chunks: int = CHUNKS, words: int = WORDS,
+    mask: int = MASK, longest: int = LONGEST, chunks: int = CHUNKS, apart: bool = False, words: int = WORDS,
 ) -> DataFrame:
     """One row per input row: id, carried columns, ids (array of int), decoded (the ids as text again).
 
-    ``path`` is the tokenizer file; every executor must find it there.
+    ``path`` is the tokenizer file; every executor must find it there. ``apart`` says that its words stand apart.
     """
     extra = [c for c in carry or [] if c != id_col]
     frame = docs.select(F.col(id_col), *[F.col(c) for c in extra], F.col(text_col).cast("string").alias("_text"))
     schema = ", ".join(f"`{n}` {t}" for n, t in frame.drop("_text").dtypes) + ", ids array<int>, decoded string"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, mask, longest, chunks, words)
+        encoder = _encoder(path, mask, longest, chunks, apart, words)
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(at, ROWS_OUT)

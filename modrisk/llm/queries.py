@@ -41,7 +41,7 @@ def tokenizer(name: str) -> str:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json")))
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"), apart=True))
 
 
 def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

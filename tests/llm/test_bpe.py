@@ -28,10 +28,11 @@ def test_query_like_the_library(spark, sf, documents, plain):
     assert got == want
 
 
+@pytest.mark.parametrize("apart", [False, True])
 @pytest.mark.parametrize("mask", [0, 3, 63])
-def test_chunks_and_joins_change_nothing(plain, mask):
+def test_chunks_and_joins_change_nothing(plain, mask, apart):
     """Odd blanks, combining marks, special tokens and long repeats, with small caches and many cuts."""
-    encoder = bpe.Encoder(Tokenizer.from_file(PATH), mask=mask, longest=40, chunks=20)
+    encoder = bpe.Encoder(Tokenizer.from_file(PATH), mask=mask, longest=40, chunks=20, apart=apart, words=30)
     draw = random.Random(mask)
     bits = ["it's", "don't!!", "école", "́x", "a b", "<|endoftext|>", "x<|startoftext|>y", "　", "ΣΑΣ", "İi", "1234",
             "日本語", "👩‍💻", "...", "‍", "the", "The", "straße"]
@@ -92,6 +93,12 @@ def test_byte_level_words_with_their_blanks(mask):
         assert encoder.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_words_that_do_not_stand_apart_are_an_error():
+    encoder = bpe.Encoder(Gluing(), apart=True)
+    with pytest.raises(ValueError):
+        encoder.encode("c a b c")
+
+
 def test_pieces_are_the_text():
     text = ("word " * 9000 + "x" * 40_000 + " end").encode()
     assert b"".join(bpe.pieces(text)) == text
