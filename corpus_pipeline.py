@@ -40,7 +40,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding of every document, each as often as the mix has it."""
-    return bpe.digests(bpe.encoded(docs.select("doc_id", "text", "source"), tokenizer("word_bpe_49k.json"), carry=["source"]))
+    rows = docs.select("doc_id", "text", "source")
+    return bpe.digests(bpe.encoded(rows, tokenizer("word_bpe_49k.json"), carry=["source"], apart=True))
 
 
 STAGES = [
