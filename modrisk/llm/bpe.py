@@ -46,7 +46,7 @@ class Cache:
     """At most 2 * size entries: when one generation is full, the one before it goes."""
 
     def __init__(self, size: int):
-        self.size, self.least, self.new, self.old = size, 0, {}, {}
+        self.size, self.new, self.old = size, {}, {}
 
     def get(self, key):
         found = self.new.get(key)
@@ -60,11 +60,10 @@ class Cache:
         """The newer generation, after making room for n entries that stay together in it."""
         if len(self.new) + n > self.size:
             self.old, self.new = self.new, {}
-        self.least = n  # however small the size, these stay together
         return self.new
 
     def put(self, key, value) -> None:
-        if len(self.new) >= max(self.size, self.least):
+        if len(self.new) >= self.size:
             self.old, self.new = self.new, {}
         self.new[key] = value
 
@@ -142,7 +141,13 @@ class Encoder:
             some = [c.split() for c in chunks[at : at + AT_ONCE]]
             wanted = set(chain.from_iterable(some))
             known = self.words.with_room(len(wanted))
-            missing = [w for w in wanted - known.keys() if self.words.get(w) is None]
+            missing = []
+            for w in wanted - known.keys():
+                old = self.words.old.get(w)
+                if old is None:
+                    missing.append(w)
+                else:
+                    known[w] = old
             known.update((w, array("i", ids).tobytes()) for w, ids in zip(missing, self.plain(missing), strict=True))
             for chunk, words in zip(chunks[at : at + AT_ONCE], some, strict=True):
                 ids = np.frombuffer(b"".join(map(known.__getitem__, words)), np.int32)

@@ -68,9 +68,9 @@ class Encoder:
             return self.plain(text)
         first, *rest = text.split(" ")
         out = [self.plain(first)] if first else []
-        get, put = self.cache.get, self.cache.put
+        known, get, put = self.cache.new.get, self.cache.get, self.cache.put
         for word in rest:
-            found = get(word)
+            found = known(word) or get(word)  # ids are never empty; most words are in the newer generation
             if found is None:
                 found = self.plain(" " + word)
                 put(word, found)
