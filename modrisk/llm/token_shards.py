@@ -32,7 +32,6 @@ from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from modrisk.llm.bpe import Cache
 from modrisk.llm.shared import freed_shuffles, work_folder, written
 
 LENGTH = 1024
@@ -40,42 +39,37 @@ PER_SHARD = 8192
 KEY = 20240607
 ROUNDS = 6  # of the Feistel network
 PASSES = 3  # ranges of shards, written one after the other
-UNITS = 250_000  # units in a cache generation
-_UNSAFE = re.compile(r"\s | \s")
+BLANKS = 100_000  # blanks in a run that is cut out
 
 
 class Encoder:
     """Ids of whole texts as little-endian 16-bit numbers, by a byte-level BPE.
 
-    A single blank between two other characters always starts a new piece, whatever stands around; texts are cut there,
-    and the ids of units seen before are reused. Texts with blanks beside blanks are encoded as they are.
+    ``pattern`` cuts a text into pieces. The library cannot follow a lookahead over some million blanks, so a long run of
+    blanks is cut out first: but for the last one, which belongs to what follows, it is one piece, as with any pattern
+    that ends in ``\\s+(?!\\S)|\\s+`` and has no other rule for two blanks.
     """
 
-    def __init__(self, path: str, pattern: str, units: int = UNITS):
+    def __init__(self, path: str, pattern: str, blanks: int = BLANKS):
         import tiktoken
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.encoding = tiktoken.Encoding("shards", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.piece = tiktoken.Encoding("piece", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
-        self.cache = Cache(units)
-
-    def plain(self, text: str) -> bytes:
-        return array("H", self.encoding.encode_ordinary(text)).tobytes()
+        self.blanks, self.run = blanks, re.compile(rf"[^\S\x1c-\x1f]{{{blanks},}}")
 
     def ids(self, text: str) -> bytes:
-        if _UNSAFE.search(text):
-            return self.plain(text)
-        first, *rest = text.split(" ")
-        out = [self.plain(first)] if first else []
-        known, get, put = self.cache.new.get, self.cache.get, self.cache.put
-        for word in rest:
-            found = known(word) or get(word)  # ids are never empty; most words are in the newer generation
-            if found is None:
-                found = self.plain(" " + word)
-                put(word, found)
-            out.append(found)
-        return b"".join(out)
+        out, at = array("H"), 0
+        if len(text) >= self.blanks:
+            for run in self.run.finditer(text):
+                end = run.end() if run.end() == len(text) else run.end() - 1
+                out.extend(self.encoding.encode_ordinary(text[at : run.start()]))
+                out.extend(self.piece.encode_ordinary(text[run.start() : end]))
+                at = end
+        out.extend(self.encoding.encode_ordinary(text[at:]))
+        return out.tobytes()
 
 
 @lru_cache(maxsize=2)

@@ -21,14 +21,19 @@ def test_permutation(total):
     assert total < 64 or (one != np.arange(total)).any()
 
 
-def test_units_change_nothing(documents):
-    encoder = t.Encoder(PATH, PATTERN, units=50)
+def test_runs_of_blanks_are_cut_out():
+    encoder = t.Encoder(PATH, PATTERN, blanks=3)
     draw = random.Random(2)
-    bits = ["it's", "don't", " ", "  ", "\n", "\t", "école", "日本語", " ", "　", "12 34", "...", "a", "The", "\x1c", "<|endoftext|>", "👩‍💻"]
-    texts = ["".join(draw.choice(bits) + draw.choice(["", " "]) for _ in range(draw.randrange(50))) for _ in range(400)]
-    texts += [r["text"] for r in documents.collect()]
+    bits = ["it's", " ", "  ", "   ", "\n\n\n", "\t", "école", "日本語", "\xa0", "　", "12 34", "...", "a", "The", "\x1c", "\x1c \x1c ", "<|endoftext|>"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randrange(30))) for _ in range(2000)]
     for text in texts:
-        assert encoder.ids(text) == encoder.plain(text)
+        assert np.frombuffer(encoder.ids(text), "<u2").tolist() == encoder.encoding.encode_ordinary(text)
+
+
+def test_millions_of_blanks():
+    encoder = t.Encoder(PATH, PATTERN)
+    ids = np.frombuffer(encoder.ids("a" + " " * 3_000_000 + "b" + "\n" * 2_000_000), "<u2").tolist()
+    assert encoder.encoding.decode(ids) == "a" + " " * 3_000_000 + "b" + "\n" * 2_000_000
 
 
 @pytest.mark.parametrize(("length", "per_shard"), [(64, 60), (256, 1000)])
