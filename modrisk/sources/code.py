@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import io
 import math
+import os
+import re
 import zipfile
 import zlib
 from urllib.parse import unquote
@@ -20,6 +22,7 @@ from modrisk.operators.languages import (
 # Stores whose files are read in parts.
 RANGED_SCHEMES = {"file", "hdfs", "s3", "s3a", "gs"}
 MEMBER_BYTES = 8_000_000
+TASK_BYTES, TASK_FILES, DIRECTORIES = 64_000_000, 5_000, 64  # dealt to one task
 REPLACEMENT = "�"
 
 
@@ -42,11 +45,9 @@ def _plain(path: Column) -> Column:
 
 
 def _with_empty(files: DataFrame) -> DataFrame:
-    """(path, content) rows plus the zero-byte files, which the reader leaves out.
+    """(path, content) rows plus the zero-byte files, which Spark's reader leaves out: the listed names without a row.
 
-    They are the listed names without a row. The names come from the file
-    listing Spark holds on the driver in any case; comparing them reads no
-    content.
+    Only for stores that tasks cannot list themselves; the names are those of the listing Spark holds on the driver.
     """
     found = files.select(_plain(F.col("path")).alias("path"), "content")
     names = [(unquote(name),) for name in files.inputFiles()]
@@ -55,6 +56,74 @@ def _with_empty(files: DataFrame) -> DataFrame:
     return found.unionByName(empty.withColumn("content", F.lit(b"")))
 
 
+def _children(batches):
+    """(path, size, folder) of what stands in the given directories; links to directories are not followed."""
+    from pyarrow import fs
+
+    for batch in batches:
+        for directory in batch["path"]:
+            system, inner = _system(directory)
+            head = directory.rstrip("/")
+            rows = []
+            for info in system.get_file_info(fs.FileSelector(inner)):
+                folder = info.type == fs.FileType.Directory
+                if folder and isinstance(system, fs.LocalFileSystem) and os.path.islink(info.path):
+                    continue
+                if folder or info.type == fs.FileType.File:
+                    rows.append((f"{head}/{info.base_name}", None if folder else info.size, folder))
+            for start in range(0, len(rows), 10_000):
+                yield pd.DataFrame(rows[start : start + 10_000], columns=["path", "size", "folder"])
+
+
+def listed_tree(spark: SparkSession, root: str, directories: int = DIRECTORIES) -> DataFrame:
+    """(path, size) of the files below a directory, as a DataFrame.
+
+    Directories are listed in tasks, level by level, some ``directories`` a task; each level is checkpointed, so a lost
+    executor costs its own directories. Library and hidden directories are not entered. Names never pass the driver.
+    """
+    checkpoint_dir(spark)
+    level, wide, files = spark.createDataFrame([(root,)], "path string"), 1, None
+    while wide:
+        dealt = level.repartition(math.ceil(wide / directories), "path")
+        found = dealt.mapInPandas(_children, "path string, size long, folder boolean").checkpoint()
+        here = found.filter("NOT folder").select("path", "size")
+        files = here if files is None else files.unionByName(here)
+        below = F.concat(_relative(F.col("path"), root), F.lit("/"))
+        level = found.filter(F.col("folder") & ~is_skipped(F.concat(F.lit("./"), below)) & ~in_hidden_directory(below)).select("path")
+        wide = level.count()
+    return files
+
+
+def _contents(batches):
+    """(path, content) of the given files; what is sent at once holds some megabytes or one file."""
+    rows, held = [], 0
+    for batch in batches:
+        for path in batch["path"]:
+            system, inner = _system(path)
+            with system.open_input_stream(inner, compression=None) as file:
+                content = file.read()
+            if rows and held + len(content) > MEMBER_BYTES:
+                yield pd.DataFrame(rows, columns=["path", "content"])
+                rows, held = [], 0
+            rows.append((path, content))
+            held += len(content)
+    if rows:
+        yield pd.DataFrame(rows, columns=["path", "content"])
+
+
+def _read(files: DataFrame, task_bytes: int = TASK_BYTES, task_files: int = TASK_FILES) -> DataFrame:
+    """(path, content) of listed (path, size) files, zero-byte ones included; dealt by bytes and by number."""
+    n, size = files.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
+    tasks = max(1, math.ceil(size / task_bytes), math.ceil(n / task_files))
+    rows = files.select("path").repartition(tasks, "path").mapInPandas(_contents, "path string, content binary")
+    return rows.select(_plain(F.col("path")).alias("path"), "content")
+
+
+def _listed_in_tasks(path: str) -> bool:
+    """Whether tasks can list and read this path themselves; name patterns are left to Spark's reader."""
+    return in_parts(path) and not any(c in path for c in "*?[{")
+
+
 def _relative(path: Column, root: str) -> Column:
     """Path below the root; whole path when it lies elsewhere."""
     plain = _plain(path)
@@ -62,25 +131,42 @@ def _relative(path: Column, root: str) -> Column:
     return F.when(plain.startswith(base), F.substring(plain, len(base) + 1, 1 << 30)).otherwise(plain)
 
 
-def read_tree(spark: SparkSession, root: str, on_invalid: str = "drop", keep_empty: bool = True) -> DataFrame:
+def read_tree(
+    spark: SparkSession, root: str, on_invalid: str = "drop", keep_empty: bool = True, in_tasks: bool = True
+) -> DataFrame:
     """Supported source files below a directory, without library and hidden directories.
 
-    The listing is filtered by file name before any content is read; the path
-    rules apply to the part below ``root``. ``keep_empty=False`` leaves out
-    zero-byte files and spares the comparison of names that finds them.
+    Listing and reading run in tasks, and files are chosen by name before any content is read; the path rules apply to
+    the part below ``root``. ``keep_empty=False`` leaves out zero-byte files. Tasks reach the store through Arrow; with
+    ``in_tasks=False``, and in stores that only Spark reaches, Spark's reader lists on the driver, and leaves out names
+    that begin with an underscore or a dot.
     """
-    names = "*{" + ",".join(e for group in TREE_FAMILIES.values() for e in group) + "}"
-    files = _binary(spark, [root], names, True).select("path", "content")
-    files = _with_empty(files) if keep_empty else files
+    extensions = tuple(e for group in TREE_FAMILIES.values() for e in group)
+    if in_tasks and _listed_in_tasks(root):
+        found = listed_tree(spark, root)
+        chosen = F.lit(False)
+        for e in extensions:
+            chosen = chosen | F.col("path").endswith(e)
+        files = _read(found.filter(chosen) if keep_empty else found.filter(chosen & (F.col("size") > 0)))
+    else:
+        files = _binary(spark, [root], "*{" + ",".join(extensions) + "}", True).select("path", "content")
+        files = _with_empty(files) if keep_empty else files
     shown = files.withColumn("path", _relative(F.col("path"), root))
     kept = shown.filter(~is_skipped(F.concat(F.lit("./"), F.col("path"))) & ~in_hidden_directory(F.col("path")))
     text = decoded(F.col("content"), on_invalid)
     return supported_only(source_rows(kept.select("path", text.alias("content"))))
 
 
-def read_files(spark: SparkSession, paths: list[str], on_invalid: str = "drop") -> DataFrame:
-    """The given files, as far as their extension has metric rules (also .jsx)."""
-    files = _with_empty(_binary(spark, paths, None, False).select("path", "content"))
+def read_files(spark: SparkSession, paths: list[str], on_invalid: str = "drop", in_tasks: bool = True) -> DataFrame:
+    """The given files, as far as their extension has metric rules (also .jsx); a file given twice counts once.
+
+    ``in_tasks`` is that of :func:`read_tree`.
+    """
+    if in_tasks and all(map(_listed_in_tasks, paths)):
+        given = spark.createDataFrame([(p,) for p in dict.fromkeys(paths)], "path string")
+        files = _read(supported_only(source_rows(given.withColumn("content", F.lit(""))), LIST_FAMILIES).select("path", F.lit(0).alias("size")))
+    else:
+        files = _with_empty(_binary(spark, paths, None, False).select("path", "content"))
     text = files.select("path", decoded(F.col("content"), on_invalid).alias("content"))
     return supported_only(source_rows(text), LIST_FAMILIES)
 
@@ -127,14 +213,18 @@ class _Parts(io.RawIOBase):
         super().close()
 
 
-def _opened(path: str) -> io.BufferedReader:
-    """A file that can be read in parts, wherever an Arrow file system reaches."""
+def _system(path: str):
+    """Arrow's file system of a path, and the path in it."""
     from pyarrow import fs
 
-    if path.startswith("file:") or ":" not in path:
-        system, inner = fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
-    else:
-        system, inner = fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+    if path.startswith("file:") or ":" not in path.split("/", 1)[0]:
+        return fs.LocalFileSystem(), os.path.abspath(re.sub(r"\Afile:/*", "/", path))
+    return fs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
+
+
+def _opened(path: str) -> io.BufferedReader:
+    """A file that can be read in parts, wherever an Arrow file system reaches."""
+    system, inner = _system(path)
     return io.BufferedReader(_Parts(system.open_input_file(inner)), 1 << 16)
 
 

@@ -62,18 +62,48 @@ def make_tree(root):
 
 def test_tree(spark, tmp_path):
     make_tree(tmp_path)
-    rows = {r["path"]: r for r in code.read_tree(spark, str(tmp_path)).collect()}
-    assert set(rows) == {"a.py", "sub/b.java", "sub/a.py", "empty.c"} and rows["empty.c"]["content"] == ""
+    for in_tasks in (False, True):
+        rows = {r["path"]: r for r in code.read_tree(spark, str(tmp_path), in_tasks=in_tasks).collect()}
+        assert set(rows) == {"a.py", "sub/b.java", "sub/a.py", "empty.c"} and rows["empty.c"]["content"] == ""
     assert rows["sub/a.py"]["content"] == "bad  bytes" and rows["a.py"]["lang"] == "Python"
     replaced = {r["path"]: r for r in code.read_tree(spark, str(tmp_path), "replace").collect()}
     assert "�" in replaced["sub/a.py"]["content"]
 
 
+def test_tree_is_listed_in_tasks(spark, tmp_path):
+    """Against a plain walk: many directories a level, several levels, names Spark's reader leaves out, a link in a ring."""
+    import os
+
+    for i in range(40):
+        folder = tmp_path / f"d{i % 7}" / f"e {i}"
+        folder.mkdir(parents=True, exist_ok=True)
+        for name in ("__init__.py", "_x.js", "a b%20é.py", "n.txt", ".h.py"):
+            (folder / name).write_text(f"{i} {name}")
+        (folder / "node_modules").mkdir()
+        (folder / "node_modules" / "x.js").write_text("x")
+    (tmp_path / "ring").symlink_to(tmp_path)
+    want = {
+        os.path.relpath(os.path.join(at, n), tmp_path): f"{at.rsplit(' ', 1)[1]} {n}"
+        for at, _, names in os.walk(tmp_path) if "node_modules" not in at for n in names if n.endswith((".py", ".js"))
+    }
+    assert len(want) == 160
+    assert {r["path"]: r["content"] for r in code.read_tree(spark, str(tmp_path)).collect()} == want
+    found = code.listed_tree(spark, f"file://{tmp_path}", directories=4)
+    assert found.count() == 200 and found.agg(F.sum("size")).first()[0] > 0
+    assert code.read_tree(spark, str(tmp_path / "d0" / "e 0" / "node_modules")).count() == 1
+    (tmp_path / "none").mkdir()
+    assert code.read_tree(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_file_list(spark, tmp_path):
     make_tree(tmp_path)
     (tmp_path / "x.jsx").write_text("x")
-    got = code.read_files(spark, [str(tmp_path / n) for n in ("a.py", "x.jsx", "note.txt")]).select("fname").collect()
-    assert sorted(r[0] for r in got) == ["a.py", "x.jsx"]
+    (tmp_path / "__init__.py").write_text("")
+    paths = [str(tmp_path / n) for n in ("a.py", "x.jsx", "note.txt")]
+    for in_tasks in (False, True):
+        got = code.read_files(spark, paths, in_tasks=in_tasks).select("fname").collect()
+        assert sorted(r[0] for r in got) == ["a.py", "x.jsx"]
+    assert code.read_files(spark, [str(tmp_path / "__init__.py")] * 2).count() == 1
 
 
 def test_archive(spark, tmp_path):
