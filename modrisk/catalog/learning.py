@@ -278,11 +278,16 @@ def preprocess_report(spark, sf):
     return steps.report
 
 
+def _forest(spark, sf):
+    """A forest over the features as they are, since it is asked about rows that are not scaled."""
+    rows = sampling.stratified_split(labelled_features(spark, sf).persist(), "doc_id").filter("NOT is_test")
+    return models.random_forest(trees=50, depth=5).fit(models.compacted(models.model_table(rows, FEATURES)))
+
+
 @query("permutation_attribution")
 def permutation_attribution(spark, sf):
     """Every document under a forest trained on the labelled ones."""
-    train, _ = split_tables(spark, sf)
-    fitted = models.random_forest(trees=50, depth=5).fit(train)
+    fitted = _forest(spark, sf)
     base = explain.background(labelled_features(spark, sf), FEATURES, "doc_id", explain.PERMUTATION_BACKGROUND)
     return explain.permutation_attribution(fitted, document_features(spark, sf), "doc_id", FEATURES, base, "forest")
 
@@ -323,8 +328,54 @@ def formula_attribution(spark, sf):
     return rounded(found, ["contribution"], 8)
 
 
+def _surrogate_sql(samples: int = explain.SURROGATE_SAMPLES) -> str:
+    """The surrogate in SQL: all perturbed rows of all documents, then elimination feature by feature."""
+    k = range(len(FEATURES))
+    draws = ", ".join(f"({s}, {u})" for s, u in enumerate(explain.surrogate_draws(samples - 1, len(FEATURES)), 1))
+    every = ", ".join(f"({i}, '{c}')" for i, c in enumerate(FEATURES))
+    long = "SELECT doc_id, i, CASE i " + " ".join(f"WHEN {i} THEN {c}" for i, c in enumerate(FEATURES)) + " END AS v FROM {} f, names"
+    width = explain.KERNEL_FACTOR ** 2 * len(FEATURES)
+    wide = ", ".join([f"max(CASE WHEN i = {i} THEN z END) AS z{i}" for i in k] + [f"max(CASE WHEN i = {i} THEN x END) AS x{i}" for i in k])
+    sums = ["sum(w) AS w", "sum(w * p) AS p"] + [f"sum(w * z{i}) AS s{i}" for i in k] + [f"sum(w * z{i} * p) AS r{i}" for i in k]
+    sums += [f"sum(w * z{i} * z{j}) AS g{i}_{j}" for i in k for j in k]
+    begin = [f"g{i}_{j} - s{i} * s{j} / w + {int(i == j)} AS a{i}_{j}" for i in k for j in k] + [f"r{i} - s{i} * p / w AS b{i}" for i in k]
+    steps, last = "", "e"
+    for n in k:  # clears column n everywhere but in row n
+        cleared = [f"a{i}_{j} - a{i}_{n} * a{n}_{j} / a{n}_{n} AS a{i}_{j}" if i != n else f"a{i}_{j}" for i in k for j in k]
+        cleared += [f"b{i} - a{i}_{n} * b{n} / a{n}_{n} AS b{i}" if i != n else f"b{i}" for i in k]
+        steps += f", e{n} AS (SELECT doc_id, {', '.join(cleared)} FROM {last})"
+        last = f"e{n}"
+    solved = " ".join(f"WHEN {i} THEN b{i} / a{i}_{i}" for i in k)
+    return f"""WITH f AS ({_FEATURES_SQL}), names AS (SELECT * FROM (VALUES {every}) t(i, feature)),
+fl AS ({long.format('f')}), tl AS ({long.format('(SELECT * FROM f JOIN labels USING (doc_id))')}),
+cuts AS (SELECT i, list_distinct([quantile_cont(v, 0.25), quantile_cont(v, 0.5), quantile_cont(v, 0.75)]) AS c FROM tl GROUP BY i),
+lev AS (SELECT i, len(list_filter(c, lambda q: v > q)) AS b, count(*) AS n, avg(v) AS m FROM tl JOIN cuts USING (i) GROUP BY ALL),
+share AS (SELECT i, b, m, sum(n) OVER (PARTITION BY i ORDER BY b) / sum(n) OVER (PARTITION BY i)::DOUBLE AS upto FROM lev),
+draws AS (SELECT s, i, u[i + 1] AS u FROM (VALUES {draws}) t(s, u), names),
+pick AS (SELECT s, i, count_if(upto <= u)::INT AS b FROM draws JOIN share USING (i) GROUP BY s, i),
+own AS (SELECT doc_id, i, v, len(list_filter(c, lambda q: v > q)) AS b FROM fl JOIN cuts USING (i)),
+moved AS (SELECT doc_id, s, i, (own.b = pick.b)::INT AS z, CASE WHEN own.b = pick.b THEN v ELSE m END AS x
+  FROM own JOIN pick USING (i) JOIN share ON share.i = own.i AND share.b = pick.b
+  UNION ALL SELECT doc_id, 0, i, 1, v FROM own),
+wide AS (SELECT doc_id, s, {wide} FROM moved GROUP BY doc_id, s),
+one AS (SELECT *, {_formula_sql([f'x{i}' for i in k])} AS p, sqrt(exp(-({len(FEATURES)} - {' - '.join(f'z{i}' for i in k)}) / {width}::DOUBLE)) AS w FROM wide),
+g AS (SELECT doc_id, {', '.join(sums)} FROM one GROUP BY doc_id),
+e AS (SELECT doc_id, {', '.join(begin)} FROM g){steps},
+beta AS (SELECT doc_id, i, feature, CASE i {solved} END AS weight FROM {last}, names)
+SELECT doc_id AS row_id, feature, round(weight, 7) AS weight,
+  row_number() OVER (PARTITION BY doc_id ORDER BY round(abs(weight), 9) DESC, i)::INT AS rank FROM beta"""
+
+
+@query("formula_surrogate", _surrogate_sql())
+def formula_surrogate(spark, sf):
+    """Every document under a fixed formula."""
+    training = labelled_features(spark, sf)
+    found = explain.local_surrogate(models.Formula(_formula), document_features(spark, sf), "doc_id", FEATURES, training)
+    return rounded(found, ["weight"], 7)
+
+
 @query("local_surrogate")
 def local_surrogate(spark, sf):
-    train, _ = split_tables(spark, sf)
-    fitted = models.random_forest(trees=20, depth=5).fit(train)
+    """Every document under a forest trained on the labelled ones."""
+    fitted = _forest(spark, sf)
     return explain.local_surrogate(fitted, document_features(spark, sf), "doc_id", FEATURES, labelled_features(spark, sf))

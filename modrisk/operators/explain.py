@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import math
 import random
+from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -216,6 +219,12 @@ def _together(frames: list[DataFrame]) -> DataFrame:
     return whole
 
 
+def surrogate_draws(samples: int, features: int, seed: int = 42) -> list[list[float]]:
+    """Seeded numbers in [0, 1), one a feature for each perturbed row; all rows share them."""
+    rng = random.Random(seed)
+    return [[rng.random() for _ in range(features)] for _ in range(samples)]
+
+
 def local_surrogate(
     model, rows: DataFrame, key: str, columns: list[str], training: DataFrame,
     samples: int = SURROGATE_SAMPLES, top: int = SURROGATE_TOP, seed: int = 42,
@@ -223,10 +232,16 @@ def local_surrogate(
     """Weights of a local linear model around each row.
 
     Features are cut at training quartiles. A perturbed row takes, per feature,
-    the training mean of a drawn quartile; the surrogate sees only whether the
-    quartile stayed the same. Each group solved is one row's fixed number of
-    samples.
+    the training mean of a quartile drawn by its training frequency; where that
+    is the row's own quartile, its value stays. The surrogate sees only which
+    quartiles stayed. Besides the row itself there are ``samples`` - 1 perturbed
+    rows; all rows share the draws, and equal draws are scored once and count as
+    often as they came. The weighted sums that a ridge regression needs are
+    plain sums a row, made where the row was scored; a k x k system is then solved
+    for each row. Null values count as 0; of equal weights the feature named
+    first leads, where weights are compared to nine decimals.
     """
+    k = len(columns)
     quartiles = exact_quantiles(training, columns, [0.25, 0.5, 0.75])
     cuts = [sorted({q for q in quartiles[c] if q is not None}) for c in columns]
 
@@ -236,55 +251,71 @@ def local_surrogate(
             number = number + F.when(value > F.lit(p), 1).otherwise(0)
         return number
 
-    means = training.agg(
-        *[
-            F.avg(F.when(cell(col(c).cast("double"), cuts[j]) == b, col(c).cast("double"))).alias(f"m{j}_{b}")
-            for j, c in enumerate(columns)
-            for b in range(len(cuts[j]) + 1)
-        ]
-    ).first()
-    levels = [[means[f"m{j}_{b}"] or 0.0 for b in range(len(cuts[j]) + 1)] for j in range(len(columns))]
-    values = [F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in columns]
-    own = F.array(*[cell(v, cuts[j]) for j, v in enumerate(values)])
-    drawn = rows.select(col(key).alias("row_id"), F.array(*values).alias("_x"), own.alias("_own")).select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("_sample")
-    )
-    picks = F.array(
-        *[
-            F.pmod(F.xxhash64(F.lit(seed), F.lit(j), F.col("row_id"), F.col("_sample")), F.lit(len(levels[j]))).cast("int")
-            for j in range(len(columns))
-        ]
+    bins = [(j, b) for j in range(k) for b in range(len(cuts[j]) + 1)]
+    value = [col(c).cast("double") for c in columns]
+    held = {(j, b): F.when(value[j].isNotNull() & (cell(value[j], cuts[j]) == b), value[j]) for j, b in bins}
+    facts = training.agg(*[f(held[i]).alias(f"{n}{i[0]}_{i[1]}") for i in bins for n, f in (("m", F.avg), ("n", F.count))]).first()
+    levels = [[facts[f"m{j}_{b}"] or 0.0 for b in range(len(cuts[j]) + 1)] for j in range(k)]
+    counts = [[facts[f"n{j}_{b}"] for b in range(len(cuts[j]) + 1)] for j in range(k)]
+    ends = [[sum(n[: b + 1]) / max(sum(n), 1) for b in range(len(n) - 1)] for n in counts]
+    picks = Counter(
+        tuple(sum(u >= end for end in ends[j]) for j, u in enumerate(draws)) for draws in surrogate_draws(samples - 1, k, seed)
     )
-    placed = drawn.select("row_id", "_x", "_own", "_sample", F.when(F.col("_sample") == 0, F.col("_own")).otherwise(picks).alias("_pick"))
-    same = F.zip_with("_own", "_pick", lambda a, b: (a == b).cast("int"))
-    table = F.array(*[F.array(*[F.lit(v) for v in row]) for row in levels])
-    moved = F.transform(
-        F.col("_pick"), lambda b, j: F.when(b == F.get("_own", j), F.get("_x", j)).otherwise(F.get(F.get(table, j), b))
+    # The row itself picks its own quartile of every feature. Columns, not array functions, which are not compiled.
+    listed = [{"n": n, "pick": list(pick), "level": [levels[j][b] for j, b in enumerate(pick)]} for pick, n in sorted(picks.items())]
+    listed = json.dumps([{"n": 1, "pick": [-1] * k, "level": [0.0] * k}, *listed])
+    drawn = F.from_json(F.lit(listed), "array<struct<n: double, pick: array<int>, level: array<double>>>")
+    values = [F.coalesce(v, F.lit(0.0)) for v in value]
+    own = rows.select(
+        col(key).alias("row_id"), *[v.alias(f"_x{j}") for j, v in enumerate(values)], *[cell(v, cuts[j]).alias(f"_own{j}") for j, v in enumerate(values)]
     )
+    # Each of these small rows is scored many times: they are dealt by a given number, which is not cut down by their size,
+    # and the sums below find them together.
+    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = own.repartition(tasks, "row_id").select("*", F.inline(drawn).alias("_n", "_pick", "_level"))
+    z = [F.col(f"_z{j}") for j in range(k)]
+    stays = [(F.get("_pick", F.lit(j)) == -1) | (F.get("_pick", F.lit(j)) == F.col(f"_own{j}")) for j in range(k)]
+    moved = F.array(*[F.when(stays[j], F.col(f"_x{j}")).otherwise(F.get("_level", F.lit(j))) for j in range(k)])
     scored = model.transform(
-        placed.select("row_id", same.alias("_same"), array_to_vector(moved).alias("features"))
-    ).select("row_id", "_same", F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
-    width = KERNEL_FACTOR * float(np.sqrt(len(columns)))
-
-    def solve(group: pd.DataFrame) -> pd.DataFrame:
-        z = np.vstack(group["_same"].to_numpy()).astype(float)
-        p = group["_p"].to_numpy(dtype=float)
-        apart = np.sqrt((1.0 - z).sum(axis=1))
-        weight = np.sqrt(np.exp(-(apart**2) / width**2))
-        centre_z, centre_p = np.average(z, axis=0, weights=weight), np.average(p, weights=weight)
-        zc, pc = z - centre_z, p - centre_p
-        left = (zc * weight[:, None]).T @ zc + np.eye(z.shape[1])
-        beta = np.linalg.solve(left, (zc * weight[:, None]).T @ pc)
-        best = np.argsort(-np.abs(beta), kind="stable")[:top]
-        return pd.DataFrame(
-            {
-                "row_id": group["row_id"].iloc[0], "feature": [columns[i] for i in best],
-                "weight": beta[best], "rank": np.arange(1, len(best) + 1, dtype="int32"),
-            }
-        )
+        placed.select("row_id", "_n", *[stays[j].cast("double").alias(f"_z{j}") for j in range(k)], array_to_vector(moved).alias("features"))
+    ).select("row_id", "_n", *z, F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
+    apart = F.lit(float(k))
+    for same in z:
+        apart = apart - same
+    width = KERNEL_FACTOR * math.sqrt(k)
+    weighed = scored.withColumn("_w", F.col("_n") * F.sqrt(F.exp(-apart / F.lit(width**2))))
+    pairs = [(i, j) for i in range(k) for j in range(i, k)]
+    sums = weighed.groupBy("row_id").agg(
+        F.array(
+            F.sum("_w"), F.sum(F.col("_w") * F.col("_p")), *[F.sum(F.col("_w") * z[j] * F.col("_p")) for j in range(k)],
+            *[F.sum(F.col("_w") * z[i] * z[j]) for i, j in pairs],
+        ).alias("sums")
+    )
 
-    kind = dict(rows.select(col(key).alias("k")).dtypes)["k"]
-    return scored.groupBy("row_id").applyInPandas(solve, f"row_id {kind}, feature string, weight double, rank int")
+    def solve(batches):
+        at = np.array(pairs).T
+        for batch in batches:
+            if batch.empty:
+                continue
+            total = np.vstack(batch["sums"].to_numpy())
+            gram = np.zeros((len(total), k, k))
+            gram[:, at[0], at[1]] = gram[:, at[1], at[0]] = total[:, 2 + k :]
+            once = np.einsum("rii->ri", gram)  # the values are 0 and 1, so squares are the values
+            weight, answer = total[:, 0], total[:, 1]
+            left = gram - once[:, :, None] * once[:, None, :] / weight[:, None, None] + np.eye(k)
+            right = total[:, 2 : 2 + k] - once * (answer / weight)[:, None]
+            beta = np.linalg.solve(left, right[:, :, None])[:, :, 0]
+            yield pd.DataFrame({"row_id": batch["row_id"], "weights": list(beta)})
+
+    kind = rows.select(col(key).alias("row_id")).schema.simpleString().removeprefix("struct<").removesuffix(">")
+    solved = sums.mapInPandas(solve, f"{kind}, weights array<double>")
+    names = F.array(*[F.lit(c) for c in columns])
+    order = F.slice(
+        F.array_sort(F.transform("weights", lambda w, j: F.struct((-F.round(F.abs(w), 9)).alias("by"), j.alias("j"), w.alias("w")))), 1, top
+    )
+    return solved.select("row_id", F.posexplode(order).alias("_at", "_one")).select(
+        "row_id", F.get(names, F.col("_one.j")).alias("feature"), F.col("_one.w").alias("weight"), (F.col("_at") + 1).alias("rank")
+    )
 
 
 # Own wording of the verdicts and advice.

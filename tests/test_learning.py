@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -69,6 +70,40 @@ def test_surrogate_finds_the_strong_feature(rows, logistic):
     assert out.groupBy("row_id").count().agg(F.min("count")).first()[0] == 3
 
 
+def test_surrogate_like_one_row_at_a_time(spark, rows):
+    """Against numpy: perturbed rows written out, weights applied, least squares with a penalty of 1."""
+    def p(x):
+        return 1 / (1 + np.exp(-(x[:, 0] + 0.5 * x[:, 1] * x[:, 2])))
+
+    scorer = models.Formula(lambda x: 1 / (1 + F.exp(-(F.get(x, F.lit(0)) + 0.5 * F.get(x, F.lit(1)) * F.get(x, F.lit(2))))))
+    asked = rows.limit(10).select("id", *COLUMNS).unionByName(
+        spark.createDataFrame([(10_000, None, 1.0, 2.0)], "id long, a double, b double, c double").select("id", *COLUMNS[:3])
+    )
+    out = explain.local_surrogate(scorer, asked, "id", COLUMNS, rows, samples=60, top=3)
+    got = {(r["row_id"], r["feature"]): (r["weight"], r["rank"]) for r in out.collect()}
+    train = np.array([[r[c] for c in COLUMNS] for r in rows.select(*COLUMNS).collect()], float)
+    cuts = np.quantile(train, [0.25, 0.5, 0.75], axis=0)
+    cell = lambda m: (m[:, None, :] > cuts[None]).sum(axis=1)
+    cells = cell(train)
+    ends = [np.cumsum(np.bincount(cells[:, j], minlength=4))[:3] / len(train) for j in range(3)]
+    picks = np.array([[(u >= ends[j]).sum() for j, u in enumerate(draws)] for draws in explain.surrogate_draws(59, 3)])
+    want = {}
+    for r in asked.collect():
+        x = np.array([[r[c] or 0.0 for c in COLUMNS]])
+        own = cell(x)
+        z = np.vstack([np.ones((1, 3)), picks == own])
+        moved = [[x[0, j] if b == own[0, j] else train[cells[:, j] == b, j].mean() for j, b in enumerate(pick)] for pick in picks]
+        w = np.sqrt(np.exp(-(3 - z.sum(axis=1)) / (0.75**2 * 3)))
+        y = p(np.vstack([x, moved]))
+        zc, yc = z - np.average(z, axis=0, weights=w), y - np.average(y, weights=w)
+        beta = np.linalg.solve(zc.T @ (zc * w[:, None]) + np.eye(3), zc.T @ (yc * w))
+        for place, j in enumerate(np.argsort(-np.abs(beta).round(9), kind="stable")):
+            want[r["id"], COLUMNS[j]] = (beta[j], place + 1)
+    assert got.keys() == want.keys() and len(got) == 33
+    for at, (weight, rank) in want.items():
+        assert got[at] == (pytest.approx(weight, abs=1e-9), rank)
+
+
 def test_waterfall_ends_at_the_total(rows, logistic):
     parts = explain.explain_linear(logistic, rows, "id", COLUMNS, rows, "lr")
     steps = explain.waterfall(parts, 0.0, top=2)
