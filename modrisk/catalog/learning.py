@@ -79,7 +79,7 @@ def attribution_distribution(spark, sf):
 @query(
     "attribution_heatmap",
     f"""{ATTR}, r AS (SELECT row_id, feature, contribution, rank FROM a JOIN (SELECT model, feature, rank FROM ({_IMPORTANCE}) WHERE rank <= 3 AND model = 'alpha') USING (model, feature)),
-        t AS (SELECT row_id, row_number() OVER (ORDER BY sum(contribution), row_id) - 1 AS place, count(*) OVER () AS n FROM r GROUP BY row_id),
+        t AS (SELECT row_id, row_number() OVER (ORDER BY sum(contribution), substr(md5('heatmap:' || row_id), 1, 8), row_id) - 1 AS place, count(*) OVER () AS n FROM r GROUP BY row_id),
         p AS (SELECT DISTINCT floor(i * (n - 1) / 199)::BIGINT AS place FROM (SELECT DISTINCT n FROM t), range(0, 200) g(i)),
         k AS (SELECT row_id, row_number() OVER (ORDER BY place)::INT AS sample FROM t JOIN p USING (place))
         SELECT sample, row_id, rank, feature, round(contribution, 6) AS contribution FROM r JOIN k USING (row_id)""",

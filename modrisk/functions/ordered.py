@@ -15,6 +15,8 @@ import math
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
+from modrisk.session import checkpoint_dir
+
 ROWS_PER_RANGE = 1_000_000
 MAX_RANGES = 1024
 SKETCH_ACCURACY = 10_000
@@ -26,28 +28,68 @@ def _largest_group(rows: DataFrame, by: list[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
-def _split_points(rows: DataFrame, by: list[str], value: str, wanted: int) -> list:
-    """Per group: its key values and the values its ranges are cut at."""
-    ranges = min(MAX_RANGES, wanted)
+def _sketched(rows: DataFrame, by: list[str], value: str, ranges: int) -> DataFrame:
+    """Per group the values that cut it into about equal ranges; a frequent value comes several times."""
     marks = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    sketched = rows.groupBy(*by).agg(
-        F.percentile_approx(value, marks, F.lit(SKETCH_ACCURACY)).alias("s")
-    )
-    return [
-        ([r[k] for k in by], sorted({p for p in r["s"] or [] if p is not None})) for r in sketched.collect()
-    ]
+    return rows.groupBy(*by).agg(F.percentile_approx(value, marks, F.lit(SKETCH_ACCURACY)).alias("_points"))
 
 
-def _range_number(splits: list, by: list[str], value: str) -> Column:
-    """How many split points of its group lie below a value."""
-    chosen = F.when(F.lit(False), 0)
+def _points_of(splits: list, by: list[str]) -> Column:
+    """The split points of a row's group."""
+    chosen = F.when(F.lit(False), None)
     for keys, points in splits:
         same_group = F.lit(True)
         for name, key in zip(by, keys):
             same_group = same_group & F.col(name).eqNullSafe(F.lit(key))
-        number = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p < F.col(value)))
-        chosen = chosen.when(same_group, number)
-    return chosen.otherwise(0)
+        chosen = chosen.when(same_group, F.array(*[F.lit(p) for p in points]))
+    return chosen
+
+
+def _place(points: Column, value: Column, spread: Column | None) -> tuple[Column, Column | None]:
+    """The range of a value, and its place in there among its equals.
+
+    That is how many split points lie below; a value that is n split points by itself fills n ranges, which its rows are
+    dealt to by ``spread``.
+    """
+    def how_many(test) -> Column:
+        return F.greatest(F.coalesce(F.size(F.filter(points, test)), F.lit(0)), F.lit(0))
+
+    below = how_many(lambda p: p < value)
+    if spread is None:
+        return below, None
+    same = F.greatest(how_many(lambda p: p == value), F.lit(1))
+    step = F.least(F.floor(spread * same), same - 1)
+    return below + step, spread * same - step
+
+
+def _ranged(
+    rows: DataFrame, by: list[str], value: str, wanted: int, spread: Column | None, max_ranges: int
+) -> DataFrame:
+    """Add ``_range``, ascending with (value, spread): some ``wanted`` ranges a group.
+
+    The first ``max_ranges`` come from one sketch a group, as literals. Where more are wanted each of those is cut again
+    by a sketch of its own; those split points, at most ``max_ranges`` a range, are a checkpointed table, so that every
+    stage and every retry sees the same ones.
+    """
+    outer = min(max_ranges, wanted)
+    found = _sketched(rows, by, value, outer).collect()
+    splits = [([r[k] for k in by], [p for p in r["_points"] or [] if p is not None]) for r in found]
+    number, rest = _place(_points_of(splits, by), F.col(value), spread)
+    first = rows.withColumn("_range", number.cast("long"))
+    inner = min(max_ranges, math.ceil(wanted / outer))
+    if inner <= 1:
+        return first
+    checkpoint_dir(rows.sparkSession)
+    keys = [*by, "_range"]
+    within = _sketched(first, keys, value, inner).checkpoint()
+    within = within.select(*[F.col(k).alias(f"_w_{k}") for k in keys], "_points")
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & F.col(k).eqNullSafe(F.col(f"_w_{k}"))
+    # At most max_ranges rows a group, of max_ranges values each.
+    joined = first.withColumn("_rest", F.lit(None) if rest is None else rest).join(F.broadcast(within), condition, "left")
+    deeper, _ = _place(F.col("_points"), F.col(value), None if rest is None else F.col("_rest"))
+    return joined.select(*rows.columns, (F.col("_range") * inner + deeper).alias("_range"))
 
 
 def running_totals(
@@ -60,22 +102,27 @@ def running_totals(
     rows_per_range: int = ROWS_PER_RANGE,
     group_totals: dict[str, str] | None = None,
     uniform: bool = False,
+    spread: str | None = None,
+    max_ranges: int = MAX_RANGES,
 ) -> DataFrame:
     """Add running sums (``sums``: new name -> column) in the order of ``value``.
 
     ``ties`` orders equal values and must make the order total. ``group_totals``
     adds plain sums per group. Groups must be few, such as models or classes.
     Groups of up to ``rows_per_range`` rows need one window; larger ones a
-    window per range, to which the totals of earlier ranges, at most
-    ``MAX_RANGES`` rows a group, are added from a broadcast table. ``uniform``
-    says that values are evenly spread over 0..1, as draws are: ranges are then
-    cut by arithmetic, without a sketch and as many as the rows need.
+    window per range, to which the totals of earlier ranges, one row a range,
+    are added from a broadcast table. Ranges are as many as the rows need, up to
+    ``max_ranges`` times ``max_ranges``. ``uniform`` says that values are evenly
+    spread over 0..1, as draws are: ranges are then cut by arithmetic, without a
+    sketch. ``spread`` names a column of draws that leads ``ties``, so that rows
+    of one frequent value fill several ranges too; it needs ascending order.
     """
+    if spread is not None and (descending or not ties or ties[0] != spread):
+        raise ValueError("spread leads the ties of an ascending order")
     wholes = group_totals or {}
     counted = _largest_group(rows, by)
     even_ranges = math.ceil(counted / rows_per_range)
     small = even_ranges <= 1
-    splits = [] if small or uniform else _split_points(rows, by, value, even_ranges)
     direction = F.desc if descending else F.asc
     order = [direction(value), *(ties or [])]
     if small:
@@ -85,8 +132,10 @@ def running_totals(
             *[F.sum(c).over(inside).alias(n) for n, c in sums.items()],
             *[F.sum(c).over(Win.partitionBy(*by)).alias(n) for n, c in wholes.items()],
         )
-    number = F.floor(F.col(value) * F.lit(even_ranges)) if uniform else _range_number(splits, by, value)
-    ranged = rows.withColumn("_range", number.cast("int"))
+    if uniform:
+        ranged = rows.withColumn("_range", F.floor(F.col(value) * F.lit(even_ranges)).cast("long"))
+    else:
+        ranged = _ranged(rows, by, value, even_ranges, None if spread is None else F.col(spread), max_ranges)
     inside = Win.partitionBy(*by, "_range").orderBy(*order).rowsBetween(Win.unboundedPreceding, 0)
     per_range = ranged.groupBy(*by, "_range").agg(
         *[F.sum(c).alias(f"_t_{n}") for n, c in {**sums, **wholes}.items()]
@@ -116,11 +165,13 @@ def ranked(
     descending: bool = False,
     rows_per_range: int = ROWS_PER_RANGE,
     uniform: bool = False,
+    spread: str | None = None,
+    max_ranges: int = MAX_RANGES,
 ) -> DataFrame:
     """Row numbers from 1 within each group, spread over ranges of ``value``."""
     ones = rows.withColumn("_one", F.lit(1).cast("long"))
     return running_totals(
-        ones, by, value, {name: "_one"}, descending, ties, rows_per_range, uniform=uniform
+        ones, by, value, {name: "_one"}, descending, ties, rows_per_range, uniform=uniform, spread=spread, max_ranges=max_ranges
     ).drop("_one")
 
 

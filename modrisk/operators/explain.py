@@ -13,6 +13,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 from modrisk.functions.bands import band
+from modrisk.functions.draws import draw
 from modrisk.functions.ordered import ROWS_PER_RANGE, exact_quantiles, ranked
 from modrisk.operators.cleaning import col
 
@@ -148,11 +149,14 @@ def heatmap(
 ) -> DataFrame:
     """Top features of rows in the order of their total contribution, evenly thinned.
 
-    Works on one model. Ranks come from range-partitioned windows.
+    Works on one model; rows of equal totals stand in the order of a draw by
+    their id. Ranks come from range-partitioned windows, and the draw spreads a
+    total that many rows share over several of them.
     """
     rows = distribution_rows(attributions, top)
-    totals = rows.groupBy("row_id").agg(F.sum("contribution").alias("_total")).persist()
-    order = ranked(totals, [], "_total", ["row_id"], "_rank", rows_per_range=rows_per_range)
+    totals = rows.groupBy("row_id").agg(F.sum("contribution").alias("_total"))
+    totals = totals.withColumn("_draw", draw("heatmap", F.col("row_id"))).persist()
+    order = ranked(totals, [], "_total", ["_draw", "row_id"], "_rank", rows_per_range=rows_per_range, spread="_draw")
     n = totals.agg(F.count(F.lit(1)).alias("n")).first()["n"]
     at = F.col("_rank") - 1
     kept = order.select("row_id", "_rank")

@@ -70,6 +70,25 @@ def test_running_totals_over_many_ranges(spark):
     assert got.agg(F.max("r")).first()[0] == 300
 
 
+@pytest.mark.parametrize("max_ranges", [3, 8, 1024])
+def test_ranges_split_frequent_values(spark, max_ranges):
+    """A value that most rows share, by one and by two levels of split points."""
+    rng = random.Random(5)
+    data = [(m, 0.5 if rng.random() < 0.7 else rng.randint(0, 9) / 10, rng.random(), i) for m in "ab" for i in range(900)]
+    data += [("c", None, rng.random(), i) for i in range(30)]
+    rows = spark.createDataFrame(data, "m string, v double, u double, id long")
+    got = ordered.ranked(rows, ["m"], "v", ["u", "id"], "r", rows_per_range=100, spread="u", max_ranges=max_ranges).collect()
+    for m in "abc":
+        want = sorted((d for d in data if d[0] == m), key=lambda d: (d[1] is not None, d[1] or 0.0, d[2]))
+        assert [tuple(r)[:4] for r in sorted((r for r in got if r["m"] == m), key=lambda r: r["r"])] == want
+        assert max(r["r"] for r in got if r["m"] == m) == len(want)
+    # A range holds its share, and next to it less than two shares of a value that is one split point: 300 rows of some 630.
+    ranged = ordered._ranged(rows.filter("m != 'c'"), ["m"], "v", 9, F.col("u"), max_ranges)
+    assert ranged.groupBy("m", "_range").count().agg(F.max("count")).first()[0] < 300
+    with pytest.raises(ValueError):
+        ordered.ranked(rows, ["m"], "v", ["id"], spread="u")
+
+
 def test_label_normalise(spark):
     rows = spark.createDataFrame([("YES ", 1), ("false", 2), (None, 3), ("1", 4), ("maybe", 5)], "Problems string, x int")
     assert [r["LABEL"] for r in cleaning.normalise_label(rows).orderBy("x").collect()] == [1, 0, 0, 1, 0]
