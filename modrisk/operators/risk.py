@@ -138,23 +138,25 @@ def rescored(previous: DataFrame, changed: DataFrame, seals=DEFAULT_SEALS) -> Da
 
     Metrics and score of a changed file stay; its line counts are recomputed,
     and the score drops to the quiet cap once no risky line is left.
-    ``changed`` is (path, fname, ext, lang, content).
+    ``changed`` is (path, fname, ext, lang, content), and archive where
+    ``previous`` has it: equal paths of different archives are different files.
     """
+    keys = file_key(previous, changed)
     levels = (
-        line_risks(changed, "path", seals=seals)
-        .groupBy("path")
+        line_risks(changed, *keys, seals=seals)
+        .groupBy(*keys)
         .agg(
             F.count_if(F.col("level") == "high").alias("_high"),
             F.count_if(F.col("level") == "med").alias("_med"),
         )
     )
-    fresh = changed.select("path").join(levels, "path", "left").select(
-        "path",
+    fresh = join_files(changed.select(*keys), levels, "left").select(
+        *keys,
         F.lit(True).alias("_changed"),
         F.coalesce("_high", F.lit(0)).alias("_high"),
         F.coalesce("_med", F.lit(0)).alias("_med"),
     )
-    joined = previous.join(fresh, "path", "left")
+    joined = join_files(previous, fresh, "left")
     touched = F.col("_changed").isNotNull()
     score = F.when(touched, capped(F.col("risk_score"), F.col("_high"), F.col("_med"))).otherwise(
         F.col("risk_score")

@@ -172,3 +172,13 @@ def test_rescored_only_changes_changed_files(spark):
     after = {r["path"]: r for r in rescored(before, changed).collect()}
     assert after["a.py"]["risk_score"] == pytest.approx(0.1) and after["a.py"]["high_lines"] == 0
     assert after["b.py"]["risk_score"] == pytest.approx(0.5) and after["b.py"]["risk_level"] == "HIGH"
+
+
+def test_rescored_tells_archives_apart(spark):
+    data = [("one", "a.py", "if a: eval(1)\n" * 30), ("two", "a.py", "if a: eval(1)\n" * 30), (None, "a.py", "if a: eval(1)\n" * 30)]
+    rows = source_rows(spark.createDataFrame(data, "archive string, path string, content string"))
+    before = file_risk(rows)
+    for gone in ("one", None):
+        changed = rows.filter(F.col("archive").eqNullSafe(F.lit(gone))).withColumn("content", F.lit("x = 1"))
+        after = {r["archive"]: r["high_lines"] for r in rescored(before, changed).collect()}
+        assert after == {a: 0 if a == gone else 30 for a, _, _ in data}
