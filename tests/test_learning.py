@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from modrisk.functions.tasks import tasks_for
 from modrisk.operators import evaluation, explain, models
 from modrisk.plans.analysis import analyse
 from modrisk.plans.preprocessing import Preprocessor, with_folds
@@ -181,3 +182,25 @@ def test_preprocessor_end_to_end(spark):
     files = source_rows(spark.createDataFrame([("a.py", "if a: eval(1)\n" * 250)], "path string, content string"))
     with_model = analyse(files, preprocessor=steps, model=fitted).risks.first()["risk_score"]
     assert 0.0 < with_model < 1.0
+
+
+def test_training_rows_are_dealt_evenly(spark):
+    """Hashed by class all rows of a class are in one partition; they must not stay there."""
+    rows = spark.range(60_000).select(
+        F.col("id"), (F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 10 == 0).cast("int").alias("LABEL")
+    )
+    table = models.model_table(rows.repartition(8, "LABEL"), ["a"], keep=["id"])
+    even = models.compacted(table)
+    sizes = [n for n in even.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect() if n]
+    assert len(sizes) == 3 and sum(sizes) == 60_000 and max(sizes) <= 21_000
+    assert even.agg(F.countDistinct("id")).first()[0] == 60_000
+    small = models.compacted(table.limit(500))
+    assert small.rdd.getNumPartitions() == 1
+    network = models.training_rows(models.NETWORK, even)
+    sizes = network.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == spark.sparkContext.defaultParallelism and max(sizes) < 1.1 * min(sizes)
+    assert network.filter("label = 1").count() == 54_000
+
+
+def test_tasks_grow_with_rows_and_keep_all_cores_busy():
+    assert [tasks_for(n, 12) for n in (0, 20_000, 20_001, 10**6, 36 * 10**6)] == [1, 1, 2, 12, 144]
