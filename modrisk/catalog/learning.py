@@ -8,6 +8,7 @@ from modrisk.catalog import query
 from modrisk.catalog.scores import WITH as SCORES_WITH, scored
 from modrisk.catalog.tables import metrics, rounded
 from modrisk.catalog.views import documents, table
+from modrisk.functions.tasks import dealt
 from modrisk.operators import evaluation, explain, features, models, sampling
 from modrisk.operators.cleaning import col
 from modrisk.plans.preprocessing import Preprocessor, with_folds
@@ -254,10 +255,10 @@ def native_importance(spark, sf):
 
 @query("feature_selection")
 def feature_selection(spark, sf):
-    rows = metrics(spark, sf).drop("k", "l_orderkey", "l_partkey")
+    rows = dealt(metrics(spark, sf).drop("k", "l_orderkey", "l_partkey")).persist()
     columns = [c for c in rows.columns if c != "LABEL"]
     return features.union_of_tops(
-        features.mutual_information(rows, columns), features.forest_importance(rows, columns), 10
+        features.mutual_information(rows, columns), features.forest_importance(rows, columns, even=True), 10
     )
 
 

@@ -10,6 +10,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.sql import Column, DataFrame, functions as F
 
 from modrisk.functions.ordered import ROWS_PER_RANGE, exact_quantiles
+from modrisk.functions.tasks import dealt
 from modrisk.operators.cleaning import LABEL, _Readable, col, feature_columns
 
 # Heavy-tailed metrics, products and ratios.
@@ -172,10 +173,20 @@ def forest_importance(
     trees: int = FOREST_TREES,
     depth: int = FOREST_DEPTH,
     seed: int = 42,
+    even: bool = False,
 ) -> DataFrame:
-    """Importance of each column in a class-balanced random forest."""
+    """Importance of each column in a class-balanced random forest.
+
+    Every level of the trees is a pass over partitions as they come, so rows are dealt out evenly first; ``even`` says
+    that they are.
+    """
     from modrisk.operators.sampling import with_class_weights
 
+    if not even:
+        narrow = dealt(rows.select(*[col(c) for c in dict.fromkeys([*columns, label])])).persist()
+        found = forest_importance(narrow, columns, label, trees, depth, seed, even=True)
+        narrow.unpersist()
+        return found
     weighted = with_class_weights(rows, label)
     # Assembled under plain names, because assembler inputs cannot hold dots or brackets.
     plain = weighted.select(
@@ -214,14 +225,16 @@ class FeatureEngineer(Estimator, _Readable):
 
     def _fit(self, rows: DataFrame) -> "FeatureEngineerModel":
         logs = log_columns(feature_columns(rows))
+        rows = dealt(rows).persist()
         wide = with_ratios(with_products(with_logs(rows, logs)))
         columns = feature_columns(wide)
         n = min(self.getOrDefault(self.keep), len(columns))
         by_information = mutual_information(wide, columns)
         by_forest = forest_importance(
-            wide, columns, trees=self.getOrDefault(self.trees), seed=self.getOrDefault(self.seed)
+            wide, columns, trees=self.getOrDefault(self.trees), seed=self.getOrDefault(self.seed), even=True
         )
         selected = [r["feature"] for r in union_of_tops(by_information, by_forest, n).collect()]
+        rows.unpersist()
         return FeatureEngineerModel(logs=logs, selected=selected)
 
 
