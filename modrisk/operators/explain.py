@@ -67,8 +67,8 @@ def permutation_attribution(
     variants: each (set of features, background row) is scored once a row, the
     row as it is once, and the background rows once altogether. A variant's
     probability then counts for the features that led to its set and against
-    those that follow, so plain sums a row give the result; they combine before
-    the shuffle. The number of variants is fixed by the arguments, not by the
+    those that follow, so plain sums a row give the result, made where the row
+    was scored. The number of variants is fixed by the arguments, not by the
     data. ``model`` is anything with ``transform``, a ``models.Formula`` too.
     """
     n = len(columns)
@@ -84,34 +84,31 @@ def permutation_attribution(
     whole, none = frozenset(range(n)), frozenset()
     sets = sorted((s for s in credit if s not in (whole, none)), key=lambda s: (len(s), sorted(s)))
 
-    def literal(values: list[list], kind: str) -> Column:
-        return F.array(*[F.array(*[F.lit(v) for v in row]) for row in values]).cast(f"array<array<{kind}>>")
-
     def probability(frame: DataFrame, *keep: str) -> DataFrame:
         return model.transform(frame).select(*keep, F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
 
     spark = rows.sparkSession
     grounds = spark.createDataFrame([([float(v) for v in b],) for b in base], "x array<double>")
     ground = probability(grounds.select(array_to_vector("x").alias("features"))).agg(F.avg("_p")).first()[0]
-    x = F.array(*[F.coalesce(col(c).cast("double"), F.lit(0.0)) for c in columns])
-    own = rows.select(col(key).alias("row_id"), x.alias("_x"))
-    if sets:
-        masks = literal([[int(i in s) for i in range(n)] for s in sets], "int")
-        variants = own.select("*", F.posexplode(masks).alias("_set", "_on")).select("*", F.explode(literal(base, "double")).alias("_base"))
-        mixed = F.transform("_x", lambda v, i: F.when(F.get("_on", i) == 1, v).otherwise(F.get("_base", i)))
-        between = variants.select("row_id", "_x", "_set", F.lit(1.0 / len(base)).alias("_share"), array_to_vector(mixed).alias("features"))
-        full = own.select("row_id", "_x", F.lit(len(sets)).alias("_set"), F.lit(1.0).alias("_share"), array_to_vector("_x").alias("features"))
-        between = between.unionByName(full)
-    else:
-        between = own.select("row_id", "_x", F.lit(0).alias("_set"), F.lit(1.0).alias("_share"), array_to_vector("_x").alias("features"))
-    credits = literal([*[credit[s] for s in sets], credit[whole]], "double")
-    scored = probability(between, "row_id", "_x", "_set", "_share").withColumn("_credit", F.get(credits, F.col("_set")))
+    # Every variant of a row: what its probability counts for each feature, what is switched on, and the rest's values.
+    listed = [{"credit": [c / len(base) for c in credit[s]], "on": [i in s for i in range(n)], "base": [float(v) for v in b]} for s in sets for b in base]
+    listed = json.dumps([*listed, {"credit": credit[whole], "on": [True] * n, "base": [0.0] * n}])
+    listed = F.from_json(F.lit(listed), "array<struct<credit: array<double>, on: array<boolean>, base: array<double>>>")
+    own = rows.select(col(key).alias("row_id"), *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(f"_x{i}") for i, c in enumerate(columns)])
+    # Each of these small rows is scored many times: they are dealt by a given number, which is not cut down by their size,
+    # and the sums below find them together. Plain columns, since sums that carry arrays along are made by sorting.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    variants = own.repartition(tasks, "row_id").select("*", F.inline(listed).alias("_credit", "_on", "_base"))
+    mixed = F.array(*[F.when(F.get("_on", F.lit(i)), F.col(f"_x{i}")).otherwise(F.get("_base", F.lit(i))) for i in range(n)])
+    own_columns = [f"_x{i}" for i in range(n)]
+    scored = probability(variants.select("row_id", *own_columns, "_credit", array_to_vector(mixed).alias("features")), "row_id", *own_columns, "_credit")
     sums = scored.groupBy("row_id").agg(
-        F.any_value("_x").alias("_x"), *[F.sum(F.get("_credit", F.lit(i)) * F.col("_p") * F.col("_share")).alias(f"_s{i}") for i in range(n)]
+        *[F.any_value(x).alias(x) for x in own_columns],
+        *[F.sum(F.get("_credit", F.lit(i)) * F.col("_p")).alias(f"_s{i}") for i in range(n)],
     )
     parts = [
         F.struct(
-            F.lit(c).alias("feature"), F.get("_x", F.lit(i)).alias("value"),
+            F.lit(c).alias("feature"), F.col(f"_x{i}").alias("value"),
             ((F.col(f"_s{i}") + F.lit(float(credit[none][i] * ground))) / F.lit(float(len(orders)))).alias("contribution"),
         )
         for i, c in enumerate(columns)
