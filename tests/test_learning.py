@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from modrisk.functions.tasks import tasks_for
-from modrisk.operators import evaluation, explain, models
+from modrisk.operators import evaluation, explain, features, models
 from modrisk.plans.analysis import analyse
 from modrisk.plans.preprocessing import Preprocessor, with_folds
 
@@ -204,3 +204,49 @@ def test_training_rows_are_dealt_evenly(spark):
 
 def test_tasks_grow_with_rows_and_keep_all_cores_busy():
     assert [tasks_for(n, 12) for n in (0, 20_000, 20_001, 10**6, 36 * 10**6)] == [1, 1, 2, 12, 144]
+
+
+def test_forest_gets_rows_of_one_row_group_in_even_tasks(spark, monkeypatch):
+    rows = spark.range(0, 60_000, 1, 1).select(
+        (F.col("id") % 97).cast("double").alias("loc"), (F.col("id") % 31).cast("double").alias("v(g)"), (F.col("id") % 2).cast("int").alias("LABEL")
+    )
+    seen = []
+
+    class Forest:
+        def __init__(self, **settings):
+            pass
+
+        def fit(self, table):
+            seen.append(table.rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect())
+            return self
+
+        featureImportances = np.arange(99.0).view(type("Values", (np.ndarray,), {"toArray": lambda self: self}))
+
+    monkeypatch.setattr(features, "RandomForestClassifier", Forest)
+    assert features.forest_importance(rows, ["loc", "v(g)"]).count() == 2
+    features.FeatureEngineer(keep=2).fit(rows)
+    assert len(seen) == 2
+    for sizes in seen:
+        assert sum(sizes) == 60_000 and len(sizes) == 3 and max(sizes) < 1.1 * min(sizes)
+
+
+def test_attribution_sums_are_not_made_by_sorting(spark):
+    rows = spark.createDataFrame([(1, 0.2, 0.4), (2, None, 0.9), (2, 0.7, 0.1), (None, 0.5, 0.5)], "id long, a double, b double")
+    formula = models.Formula(lambda x: 0.1 + 0.5 * F.get(x, F.lit(0)) + 0.2 * F.get(x, F.lit(1)) * F.get(x, F.lit(0)))
+    found = explain.permutation_attribution(formula, rows, "id", ["a", "b"], [[0.0, 0.0], [1.0, 1.0]], "f", permutations=2)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan and "Union" not in plan
+
+    def p(a, b):
+        return 0.1 + 0.5 * a + 0.2 * a * b
+
+    got = {(r["row_id"], r["feature"]): r["contribution"] for r in found.collect()}
+    assert len(got) == 6  # rows of one id count together
+    for key, a, b in ((1, 0.2, 0.4), (None, 0.5, 0.5)):
+        first = sum((p(a, d) - p(c, d)) + (p(a, b) - p(c, b)) for c, d in ((0, 0), (1, 1))) / 4
+        assert got[key, "a"] == pytest.approx(first)
+        total = p(a, b) - (p(0, 0) + p(1, 1)) / 2
+        assert got[key, "a"] + got[key, "b"] == pytest.approx(total)
+    one = models.Formula(lambda x: 0.5 * F.get(x, F.lit(0)))
+    alone = explain.permutation_attribution(one, rows.filter("id = 1"), "id", ["a"], [[0.0], [1.0]], "f", permutations=2)
+    assert alone.first()["contribution"] == pytest.approx(0.1 - 0.25)
