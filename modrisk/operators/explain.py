@@ -9,18 +9,21 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 from modrisk.functions.bands import band
 from modrisk.functions.draws import draw
 from modrisk.functions.ordered import ROWS_PER_RANGE, exact_quantiles, ranked
+from modrisk.operators.boxes import Boxes, boxes
 from modrisk.operators.cleaning import col
 
 # Sizes of backgrounds, samples and reports.
 LINEAR_BACKGROUND, PERMUTATION_BACKGROUND = 100, 50
 SURROGATE_SAMPLES = 500
 SURROGATE_QUARTILES = 4
+QUARTILE_SHARES = 16
 KERNEL_FACTOR = 0.75
 GLOBAL_TOP, WATERFALL_TOP, HEATMAP_TOP, HEATMAP_SAMPLES = 15, 12, 10, 200
 COMPARISON_TOP, BREAKDOWN_TOP, SURROGATE_TOP, NARRATIVE_TOP = 10, 8, 10, 5
@@ -226,6 +229,81 @@ def surrogate_draws(samples: int, features: int, seed: int = 42) -> list[list[fl
     return [[rng.random() for _ in range(features)] for _ in range(samples)]
 
 
+def _kernel(apart, k: int):
+    """The exponent of a perturbed row's weight, by the number of features that moved."""
+    return -apart / (KERNEL_FACTOR * math.sqrt(k)) ** 2
+
+
+def _scored_sums(model, own: DataFrame, listed: list[dict], pairs: list[tuple[int, int]]) -> DataFrame:
+    """(row_id, sums) of a local surrogate: every perturbed row is scored. Columns, not array functions, which are not compiled."""
+    k = len(listed[0]["pick"])
+    drawn = F.from_json(F.lit(json.dumps(listed)), "array<struct<n: double, pick: array<int>, level: array<double>>>")
+    # Each of these small rows is scored many times: they are dealt by a given number, which is not cut down by their size,
+    # and the sums below find them together.
+    tasks = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = own.repartition(tasks, "row_id").select("*", F.inline(drawn).alias("_n", "_pick", "_level"))
+    z = [F.col(f"_z{j}") for j in range(k)]
+    stays = [(F.get("_pick", F.lit(j)) == -1) | (F.get("_pick", F.lit(j)) == F.col(f"_own{j}")) for j in range(k)]
+    moved = F.array(*[F.when(stays[j], F.col(f"_x{j}")).otherwise(F.get("_level", F.lit(j))) for j in range(k)])
+    scored = model.transform(
+        placed.select("row_id", "_n", *[stays[j].cast("double").alias(f"_z{j}") for j in range(k)], array_to_vector(moved).alias("features"))
+    ).select("row_id", "_n", *z, F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
+    apart = F.lit(float(k))
+    for same in z:
+        apart = apart - same
+    weighed = scored.withColumn("_w", F.col("_n") * F.sqrt(F.exp(_kernel(apart, k))))
+    return weighed.groupBy("row_id").agg(
+        F.array(
+            F.sum("_w"), F.sum(F.col("_w") * F.col("_p")), *[F.sum(F.col("_w") * z[j] * F.col("_p")) for j in range(k)],
+            *[F.sum(F.col("_w") * z[i] * z[j]) for i, j in pairs],
+        ).alias("sums")
+    )
+
+
+def _boxed_sums(held: Boxes, own: DataFrame, listed: list[dict], pairs: list[tuple[int, int]]) -> DataFrame:
+    """The same sums for a forest: rows with the same own quartiles share one table of what their perturbed rows add up to.
+
+    They are dealt by these quartiles, in ``QUARTILE_SHARES`` shares each, since many rows may have the same.
+    """
+    k = len(listed[0]["pick"])
+    n, pick = np.array([float(v["n"]) for v in listed]), np.array([v["pick"] for v in listed])
+    fixed = held.holding(np.array([v["level"] for v in listed]))
+    kept = np.arange(2**k)[:, None] >> np.arange(k) & 1
+    weight = np.sqrt(np.exp(_kernel(k - kept.sum(axis=1), k)))
+    factors = weight[:, None] * np.column_stack([np.ones(2**k), kept])
+
+    def of(quartiles):
+        stays = (pick == -1) | (pick == quartiles)
+        bits = stays @ (1 << np.arange(k))
+        w = n * weight[bits]
+        return held.table(bits, fixed, n, factors), w.sum(), [w[stays[:, i] & stays[:, j]].sum() for i, j in pairs]
+
+    columns = ["row_id", *[f"_s{i}" for i in range(2 + k + len(pairs))]]
+
+    def summed(batches):
+        last, made = None, None
+        for batch in batches:
+            values, cells = (np.column_stack([batch.column(f"{c}{j}").to_numpy() for j in range(k)]) for c in ("_x", "_own"))
+            out = np.empty((len(values), len(columns) - 1))
+            starts = [0, *(np.flatnonzero((cells[1:] != cells[:-1]).any(axis=1)) + 1)]
+            for begin, end in zip(starts, [*starts[1:], len(values)]):
+                if begin == end:
+                    continue
+                if last is None or (cells[begin] != last).any():
+                    last, made = cells[begin].copy(), of(cells[begin])
+                table, total, plain = made
+                out[begin:end, 0], out[begin:end, 2 + k :] = total, plain
+                out[begin:end, 1 : 2 + k] = held.sums(values[begin:end], table)
+            yield pa.RecordBatch.from_arrays([batch.column("row_id"), *[pa.array(s) for s in out.T]], names=columns)
+
+    kind = own.select("row_id").schema.simpleString().removeprefix("struct<").removesuffix(">")
+    cell = [f"_own{j}" for j in range(k)]
+    tasks = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = own.repartition(tasks, *cell, F.pmod(F.xxhash64("row_id"), F.lit(QUARTILE_SHARES))).sortWithinPartitions(*cell)
+    each = placed.mapInArrow(summed, f"{kind}, " + ", ".join(f"{c} double" for c in columns[1:]))
+    return each.groupBy("row_id").agg(F.array(*[F.sum(c) for c in columns[1:]]).alias("sums"))
+
+
 def local_surrogate(
     model, rows: DataFrame, key: str, columns: list[str], training: DataFrame,
     samples: int = SURROGATE_SAMPLES, top: int = SURROGATE_TOP, seed: int = 42,
@@ -238,9 +316,10 @@ def local_surrogate(
     quartiles stayed. Besides the row itself there are ``samples`` - 1 perturbed
     rows; all rows share the draws, and equal draws are scored once and count as
     often as they came. The weighted sums that a ridge regression needs are
-    plain sums a row, made where the row was scored; a k x k system is then solved
-    for each row. Null values count as 0; of equal weights the feature named
-    first leads, where weights are compared to nine decimals.
+    plain sums a row, made where the row was scored, or for a forest of few
+    features from its boxes; a k x k system is then solved for each row. Null
+    values count as 0; of equal weights the feature named first leads, where
+    weights are compared to nine decimals.
     """
     k = len(columns)
     quartiles = exact_quantiles(training, columns, [0.25, 0.5, 0.75])
@@ -262,36 +341,17 @@ def local_surrogate(
     picks = Counter(
         tuple(sum(u >= end for end in ends[j]) for j, u in enumerate(draws)) for draws in surrogate_draws(samples - 1, k, seed)
     )
-    # The row itself picks its own quartile of every feature. Columns, not array functions, which are not compiled.
+    # The row itself picks its own quartile of every feature.
     listed = [{"n": n, "pick": list(pick), "level": [levels[j][b] for j, b in enumerate(pick)]} for pick, n in sorted(picks.items())]
-    listed = json.dumps([{"n": 1, "pick": [-1] * k, "level": [0.0] * k}, *listed])
-    drawn = F.from_json(F.lit(listed), "array<struct<n: double, pick: array<int>, level: array<double>>>")
+    listed = [{"n": 1, "pick": [-1] * k, "level": [0.0] * k}, *listed]
     values = [F.coalesce(v, F.lit(0.0)) for v in value]
     own = rows.select(
         col(key).alias("row_id"), *[v.alias(f"_x{j}") for j, v in enumerate(values)], *[cell(v, cuts[j]).alias(f"_own{j}") for j, v in enumerate(values)]
     )
-    # Each of these small rows is scored many times: they are dealt by a given number, which is not cut down by their size,
-    # and the sums below find them together.
-    tasks = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    placed = own.repartition(tasks, "row_id").select("*", F.inline(drawn).alias("_n", "_pick", "_level"))
-    z = [F.col(f"_z{j}") for j in range(k)]
-    stays = [(F.get("_pick", F.lit(j)) == -1) | (F.get("_pick", F.lit(j)) == F.col(f"_own{j}")) for j in range(k)]
-    moved = F.array(*[F.when(stays[j], F.col(f"_x{j}")).otherwise(F.get("_level", F.lit(j))) for j in range(k)])
-    scored = model.transform(
-        placed.select("row_id", "_n", *[stays[j].cast("double").alias(f"_z{j}") for j in range(k)], array_to_vector(moved).alias("features"))
-    ).select("row_id", "_n", *z, F.get(vector_to_array("probability"), F.lit(1)).alias("_p"))
-    apart = F.lit(float(k))
-    for same in z:
-        apart = apart - same
-    width = KERNEL_FACTOR * math.sqrt(k)
-    weighed = scored.withColumn("_w", F.col("_n") * F.sqrt(F.exp(-apart / F.lit(width**2))))
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
-    sums = weighed.groupBy("row_id").agg(
-        F.array(
-            F.sum("_w"), F.sum(F.col("_w") * F.col("_p")), *[F.sum(F.col("_w") * z[j] * F.col("_p")) for j in range(k)],
-            *[F.sum(F.col("_w") * z[i] * z[j]) for i, j in pairs],
-        ).alias("sums")
-    )
+    held = boxes(rows.sparkSession, model, k)
+    sums = _scored_sums(model, own, listed, pairs) if held is None else _boxed_sums(held, own, listed, pairs)
+    kind = rows.select(col(key).alias("row_id")).schema.simpleString().removeprefix("struct<").removesuffix(">")
 
     def solve(batches):
         at = np.array(pairs).T
@@ -308,7 +368,6 @@ def local_surrogate(
             beta = np.linalg.solve(left, right[:, :, None])[:, :, 0]
             yield pd.DataFrame({"row_id": batch["row_id"], "weights": list(beta)})
 
-    kind = rows.select(col(key).alias("row_id")).schema.simpleString().removeprefix("struct<").removesuffix(">")
     solved = sums.mapInPandas(solve, f"{kind}, weights array<double>")
     names = F.array(*[F.lit(c) for c in columns])
     order = F.slice(

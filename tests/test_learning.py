@@ -105,6 +105,33 @@ def test_surrogate_like_one_row_at_a_time(spark, rows):
         assert got[at] == (pytest.approx(weight, abs=1e-9), rank)
 
 
+def test_surrogate_of_a_forest_scores_no_variants(spark, rows, table, monkeypatch):
+    """The sums from a forest's boxes are those of perturbed rows scored one by one, for repeated ids, nulls and thresholds too."""
+    forest = models.random_forest(trees=7, depth=4).fit(table)
+    cuts = [r[0] for r in rows.select("a").limit(5).collect()]
+    odd = [(10_000 + i, x, 1.0, None) for i, x in enumerate([*cuts, None, float("nan"), float("inf")])] + [(10_000, 0.5, 2.0, -1.0), (None, 0.1, 0.2, 0.3)]
+    asked = rows.limit(40).select("id", *COLUMNS[:3]).unionByName(
+        spark.createDataFrame(odd, f"id long, {', '.join(f'{c} double' for c in COLUMNS[:3])}")
+    )
+
+    def found():
+        out = explain.local_surrogate(forest, asked, "id", COLUMNS, rows, samples=80, top=3)
+        return {(r["row_id"], r["feature"]): (r["weight"], r["rank"]) for r in out.collect()}
+
+    with monkeypatch.context() as patch:
+        patch.setattr(explain, "boxes", lambda *_: None)
+        want = found()
+
+    def scored(*_):
+        raise AssertionError("variants were scored")
+
+    monkeypatch.setattr(type(forest), "transform", scored)
+    got = found()
+    assert got.keys() == want.keys() and len(got) == 3 * (40 + 8 + 1)
+    for at, (weight, rank) in want.items():
+        assert got[at] == (pytest.approx(weight, abs=1e-12), rank)
+
+
 def test_waterfall_ends_at_the_total(rows, logistic):
     parts = explain.explain_linear(logistic, rows, "id", COLUMNS, rows, "lr")
     steps = explain.waterfall(parts, 0.0, top=2)
