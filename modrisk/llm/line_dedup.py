@@ -106,22 +106,25 @@ class _Lines:
         self.texts = written(wanted.join(self.table, F.col("w") == F.col("k")).select("k", "line"), f"{folder}/texts", codec="zstd")
 
     def compared(self, pairs: DataFrame, folder: str, size: int, threshold: float, turn: int) -> DataFrame:
-        """(u, v, similar, marks) of pairs; v may be a hot key. ``marks`` name what sets u apart from v."""
+        """(u, v, similar, marks) of pairs; v may be a hot key. ``marks`` name what sets u apart from v, if others were compared
+        with v too: what v leads alone has nobody left to meet."""
         text = self.texts.select("k", "line")
-        right = pairs.select("v").distinct().join(text, F.col("v") == F.col("k")).select("v", F.col("line").alias("b"))
+        led = pairs.groupBy("v").agg((F.count(F.lit(1)) > 1).alias("several"))
+        right = led.join(text, F.col("v") == F.col("k")).select("v", "several", F.col("line").alias("b"))
         right = written(right, f"{folder}/right")
         left = pairs.join(text, F.col("u") == F.col("k")).select("u", "v", F.col("line").alias("a"))
         left = written(left, f"{folder}/left")
         # Through generators: what is used more than once is made once a pair.
         sets = F.struct(shingles(F.col("a"), size).alias("x"), shingles(F.col("b"), size).alias("y"))
-        both = left.join(right, "v").select("u", "v", F.inline(F.array(sets)))
+        both = left.join(right, "v").select("u", "v", "several", F.inline(F.array(sets)))
         more = F.struct(F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"), F.size("x").alias("n"))
-        apart = both.select("u", "v", F.inline(F.array(more)))
+        apart = both.select("u", "v", "several", F.inline(F.array(more)))
         common = F.col("n") - F.size("more")
         similar = common >= F.lit(threshold) * (F.col("n") + F.size("less"))
         marks = _marks("more", turn)
         if turn == 0:
             marks = F.concat(marks, _marks("less", -1))
+        marks = F.when(F.col("several"), marks)
         return written(apart.select("u", "v", similar.alias("similar"), marks.alias("marks")), f"{folder}/compared")
 
     def drop(self) -> None:
@@ -189,7 +192,7 @@ def _links(lines: _Lines, rows: DataFrame, folder: str, size: int, threshold: fl
     links = found.filter("similar").select("u", "v")
     # ``home`` is a line that u is known to be linked with, or u itself.
     home = F.when(F.col("similar"), F.col("v")).otherwise(F.col("u"))
-    dealt = found.select("u", home.alias("home"), F.explode("marks").alias("mark"), "v").select("u", "home", F.xxhash64("v", "mark").alias("bucket"))
+    dealt = _dealt(found.select(F.col("v").alias("bucket"), "u", home.alias("home"), "marks"))
     turn = 0
     while True:
         turn += 1
@@ -208,9 +211,17 @@ def _links(lines: _Lines, rows: DataFrame, folder: str, size: int, threshold: fl
         found = lines.compared(pairs, at, size, threshold, turn)
         links = links.unionByName(found.filter("similar").select("u", "v"))
         home = F.when(F.col("similar"), F.col("v")).otherwise(F.col("home"))
-        dealt = led.join(found, ["u", "v"]).select("u", home.alias("home"), F.explode("marks").alias("mark"), "bucket").select(
-            "u", "home", F.xxhash64("bucket", "mark").alias("bucket")
-        )
+        dealt = _dealt(led.join(found, ["u", "v"]).select("bucket", "u", home.alias("home"), "marks"))
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """(u, home, bucket): the members of each bucket, without its leader, dealt to buckets of their own by their marks.
+
+    A bucket whose members all belong together by now is done, since buckets come from one bucket.
+    """
+    homes = members.groupBy("bucket").agg(F.min("home").alias("low"), F.max("home").alias("high"))
+    apart = members.join(homes.filter("low < high").select("bucket"), "bucket")
+    return apart.select("u", "home", F.explode("marks").alias("mark"), "bucket").select("u", "home", F.xxhash64("bucket", "mark").alias("bucket"))
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -105,6 +105,30 @@ def test_variants_of_a_template_cost_no_pairs(spark, monkeypatch):
     assert sum(sizes) < 12 * len(docs), sizes
 
 
+def test_no_marks_for_lines_with_nobody_left_to_meet(spark, monkeypatch):
+    """A line compared alone with its leader gets no marks, and buckets whose lines all belong together are not dealt."""
+    draw = random.Random(4)
+    word = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    docs = []
+    for i in range(20):
+        head, tail = word(90), word(90)
+        docs += [(2 * i, f"{head} {word(60)} {tail}"), (2 * i + 1, f"{head} {word(60)} {tail}")]
+    compared, marked = line_dedup._Lines.compared, []
+
+    def counted(self, *rest):
+        found = compared(self, *rest)
+        marked.append((found.count(), found.filter("marks is not null").count()))
+        return found
+
+    monkeypatch.setattr(line_dedup._Lines, "compared", counted)
+    found = line_dedup.line_classes(spark.createDataFrame(docs, "doc_id long, text string"), bands=12)
+    assert rows_of(found) == slow(docs)[0]
+    assert len(marked) == 1 and marked[0][0] >= 10 and marked[0][1] == 0
+    members = [(1, 10, 7, [1, 2]), (1, 11, 7, [1]), (2, 12, 12, [1, 2]), (2, 13, 7, [3]), (3, 14, 14, [5]), (4, 15, 15, None), (4, 16, 16, [1])]
+    dealt = line_dedup._dealt(spark.createDataFrame(members, "bucket long, u long, home long, marks array<long>"))
+    assert sorted((r["u"], r["home"]) for r in dealt.collect()) == [(12, 12), (12, 12), (13, 7), (16, 16)]
+
+
 def test_odd_rows(spark, odd, nothing):
     want, _ = slow([(r["doc_id"], r["text"]) for r in odd.collect()])
     result = line_dedup.line_classes(odd.withColumn("k", F.lit(1)))
