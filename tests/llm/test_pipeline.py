@@ -73,3 +73,21 @@ def test_no_rows_go_through_all_stages(spark, nothing, sf):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
     assert docs.count() == 0 and "ids_sha256" in docs.columns
+
+
+def test_what_a_worker_keeps_of_encoded_texts_is_bounded(spark, monkeypatch):
+    given = {}
+    encoded = corpus_pipeline.bpe.encoded
+    monkeypatch.setattr(corpus_pipeline.bpe, "encoded", lambda *a, **options: given.update(options) or encoded(*a, **options))
+    docs = spark.createDataFrame([(1, "some words", "x")], "doc_id long, text string, source string")
+    assert corpus_pipeline.encode(spark, docs, "").count() == 1
+    options = {k: given[k] for k in ("apart", "chunks", "words") if k in given}
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    encoder = corpus_pipeline.bpe.Encoder(t, **options)
+    for at in range(0, 260_000, 2000):
+        text = " ".join(f"w{i:x}" for i in range(at, at + 2000))
+        ids = encoder.encode(text)
+        if at % 50_000 == 0:
+            assert ids.tolist() == t.encode(text, add_special_tokens=False).ids
+    caches = [encoder.words, encoder.chunks, encoder.joins]
+    assert [len(c.new) + len(c.old) <= n for c, n in zip(caches, (200_000, 10_000, 10_000), strict=True)] == [True] * 3
