@@ -57,10 +57,15 @@ def _shingle(codes: Column, at: Column, size: int) -> Column:
 
 
 def shingles(line: Column, size: int) -> Column:
-    """The set of hashes of all runs of ``size`` characters of a line that has at least one; the regular expression is several
-    times faster here than a slice for each place."""
+    """The hashes of all runs of ``size`` characters of a line that has at least one. A line of single bytes is sliced; a lambda's
+    variable keeps its bytes at hand, or else each slice would copy the line. For others the regular expression is several times
+    faster than a slice for each place."""
+    places = F.sequence(F.lit(1), F.length(line) - (size - 1))
+    sliced = F.transform(F.array(line.cast("binary")), lambda b: F.transform(places, lambda i: F.xxhash64(F.substr(b, i, F.lit(size)))))[0]
     runs = F.regexp_extract_all(line, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
-    return F.array_distinct(F.transform(runs, lambda x: F.xxhash64(x)))
+    found = F.transform(runs, lambda x: F.xxhash64(x))
+    single = (F.length(line) == F.octet_length(line)) & (F.length(line) >= size)
+    return F.when(single, sliced).otherwise(found)
 
 
 def _points(n: int) -> list[int]:
@@ -106,7 +111,7 @@ class _Lines:
         self.texts = written(wanted.join(self.table, F.col("w") == F.col("k")).select("k", "line"), f"{folder}/texts", codec="zstd")
 
     def compared(self, pairs: DataFrame, folder: str, size: int, threshold: float, turn: int) -> DataFrame:
-        """(u, v, similar, marks) of pairs; v may be a hot key. ``marks`` name what sets u apart from v, if others were compared
+        """(u, v, similar, marks) of pairs, a row for each side in the first turn; v may be a hot key. ``marks`` name what sets u apart from v, if others were compared
         with v too: what v leads alone has nobody left to meet."""
         text = self.texts.select("k", "line")
         led = pairs.groupBy("v").agg((F.count(F.lit(1)) > 1).alias("several"))
@@ -114,36 +119,42 @@ class _Lines:
         right = written(right, f"{folder}/right")
         left = pairs.join(text, F.col("u") == F.col("k")).select("u", "v", F.col("line").alias("a"))
         left = written(left, f"{folder}/left")
-        # Through generators: what is used more than once is made once a pair.
+        # Through generators: what is used more than once is made once a pair. The differences of x and y are sets, repeated hashes or not.
         sets = F.struct(shingles(F.col("a"), size).alias("x"), shingles(F.col("b"), size).alias("y"))
         both = left.join(right, "v").select("u", "v", "several", F.inline(F.array(sets)))
-        more = F.struct(F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"), F.size("x").alias("n"))
+        more = F.struct(F.array_except("x", "y").alias("more"), F.array_except("y", "x").alias("less"), F.size(F.array_distinct("x")).alias("n"))
         apart = both.select("u", "v", "several", F.inline(F.array(more)))
         common = F.col("n") - F.size("more")
         similar = common >= F.lit(threshold) * (F.col("n") + F.size("less"))
-        marks = _marks("more", turn)
-        if turn == 0:
-            marks = F.concat(marks, _marks("less", -1))
-        marks = F.when(F.col("several"), marks)
-        return written(apart.select("u", "v", similar.alias("similar"), marks.alias("marks")), f"{folder}/compared")
+        sides = [
+            F.struct(F.lit(name == "less").alias("less"), F.when(F.col("several"), F.col(name)).alias("set"))
+            for name in (["more", "less"] if turn == 0 else ["more"])
+        ]
+        sided = apart.select("u", "v", "several", similar.alias("similar"), F.inline(F.array(*sides)))
+        return written(_marked(sided, turn), f"{folder}/compared")
 
     def drop(self) -> None:
         """Forgets the table's name; its files stay in the work folder."""
         self.table.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
 
 
-def _marks(column: str, turn: int) -> Column:
-    """``MARKS`` names for a set of hashes, each from two neighbours in a ring of MinHash components; none for an empty set."""
-    draw = random.Random(turn)
+def _marked(sided: DataFrame, turn: int) -> DataFrame:
+    """(u, v, similar, marks) for each pair and side: ``MARKS`` names for its set of hashes, each from two neighbours in a ring of
+    MinHash components; none for an empty set, null without ``several``.
 
-    def lowest() -> Column:
-        point = F.lit(draw.getrandbits(64) - 2**63)
-        return F.array_min(F.transform(column, lambda x: x.bitwiseXOR(point)))
-
-    found = F.transform(F.array(F.array(*[lowest() for _ in range(MARKS)])), lambda c: F.array(
-        *[F.xxhash64(F.lit(column), F.lit(i), c[i], c[(i + 1) % MARKS]) for i in range(MARKS)]
-    ))
-    return F.when(F.size(column) > 0, found[0]).otherwise(F.array().cast("array<bigint>"))
+    The smallest hashes are found by aggregation, in generated code. Its key is not v, by which the rows are dealt, so that Spark can
+    still split a hot v: rows of a pair lie in one task, which sends one row on.
+    """
+    draws = [random.Random(turn), random.Random(-1)]
+    points = [[draw.getrandbits(64) - 2**63 for _ in range(MARKS)] for draw in draws]
+    point = lambda i: F.when(F.col("less"), F.lit(points[1][i])).otherwise(F.lit(points[0][i]))
+    at = sided.select("u", F.bitwise_not("v").alias("w"), "several", "similar", "less", F.explode_outer("set").alias("x"))
+    lowest = [F.min(F.col("x").bitwiseXOR(point(i))).alias(f"c{i}") for i in range(MARKS)]
+    found = at.groupBy("u", "w", "several", "similar", "less").agg(*lowest)
+    side = F.when(F.col("less"), F.lit("less")).otherwise(F.lit("more"))
+    names = F.array(*[F.xxhash64(side, F.lit(i), F.col(f"c{i}"), F.col(f"c{(i + 1) % MARKS}")) for i in range(MARKS)])
+    some = F.when(F.col("c0").isNotNull(), names).otherwise(F.array().cast("array<bigint>"))
+    return found.select("u", F.bitwise_not("w").alias("v"), "similar", F.when(F.col("several"), some).alias("marks"))
 
 
 def line_classes(

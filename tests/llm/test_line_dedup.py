@@ -129,6 +129,38 @@ def test_no_marks_for_lines_with_nobody_left_to_meet(spark, monkeypatch):
     assert sorted((r["u"], r["home"]) for r in dealt.collect()) == [(12, 12), (12, 12), (13, 7), (16, 16)]
 
 
+def test_marks_are_found_by_aggregation(spark):
+    """Names by the smallest hashes of each side; in generated code, not by an array function for each name."""
+    sets = [(1, 9, True, False, False, [5, -7, 12]), (1, 9, True, False, True, [3]), (2, 9, True, True, False, []), (3, 8, False, True, False, None)]
+    sets += [(4, 9, True, False, True, [n * 7919**4 for n in range(-500, 500)])]
+    frame = spark.createDataFrame(sets, "u long, v long, several boolean, similar boolean, less boolean, set array<long>")
+    found = line_dedup._marked(frame, 0)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan and "transform(" not in plan
+    got = {}
+    for r in found.collect():
+        got.setdefault((r["u"], r["v"], r["similar"]), []).append(r["marks"])
+    assert got.keys() == {(1, 9, False), (2, 9, True), (3, 8, True), (4, 9, False)}
+    assert got[2, 9, True] == [[]] and got[3, 8, True] == [None]
+    for u, hashes, side, turn in ((1, sets[0][5], "more", 0), (1, [3], "less", -1), (4, sets[4][5], "less", -1)):
+        draw = random.Random(turn)
+        low = [min(h ^ p for h in hashes) for p in (draw.getrandbits(64) - 2**63 for _ in range(line_dedup.MARKS))]
+        ring = [(i, a, b) for i, (a, b) in enumerate(zip(low, [*low[1:], low[0]]))]
+        names = spark.createDataFrame(ring, "i int, a long, b long").select(F.xxhash64(F.lit(side), "i", "a", "b")).collect()
+        assert [r[0] for r in names] in got[u, 9, False]
+
+
+def test_shingles_of_single_bytes_are_slices(spark):
+    """The same hashes for slices and for matches, at any length and with line breaks and characters of several bytes."""
+    rows = [("x" * 10,), ("abcdefghij\r\x0bk",), ("The end of a longer line, aaaaaaaaaaaaaaaaaaaa.",), ("été " * 5,), ("日本" * 6 + "a𝄞b",), ("short",), ("été",)]
+    frame = spark.createDataFrame(rows, "line string")
+    assert "substr" in frame.select(line_dedup.shingles(F.col("line"), 10))._jdf.queryExecution().analyzed().toString()
+    for r in frame.select("line", line_dedup.shingles(F.col("line"), 10).alias("found")).collect():
+        cuts = [(r["line"][i : i + 10],) for i in range(len(r["line"]) - 9)]
+        want = [x[0] for x in spark.createDataFrame(cuts, "c string").select(F.xxhash64("c")).collect()]
+        assert r["found"] == want
+
+
 def test_odd_rows(spark, odd, nothing):
     want, _ = slow([(r["doc_id"], r["text"]) for r in odd.collect()])
     result = line_dedup.line_classes(odd.withColumn("k", F.lit(1)))
