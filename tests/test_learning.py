@@ -167,6 +167,34 @@ def test_trainer_isolates_failures_and_saves(spark, rows, table, tmp_path):
     assert models.preferred_model(results) is results[models.FOREST]
 
 
+def test_a_failed_model_is_no_leaderboard_row(spark, rows, table, monkeypatch):
+    from modrisk.catalog import learning
+
+    quick = {models.FOREST: {"trees": 3, "depth": 2}, models.NETWORK: {"hidden": (2,), "max_iter": 5}}
+    for name, settings in quick.items():
+        monkeypatch.setitem(models.DEFAULTS, name, {**models.DEFAULTS[name], **settings})
+    monkeypatch.setattr(learning, "split_tables", lambda spark, sf: (table, table))
+    whole = models.Trainer(folds=3)
+    whole.train_all(table, table)
+    assert whole.failures == {} and len(whole.require_all().metrics(spark).collect()) == 3
+    # A test table of one class has no area under the curve; that is a result and not a failure.
+    one = models.Trainer(folds=3)
+    one.train_all(table, table.filter("label = 1"), [models.LOGISTIC])
+    assert one.failures == {} and one.log[-1].endswith("undefined") and one.require_all() is one
+    # Fails on the second call: the first call's row must not stand in for it.
+    whole.settings = {models.LOGISTIC: {"C": "bad"}}
+    whole.train_all(table, table, [models.LOGISTIC])
+    assert set(whole.results) == {models.FOREST, models.NETWORK}
+    monkeypatch.setitem(models.DEFAULTS, models.NETWORK, {"hidden": ("bad",)})
+    with pytest.raises(RuntimeError, match="1 models failed: Neural Network"):
+        learning.train_all(spark, "unused")
+    monkeypatch.setattr(models, "scored_rows", lambda fitted, rows, *_: fitted.transform(rows).withColumn("score", F.lit(float("nan"))))
+    lost = models.Trainer(folds=3)
+    assert lost.train_all(table, table, [models.LOGISTIC]) == {}
+    with pytest.raises(RuntimeError, match="not numbers"):
+        lost.require_all()
+
+
 def test_network_and_balancing(table):
     balanced = models.balanced_by_copies(table).groupBy("label").count().collect()
     counts = sorted(r["count"] for r in balanced)
