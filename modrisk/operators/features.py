@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from functools import partial
+
+import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import RandomForestClassifier
@@ -11,6 +16,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from modrisk.functions.ordered import ROWS_PER_RANGE, exact_quantiles
 from modrisk.functions.tasks import dealt
+from modrisk.operators import forest
 from modrisk.operators.cleaning import LABEL, _Readable, col, feature_columns
 
 # Heavy-tailed metrics, products and ratios.
@@ -27,6 +33,7 @@ RATIOS = [
     ("branch_density", "branchCount", "loc"),
 ]
 FOREST_TREES, FOREST_DEPTH = 100, 8
+SPARKS_FOREST_ROWS = 100_000  # up to so many rows Spark's forest takes some seconds
 INFORMATION_BINS = 10
 
 
@@ -131,29 +138,49 @@ def top_features(scores: DataFrame, n: int = 10) -> DataFrame:
     return scores.orderBy(F.desc("score"), "feature").limit(n)
 
 
+def _binned(batches: Iterator[pa.RecordBatch], points: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(feature, bin, label, n) of a task's rows; a value is in the bin after all points below it, NaN in the last."""
+    width = max((len(p) for p in points), default=0) + 1
+    sums, kind = {}, None
+    for batch in batches:
+        labels = batch.column(len(points))
+        kind = labels.type
+        found = labels.dictionary_encode(null_encoding="encode")
+        code, values = found.indices.to_numpy(zero_copy_only=False).astype(np.int64), found.dictionary.to_pylist()
+        for i, cuts in enumerate(points):
+            at = code * width + np.searchsorted(cuts, batch.column(i).to_numpy(zero_copy_only=False), "left")
+            counts = np.bincount(at, minlength=len(values) * width).reshape(len(values), width)
+            for value, n in zip(values, counts):
+                sums[value, i] = sums.get((value, i), 0) + n
+    for (value, i), n in sums.items():
+        bins = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(bins), i, np.int32)), pa.array(bins.astype(np.int32)), pa.array([value] * len(bins), kind), pa.array(n[bins])],
+            names=["feature", "bin", "_y", "n"],
+        )
+
+
 def mutual_information(
     rows: DataFrame, columns: list[str], label: str = LABEL, bins: int = INFORMATION_BINS, small: int = ROWS_PER_RANGE
 ) -> DataFrame:
     """Mutual information of each binned column with the label, in nats.
 
     Bins hold equal shares: cut points are exact quantiles, a handful of
-    numbers. One pass then counts (feature, bin, label), which the map side
-    reduces to a bounded table before the shuffle.
+    numbers. One pass then counts (feature, bin, label) in arrays; a task gives
+    a bounded table.
     """
     cuts = exact_quantiles(rows, columns, [i / bins for i in range(1, bins)], small)
 
-    def cell(name: str) -> Column:
-        points = sorted({p for p in cuts[name] if p is not None})
-        value = F.coalesce(col(name).cast("double"), F.lit(0.0))
-        number = F.lit(0)
-        for p in points:
-            number = number + F.when(value > F.lit(p), 1).otherwise(0)
-        return F.struct(F.lit(name).alias("feature"), number.alias("bin"))
-
+    points = [np.unique(np.array([p for p in cuts[c] if p is not None], float)) for c in columns]
+    kind = rows.select(col(label)).schema[0].dataType.simpleString()
+    plain = rows.select(
+        *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(f"f{i}") for i, c in enumerate(columns)], col(label).alias("_y")
+    )
+    names = F.array(*[F.lit(c) for c in columns])
     cells = (
-        rows.select(col(label).alias("_y"), F.explode(F.array(*[cell(c) for c in columns])).alias("_c"))
-        .groupBy("_c.feature", "_c.bin", "_y")
-        .agg(F.count(F.lit(1)).cast("double").alias("n"))
+        plain.mapInArrow(partial(_binned, points=points), f"feature int, bin int, _y {kind}, n long")
+        .groupBy(F.get(names, F.col("feature")).alias("feature"), "bin", "_y")
+        .agg(F.sum("n").cast("double").alias("n"))
     )
     # From here on there are at most features x bins x labels rows.
     from pyspark.sql import Window as Win
@@ -174,17 +201,26 @@ def forest_importance(
     depth: int = FOREST_DEPTH,
     seed: int = 42,
     even: bool = False,
+    small: int = SPARKS_FOREST_ROWS,
 ) -> DataFrame:
     """Importance of each column in a class-balanced random forest.
 
     Every level of the trees is a pass over partitions as they come, so rows are dealt out evenly first; ``even`` says
-    that they are.
+    that they are. Tables of more than ``small`` rows get a forest of their own, grown in the same way with other draws.
     """
-    from modrisk.operators.sampling import with_class_weights
+    from modrisk.operators.sampling import class_sizes, class_weights, with_class_weights
 
+    sizes = class_sizes(rows, label)
+    if sum(sizes.values()) > small and set(sizes) <= {0, 1}:
+        w, names = class_weights(rows, label).first(), [f"f{i}" for i in range(len(columns))]
+        plain = rows.select(
+            *[F.coalesce(col(c).cast("double"), F.lit(0.0)).alias(n) for c, n in zip(columns, names)], col(label).alias("_label")
+        )
+        scores = forest.importance(plain, names, "_label", (w["weight_0"], w["weight_1"]), sum(sizes.values()), trees, depth, seed)
+        return _scores(rows, columns, scores)
     if not even:
         narrow = dealt(rows.select(*[col(c) for c in dict.fromkeys([*columns, label])])).persist()
-        found = forest_importance(narrow, columns, label, trees, depth, seed, even=True)
+        found = forest_importance(narrow, columns, label, trees, depth, seed, even=True, small=small)
         narrow.unpersist()
         return found
     weighted = with_class_weights(rows, label)
@@ -198,7 +234,10 @@ def forest_importance(
     model = RandomForestClassifier(
         featuresCol="features", labelCol="_label", weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed
     ).fit(table)
-    scores = model.featureImportances.toArray()
+    return _scores(rows, columns, model.featureImportances.toArray())
+
+
+def _scores(rows: DataFrame, columns: list[str], scores) -> DataFrame:
     return rows.sparkSession.createDataFrame(
         [(c, float(scores[i])) for i, c in enumerate(columns)], "feature string, score double"
     )

@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from modrisk.functions.tasks import tasks_for
-from modrisk.operators import evaluation, explain, features, models
+from modrisk.operators import evaluation, explain, features, forest, models
 from modrisk.plans.analysis import analyse
 from modrisk.plans.preprocessing import Preprocessor, with_folds
 
@@ -285,6 +285,48 @@ def test_forest_gets_rows_of_one_row_group_in_even_tasks(spark, monkeypatch):
         assert sum(sizes) == 60_000 and len(sizes) == 3 and max(sizes) < 1.1 * min(sizes)
 
 
+def test_forest_of_many_rows_is_grown_in_arrays(spark, monkeypatch):
+    """Importances like those of Spark's forest, without it; copies of a table and its parts do not matter."""
+    rng = random.Random(5)
+    data = []
+    for i in range(4_000):
+        a, b, c, d = rng.random(), rng.gauss(0, 1), rng.randint(0, 5), rng.random()
+        data.append((a, b if i % 9 else None, c, d, int(a + 0.4 * (b if i % 9 else 0.0) + 0.05 * c > 1.0)))
+    rows = spark.createDataFrame(data, "a double, `b(x)` double, c int, d double, LABEL int").repartition(3).persist()
+    names = ["a", "b(x)", "c", "d"]
+
+    def scores(**more):
+        return {r["feature"]: r["score"] for r in features.forest_importance(rows, names, trees=60, depth=6, **more).collect()}
+
+    want = scores()
+    monkeypatch.setattr(features, "RandomForestClassifier", None)
+    got = scores(small=3_999)
+    assert got == scores(small=0) and sum(got.values()) == pytest.approx(1)
+    assert all(got[n] == pytest.approx(want[n], abs=0.04) for n in names)
+    constant = features.forest_importance(rows.withColumn("LABEL", F.lit(1)), names, trees=3, small=0).collect()
+    assert {r["score"] for r in constant} == {0.0}
+    with pytest.raises(Exception, match="not a number"):
+        features.forest_importance(rows.withColumn("a", F.lit(float("nan"))), names, trees=3, small=0)
+
+
+def test_splits_of_a_node_by_hand():
+    counts = np.zeros((1, 1, 32, 2), np.int64)
+    counts[0, 0, [0, 1, 2]] = [[4, 0], [0, 2], [0, 2]]
+    gain, place, last, left, right = forest.best_splits(counts, np.array([1.0, 1.0]))
+    assert (gain[0], place[0], last[0], left[0].tolist(), right[0].tolist()) == (0.5, 0, 0, [4, 0], [0, 4])
+    assert forest.cuts_between([1.0, 2.0, 2.0, 4.0], [1.0] * 4).tolist() == [1.5, 3.0]
+    assert forest.cuts_between(list(range(64)), [1.0] * 64, 3).tolist() == [15.5, 31.5, 47.5]
+
+
+def test_information_counts_labels_of_any_kind(spark):
+    rows = spark.createDataFrame(
+        [(1.0, "x"), (None, "x"), (float("nan"), "y"), (2.0, None), (3.0, "y"), (0.0, "x")], "a double, LABEL string"
+    ).repartition(3)
+    found = features.mutual_information(rows, ["a"]).first()["score"]
+    # Bins by the quantiles of a: 0 (twice, as null counts as 0), 1, 2, 3 and NaN are all apart.
+    assert found == pytest.approx(-sum(p * np.log(p) for p in (3 / 6, 2 / 6, 1 / 6)))
+
+
 def test_attribution_sums_are_not_made_by_sorting(spark):
     rows = spark.createDataFrame([(1, 0.2, 0.4), (2, None, 0.9), (2, 0.7, 0.1), (None, 0.5, 0.5)], "id long, a double, b double")
     formula = models.Formula(lambda x: 0.1 + 0.5 * F.get(x, F.lit(0)) + 0.2 * F.get(x, F.lit(1)) * F.get(x, F.lit(0)))
