@@ -11,8 +11,11 @@ a result.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
+from functools import partial
 
-from pyspark.ml.feature import Bucketizer
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as Win, functions as F
 
 from modrisk.session import checkpoint_dir
@@ -269,24 +272,48 @@ def _only_value(splits: list[float], cell: int) -> float | None:
     return splits[cell] if splits[cell + 1] == math.nextafter(splits[cell], math.inf) < math.inf else None
 
 
-def _cells(rows: DataFrame, x: dict[str, Column], splits: dict[str, list[float]]) -> DataFrame:
-    """(column, cell, x) of each value that is not null; columns by their place in ``x``."""
-    plain = rows.select(*[x[c].alias(f"x{i}") for i, c in enumerate(x)])
-    ins, outs = [f"x{i}" for i in range(len(x))], [f"b{i}" for i in range(len(x))]
-    placed = Bucketizer(splitsArray=[splits[c] for c in x], inputCols=ins, outputCols=outs, handleInvalid="keep").transform(plain)
-    parts = []
-    for i, (c, v, b) in enumerate(zip(x, ins, outs)):
-        last = len(splits[c])
-        cell = F.when(F.isnan(v), last).when(F.col(v) == math.inf, last - 1).otherwise(F.col(b).cast("int"))
-        parts.append(F.when(F.col(v).isNotNull(), F.struct(F.lit(i).alias("column"), cell.alias("cell"), F.col(v).alias("x"))))
-    return placed.select(F.inline(F.array_compact(F.array(*parts))))
+def _cell_of(splits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The cell of each value; infinity and NaN have the two after the last."""
+    return np.where(np.isnan(values), len(splits), np.searchsorted(splits, values, "right") - 1)
+
+
+def _columns(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+    """The values of each column that are not null."""
+    for i, column in enumerate(batch.columns):
+        yield i, column.drop_null().to_numpy(zero_copy_only=False)
+
+
+def _tallied(batches: Iterator[pa.RecordBatch], splits: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+    """(column, cell, n) of a task's values."""
+    sums = [np.zeros(len(s) + 1, np.int64) for s in splits]
+    for batch in batches:
+        for i, values in _columns(batch):
+            sums[i] += np.bincount(_cell_of(splits[i], values), minlength=len(sums[i]))
+    for i, n in enumerate(sums):
+        cell = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(cell), i, np.int32)), pa.array(cell.astype(np.int32)), pa.array(n[cell])], names=["column", "cell", "n"]
+        )
+
+
+def _held(batches: Iterator[pa.RecordBatch], splits: list[np.ndarray], wanted: list[list[int]]) -> Iterator[pa.RecordBatch]:
+    """(column, cell, x) of the values in wanted cells."""
+    for batch in batches:
+        for i, values in _columns(batch):
+            cell = _cell_of(splits[i], values)
+            at = np.flatnonzero(np.isin(cell, wanted[i]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(at), i, np.int32)), pa.array(cell[at].astype(np.int32)), pa.array(values[at])], names=["column", "cell", "x"]
+            )
 
 
 def _dealt(rows: DataFrame, x: dict[str, Column], splits: dict[str, list[float]]) -> dict[str, dict[int, int]]:
     names = list(x)
     counts: dict[str, dict[int, int]] = {c: {} for c in names}
-    for r in _cells(rows, x, splits).groupBy("column", "cell").count().collect():
-        counts[names[r["column"]]][r["cell"]] = r["count"]
+    plain = rows.select(*[x[c].alias(f"x{i}") for i, c in enumerate(names)])
+    tallied = plain.mapInArrow(partial(_tallied, splits=[np.array(splits[c]) for c in names]), "column int, cell int, n long")
+    for r in tallied.groupBy("column", "cell").agg(F.sum("n").alias("n")).collect():
+        counts[names[r["column"]]][r["cell"]] = r["n"]
     return counts
 
 
@@ -294,21 +321,19 @@ def _picked(rows: DataFrame, x: dict[str, Column], splits, between) -> dict[tupl
     """The values at wanted ranks within cells that hold few values."""
     if not between:
         return {}
-    names = list(x)
+    columns = [c for c in x if any(name == c for name, _ in between)]
     asked = [
-        F.struct(F.lit(names.index(c)).alias("c"), F.lit(cell).alias("b"), F.lit(rank).cast("long").alias("rank"), F.lit(place).cast("long").alias("place"))
+        F.struct(F.lit(columns.index(c)).alias("c"), F.lit(cell).alias("b"), F.lit(rank).cast("long").alias("rank"), F.lit(place).cast("long").alias("place"))
         for (c, cell), places in between.items() for rank, place in places
     ]
     asked = rows.sparkSession.range(1).select(F.inline(F.array(*asked)))
-    wanted = F.lit(False)
-    for i, c in enumerate(names):
-        cells = [cell for name, cell in between if name == c]
-        if cells:
-            wanted = wanted | ((F.col("column") == i) & F.col("cell").isin(*cells))
+    plain = rows.select(*[x[c].alias(f"x{i}") for i, c in enumerate(columns)])
+    wanted = [[cell for name, cell in between if name == c] for c in columns]
+    held = plain.mapInArrow(partial(_held, splits=[np.array(splits[c]) for c in columns], wanted=wanted), "column int, cell int, x double")
     upto = F.sum("count").over(Win.partitionBy("column", "cell").orderBy("x").rowsBetween(Win.unboundedPreceding, 0))
-    counted = _cells(rows, x, splits).filter(wanted).groupBy("column", "cell", "x").count().withColumn("upto", upto)
+    counted = held.groupBy("column", "cell", "x").count().withColumn("upto", upto)
     hit = counted.join(
         F.broadcast(asked),  # as many rows as ranks are asked for
         (F.col("column") == F.col("c")) & (F.col("cell") == F.col("b")) & (F.col("place") < F.col("upto")) & (F.col("upto") - F.col("count") <= F.col("place")),
     )
-    return {(names[r["column"]], r["rank"]): r["x"] for r in hit.select("column", "rank", "x").collect()}
+    return {(columns[r["column"]], r["rank"]): r["x"] for r in hit.select("column", "rank", "x").collect()}

@@ -237,3 +237,16 @@ def test_mutual_information_orders_features(spark):
     got = {r["feature"]: r["score"] for r in features.mutual_information(rows, ["a", "b", "c"]).collect()}
     assert got["a"] == pytest.approx(math.log(2)) and got["b"] < 0.01 and got["c"] == pytest.approx(0)
     assert "c" not in {r["feature"] for r in features.correlations(rows, ["a", "b", "c"]).collect()}
+
+
+def test_ranks_around_odd_values(spark):
+    """Nulls do not count; -0.0 is 0.0, infinities and NaN stand in order at the ends."""
+    from modrisk.functions.ordered import values_at
+
+    data = [-math.inf, -1.0, -0.0, 0.0, 0.5, math.inf, math.nan]
+    rows = spark.createDataFrame([(x,) for x in [*data, None, *[2.0] * 30]], "x double").repartition(3)
+    order = [-math.inf, -1.0, 0.0, 0.0, 0.5, *[2.0] * 30, math.inf, math.nan]
+    for small in (1, 100):
+        sizes, found = values_at(rows, {"x": [0.5]}, lambda n: list(range(n)), small)
+        assert sizes == {"x": 37}
+        assert all(found["x"][i] == v or math.isnan(v) and math.isnan(found["x"][i]) for i, v in enumerate(order))
