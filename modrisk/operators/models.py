@@ -14,11 +14,7 @@ from multiprocessing.pool import ThreadPool
 
 from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Model, PipelineModel
-from pyspark.ml.classification import (
-    LogisticRegression,
-    MultilayerPerceptronClassifier,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -31,6 +27,7 @@ from modrisk.functions.draws import draw
 from modrisk.functions.tasks import ROWS_PER_TASK, dealt, tasks_for
 from modrisk.operators import evaluation
 from modrisk.operators.cleaning import LABEL, _Readable, col
+from modrisk.operators.network import Network
 from modrisk.operators.sampling import class_sizes, with_class_weights
 
 # Model names, default settings and search ranges.
@@ -52,8 +49,8 @@ SEARCH_SPACES = {
     },
     NETWORK: {"layer_size": ("choice", [64, 128, 256]), "layers": ("int", 1, 3)},
 }
-# A network spends some 50,000 operations a row in each step.
-NETWORK_ROWS_PER_TASK = 1_000
+# A network spends some 50,000 operations a row in each step, a forest a walk of every tree in each level.
+ROWS_PER_FITTING_TASK = {NETWORK: 1_000}
 SEARCH_TRIALS = {LOGISTIC: 40, FOREST: 50, NETWORK: 40}
 PREFERRED = [FOREST, LOGISTIC, NETWORK]
 
@@ -145,7 +142,7 @@ def random_forest(trees: int = 200, depth: int = 10, min_leaf: int = 2, features
 
 
 def neural_network(inputs: int, hidden=(128, 64), max_iter: int = 500, seed: int = 42):
-    return MultilayerPerceptronClassifier(layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed)
+    return Network(layers=[inputs, *hidden, 2], maxIter=max_iter, seed=seed)
 
 
 def balanced_by_copies(table: DataFrame, key: str | None = None, seed: int = 42) -> DataFrame:
@@ -193,8 +190,9 @@ class Formula:
 
 
 def training_rows(name: str, table: DataFrame) -> DataFrame:
-    """What a model is fitted on; for a network as many tasks as its work on a row asks for."""
-    return dealt(balanced_by_copies(table), NETWORK_ROWS_PER_TASK) if name == NETWORK else table
+    """What a model is fitted on; for a network or a forest as many tasks as its work on a row asks for."""
+    rows = balanced_by_copies(table) if name == NETWORK else table
+    return dealt(rows, ROWS_PER_FITTING_TASK[name]) if name in ROWS_PER_FITTING_TASK else rows
 
 
 def scored_rows(model, table: DataFrame, name: str, *keep: str) -> DataFrame:

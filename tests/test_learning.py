@@ -8,7 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from modrisk.functions.tasks import tasks_for
-from modrisk.operators import evaluation, explain, features, forest, models
+from modrisk.operators import evaluation, explain, features, forest, models, network
 from modrisk.plans.analysis import analyse
 from modrisk.plans.preprocessing import Preprocessor, with_folds
 
@@ -204,6 +204,43 @@ def test_network_and_balancing(table):
     assert scores["roc_auc"] > 0.8
 
 
+def test_network_in_arrays_takes_sparks_steps(spark, rows, tmp_path, monkeypatch):
+    """The same weights as Spark's trainer gives, over copies and in one task or many."""
+    from pyspark.ml.classification import MultilayerPerceptronClassifier
+
+    table = models.model_table(rows, COLUMNS).limit(128).coalesce(1).persist()
+    twice = table.unionByName(table).coalesce(1)
+    few = dict(layers=[3, 6, 4, 2], maxIter=12, seed=7)
+    want = MultilayerPerceptronClassifier(**few).fit(twice).weights.toArray()
+    for known in (128, 256):  # tables of so many rows stay with Spark's trainer
+        monkeypatch.setattr(network, "SPARKS_ROWS", known)
+        for work in (10**9, 0):
+            monkeypatch.setattr(network, "ONE_TASK_WORK", work)
+            monkeypatch.setattr(network, "ROWS_PER_TASK", 50)
+            fitted = network.Network(**few).fit(twice)
+            assert fitted.weights.toArray() == pytest.approx(want, abs=1e-8 if known == 128 else 0)
+    monkeypatch.setattr(network, "SPARKS_ROWS", 0)
+    begun = network.Network(**{**few, "maxIter": 1}, initialWeights=fitted.weights.toArray().tolist()).fit(table)
+    assert begun.weights.toArray() == pytest.approx(want, abs=1.0) and begun.getLayers() == [3, 6, 4, 2]
+    models.save_model(spark, models.Trained(models.NETWORK, begun, {}, {}), str(tmp_path))
+    loaded = models.load_model(f"{tmp_path}/{models.safe_name(models.NETWORK)}")
+    assert loaded.weights.toArray().tolist() == begun.weights.toArray().tolist()
+    both = [models.new_scores(m, table.limit(5)).collect() for m in (begun, loaded)]
+    assert both[0] == both[1]
+    with pytest.raises(Exception, match="classes are to be 0 to 1"):
+        network.Network(**few).fit(table.withColumn("label", F.lit(2.0)))
+
+
+def test_steps_end_and_recover():
+    bowl = lambda x: (float((x - 3) @ (x - 3)) + 1, 2 * (x - 3))
+    assert network.minimised(bowl, np.zeros(4), 500, 1e-6) == pytest.approx(np.full(4, 3.0))
+    assert network.minimised(bowl, np.zeros(4), 0, 1e-6).tolist() == [0.0] * 4
+    uphill = lambda x: (float(x @ x) + 1, -2 * x)  # the gradient is wrong: every search fails
+    assert network.minimised(uphill, np.ones(2), 500, 1e-6).tolist() == [1.0, 1.0]
+    edge = lambda x: (float("inf") if x[0] > 1 else float((x[0] - 1) ** 2) + 1, 2 * (x - 1))
+    assert network.minimised(edge, np.zeros(1), 50, 1e-6)[0] == pytest.approx(1.0, abs=1e-3)
+
+
 def test_search(table):
     best, trials = models.search(models.LOGISTIC, table, [{"C": 1.0}, {"C": 1e-6}], folds=3)
     assert best == {"C": 1.0} and trials.count() == 2
