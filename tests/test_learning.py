@@ -241,6 +241,14 @@ def test_steps_end_and_recover():
     assert network.minimised(edge, np.zeros(1), 50, 1e-6)[0] == pytest.approx(1.0, abs=1e-3)
 
 
+def test_forest_rows_are_dealt_by_their_work(spark):
+    table = models.model_table(spark.range(0, 16_000, 1, 1).select((F.col("id") % 97).cast("double").alias("a"), (F.col("id") % 2).cast("int").alias("LABEL")), ["a"])
+    assert models.training_rows(models.FOREST, table).rdd.getNumPartitions() == 4
+    assert models.training_rows(models.LOGISTIC, table) is table
+    few = table.limit(4_000)
+    assert models.training_rows(models.FOREST, few) is few
+
+
 def test_search(table):
     best, trials = models.search(models.LOGISTIC, table, [{"C": 1.0}, {"C": 1e-6}], folds=3)
     assert best == {"C": 1.0} and trials.count() == 2
